@@ -73,7 +73,7 @@ def scored_base(
 
     Every input is one row per customer and hashed by customer, so each is shuffled once for all three joins.
     """
-    spend = latest_sales(sales).select("customer_id", "lifetime_value", "last_purchase_date")
+    spend = latest_sales(sales, ["lifetime_value", "last_purchase_date"])
     return (
         current_dimension(dimension)
         .select("customer_id", "dim_crm_customer_key", "customer_segment", "region_code")
@@ -191,7 +191,7 @@ def unscored(customers: DataFrame, scores: DataFrame, run_date: dt.date, model_v
 
 def enrich_profiles(staged: DataFrame, spend: DataFrame, events: DataFrame) -> DataFrame:
     """Staged profiles with recent spend and the campaign rollup; missing figures become their defaults."""
-    figures = latest_sales(spend).select("customer_id", "lifetime_value", "loyalty_tier", "last_purchase_date")
+    figures = latest_sales(spend, ["lifetime_value", "loyalty_tier", "last_purchase_date"])
     return (
         staged.select(
             "customer_id",

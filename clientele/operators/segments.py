@@ -47,16 +47,17 @@ def intervention(composite: Column) -> Column:
     )
 
 
-def segmented_customers(scores: DataFrame, retail: DataFrame, regional: DataFrame) -> DataFrame:
-    """Scores with spend, regional figures, composite score, micro-segment and intervention.
+def segmented_customers(scores: DataFrame, retail: DataFrame, regional: DataFrame | None = None) -> DataFrame:
+    """Scores with spend, composite score, micro-segment and intervention, and regional figures where given.
 
-    ``scores`` carries region and opt-in, ``retail`` one row per customer, ``regional`` one row per region.
+    ``scores`` carries region and opt-in, ``retail`` one row per customer, ``regional`` one row per region. No
+    published table uses the regional figures, so the jobs leave them out and save a shuffle of every customer.
     """
     spend = retail.select("customer_id", "lifetime_value", "loyalty_tier", "last_purchase_date")
-    regions = regional.select("region_code", "total_revenue", "avg_basket_size")
-    enriched = lookup_join(
-        scores.join(spend, "customer_id", "left"), regions, "region_code", "left", spread_by="customer_id"
-    )
+    enriched = scores.join(spend, "customer_id", "left")
+    if regional is not None:
+        regions = regional.select("region_code", "total_revenue", "avg_basket_size")
+        enriched = lookup_join(enriched, regions, "region_code", "left", spread_by="customer_id")
     return classify(enriched)
 
 

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A batch limit above this sorts across the cluster and spills, rather than keeping a heap per task.
     "spark.sql.execution.topKSortFallbackThreshold": "1000000",
+    # Call-site capture costs several round trips to the JVM for every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 

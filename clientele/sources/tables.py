@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -94,7 +94,7 @@ def current_scores(
 
 def retail_spend(sales: DataFrame) -> DataFrame:
     """Retail rows, one per customer: the latest load wins."""
-    return latest_sales(sales).select(
+    return latest_sales(sales, SALES_ORDER[1:]).select(
         "customer_id",
         "lifetime_value",
         "loyalty_tier",
@@ -103,22 +103,20 @@ def retail_spend(sales: DataFrame) -> DataFrame:
     )
 
 
-def latest_sales(sales: DataFrame) -> DataFrame:
-    """One retail row per customer, so that a join on the customer never multiplies rows."""
-    newest = F.max(
-        F.struct("load_date", "last_purchase_date", "lifetime_value", "loyalty_tier", "region_code")
-    ).alias("newest")
+SALES_ORDER = ["load_date", "last_purchase_date", "lifetime_value", "loyalty_tier", "region_code"]
+
+
+def latest_sales(sales: DataFrame, columns: Sequence[str] = SALES_ORDER) -> DataFrame:
+    """One retail row per customer, so that a join on the customer never multiplies rows.
+
+    The latest load wins, then the later purchase, and so on along ``SALES_ORDER``; asking for the leading columns
+    only gives the same values and reads less.
+    """
+    used = SALES_ORDER[: max(SALES_ORDER.index(c) for c in columns) + 1]
     return (
         sales.groupBy("customer_id")
-        .agg(newest)
-        .select(
-            "customer_id",
-            "newest.lifetime_value",
-            "newest.loyalty_tier",
-            "newest.last_purchase_date",
-            "newest.region_code",
-            "newest.load_date",
-        )
+        .agg(F.max(F.struct(*used)).alias("newest"))
+        .select("customer_id", *[f"newest.{c}" for c in columns])
     )
 
 

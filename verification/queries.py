@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,25 +45,31 @@ class Inputs(SourceTables):
         options.setdefault("batch_size", None)
         return extract.extract_profiles(self.src_customers, self.src_customer_segments, RUN, **options)
 
+    @cached_property
+    def staged(self) -> DataFrame:
+        return self.profiles()
+
+    @cached_property
     def events(self) -> DataFrame:
-        return extract.extract_events(self.src_campaign_events, self.src_campaigns, self.profiles(), RUN)
+        return extract.extract_events(self.src_campaign_events, self.src_campaigns, self.staged, RUN)
 
+    @cached_property
     def interactions(self) -> DataFrame:
-        return extract.extract_interactions(self.src_interactions, self.profiles(), RUN)
+        return extract.extract_interactions(self.src_interactions, self.staged, RUN)
 
     def lane(self):
         return F.col("customer_id")
 
     def merged_dimension(self) -> DataFrame:
-        return dimension.scd2_merge(self.dim_customer_crm, self.profiles(), RUN, self.lane())
+        return dimension.scd2_merge(self.dim_customer_crm, self.staged, RUN, self.lane())
 
     def scores(self, variant: Callable[..., DataFrame], **options) -> DataFrame:
         dim = options.pop("dim", None)
         return variant(
             self.dim_customer_crm if dim is None else dim,
             self.stg_customer_sales,
-            self.events(),
-            self.interactions(),
+            self.events,
+            self.interactions,
             RUN,
             **options,
         )
@@ -78,23 +85,24 @@ class Inputs(SourceTables):
         return tables.recent_spend(self.stg_customer_sales, RUN)
 
     def graph(self) -> DataFrame:
-        staged = tables.staged_profiles(self.profiles(), RUN)
-        events = tables.staged_events(self.events(), RUN)
+        staged = tables.staged_profiles(self.staged, RUN)
+        events = tables.staged_events(self.events, RUN)
         return scoring.scores_graph(scoring.enrich_profiles(staged, self.recent_sales(), events), RUN)
 
-    def segmented(self) -> DataFrame:
-        return segments.segmented_customers(
-            tables.current_scores(self.configured(), self.dim_customer_crm, RUN),
-            tables.retail_spend(self.stg_customer_sales),
-            tables.regional_summary(self.fact_regional_summary, RUN),
-        )
+    def segmented(self, dim: DataFrame | None = None, regional: DataFrame | None = None) -> DataFrame:
+        dim = self.dim_customer_crm if dim is None else dim
+        scores = tables.current_scores(self.configured(dim=dim), dim, RUN)
+        return segments.segmented_customers(scores, tables.retail_spend(self.stg_customer_sales), regional)
+
+    def regional_day(self) -> DataFrame:
+        return tables.regional_summary(self.fact_regional_summary, RUN)
 
     def feature_scores(self, chosen: list[config.Feature]) -> DataFrame:
         base = features.feature_input(
             self.dim_customer_crm,
             self.stg_customer_sales,
-            self.events(),
-            self.interactions(),
+            self.events,
+            self.interactions,
             RUN,
             chosen or config.DEFAULT_FEATURES,
         )
@@ -144,14 +152,7 @@ def refreshed_slice(t: Inputs) -> DataFrame:
 
 def weekly_scores(t: Inputs) -> DataFrame:
     """The load from source to micro-segment: stage, merge the dimension, score, segment."""
-    dim = t.merged_dimension()
-    return segments.micro_segments(
-        segments.segmented_customers(
-            tables.current_scores(t.configured(dim=dim), dim, RUN),
-            tables.retail_spend(t.stg_customer_sales),
-            tables.regional_summary(t.fact_regional_summary, RUN),
-        )
-    )
+    return segments.micro_segments(t.segmented(t.merged_dimension()))
 
 
 def snapshot(t: Inputs) -> DataFrame:
@@ -170,31 +171,31 @@ def snapshot(t: Inputs) -> DataFrame:
 
 DEFINITIONS: dict[str, Callable[[Inputs], DataFrame]] = {
     # campaign facts
-    "campaign_performance": lambda t: facts.campaign_performance(t.events()),
-    "campaign_performance_day": lambda t: facts.campaign_performance(t.events(), RUN),
-    "campaign_performance_one": lambda t: facts.campaign_performance(t.events(), campaign="CAMP07"),
+    "campaign_performance": lambda t: facts.campaign_performance(t.events),
+    "campaign_performance_day": lambda t: facts.campaign_performance(t.events, RUN),
+    "campaign_performance_one": lambda t: facts.campaign_performance(t.events, campaign="CAMP07"),
     # extracts and filtered reads
-    "extract_profiles": lambda t: t.profiles(),
+    "extract_profiles": lambda t: t.staged,
     "extract_profiles_vip": lambda t: t.profiles(segment="VIP", region="EUROPE"),
     "extract_profiles_batch": lambda t: t.profiles(batch_size=500),
-    "extract_events": lambda t: t.events(),
-    "extract_interactions": lambda t: t.interactions(),
-    "staging_summary": lambda t: extract.staging_summary(t.profiles(), RUN),
-    "staged_profiles_retail": lambda t: tables.staged_profiles(t.profiles(), RUN, segment="RETAIL"),
+    "extract_events": lambda t: t.events,
+    "extract_interactions": lambda t: t.interactions,
+    "staging_summary": lambda t: extract.staging_summary(t.staged, RUN),
+    "staged_profiles_retail": lambda t: tables.staged_profiles(t.staged, RUN, segment="RETAIL"),
     "recent_spend": lambda t: t.recent_sales(),
     "retail_spend": lambda t: tables.retail_spend(t.stg_customer_sales),
-    "regional_summary_day": lambda t: tables.regional_summary(t.fact_regional_summary, RUN),
+    "regional_summary_day": lambda t: t.regional_day(),
     "regional_revenue_30d": lambda t: tables.regional_revenue(t.fact_regional_summary, RUN),
     # dimension
-    "scd2_closed": lambda t: dimension.scd2_closed(t.dim_customer_crm, t.profiles(), RUN),
-    "scd2_inserted": lambda t: dimension.scd2_inserted(t.dim_customer_crm, t.profiles(), RUN, t.lane()),
+    "scd2_closed": lambda t: dimension.scd2_closed(t.dim_customer_crm, t.staged, RUN),
+    "scd2_inserted": lambda t: dimension.scd2_inserted(t.dim_customer_crm, t.staged, RUN, t.lane()),
     "scd2_merge": lambda t: t.merged_dimension(),
     "current_dimension": lambda t: dimension.current_dimension(t.merged_dimension()),
-    "mark_loaded": lambda t: dimension.mark_loaded(t.profiles(), RUN, segment="RETAIL"),
+    "mark_loaded": lambda t: dimension.mark_loaded(t.staged, RUN, segment="RETAIL"),
     # scores
-    "customer_conversion_rate": lambda t: scoring.conversion_rates(t.events(), RUN),
-    "customer_interactions": lambda t: scoring.interaction_counts(t.interactions(), RUN),
-    "campaign_rollup": lambda t: scoring.campaign_rollup(t.events()),
+    "customer_conversion_rate": lambda t: scoring.conversion_rates(t.events, RUN),
+    "customer_interactions": lambda t: scoring.interaction_counts(t.interactions, RUN),
+    "campaign_rollup": lambda t: scoring.campaign_rollup(t.events),
     "scores_procedural": lambda t: t.procedural(batch_id=7),
     "scores_config": lambda t: t.configured(),
     "scores_config_batch": lambda t: t.configured(region="ASIA", batch_size=100),
@@ -205,7 +206,7 @@ DEFINITIONS: dict[str, Callable[[Inputs], DataFrame]] = {
     "score_features": lambda t: t.feature_scores(
         config.load_features(t.scoring_feature_config, "v3", "VIP")
     ),
-    "customers_without_spend": lambda t: scoring.customers_without_spend(t.profiles(), t.recent_sales()),
+    "customers_without_spend": lambda t: scoring.customers_without_spend(t.staged, t.recent_sales()),
     "churn_standard": lambda t: scoring.churn_split(t.graph())[0],
     "churn_at_risk": lambda t: scoring.churn_split(t.graph())[1],
     "graph_facts": lambda t: scoring.graph_facts(t.graph(), t.dim_customer_crm, RUN, "graph", 9),
@@ -221,10 +222,10 @@ DEFINITIONS: dict[str, Callable[[Inputs], DataFrame]] = {
     "segment_rollup": lambda t: facts.segment_rollup(t.graph(), RUN),
     "replace_slice": refreshed_slice,
     "score_row_count": lambda t: facts.score_row_count(t.procedural(), RUN, "VIP"),
-    "staged_row_count": lambda t: facts.staged_row_count(t.profiles(), RUN, "WHOLESALE"),
+    "staged_row_count": lambda t: facts.staged_row_count(t.staged, RUN, "WHOLESALE"),
     # micro-segments
     "current_scores": lambda t: tables.current_scores(t.configured(), t.dim_customer_crm, RUN),
-    "segmented_customers": lambda t: t.segmented(),
+    "segmented_customers": lambda t: t.segmented(regional=t.regional_day()),
     "micro_segments": lambda t: segments.micro_segments(t.segmented()),
     "interventions": lambda t: segments.intervention_counts(t.segmented()),
     "region_distribution": lambda t: segments.region_distribution(t.segmented()),

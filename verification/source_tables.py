@@ -8,27 +8,39 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele import schemas
-from clientele.operators.dimension import full_name
 from clientele.operators.extract import profiles_of
 
 RUN = dt.date(2024, 1, 30)
+RUN_SQL = f"DATE '{RUN}'"
 DAY_SHIFT = 8217
 OWNERS = ("CRM_SCHEMA", "DW_OWNER", "FINANCE_SCHEMA", "OTHER")
 PRIVILEGES = ("SELECT", "INSERT", "UPDATE", "DELETE", "REFERENCES")
+JOBS = ("signup", "view", "click", "purchase", "error")
 REPOSITORIES = {"CRM_SCHEMA": "customer", "DW_OWNER": "retail", "FINANCE_SCHEMA": "finance"}
 
+# Known schemas spare a job per table that would only read file footers.
+GIVEN = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
-def pick(number: Column, names: tuple[str, ...]) -> Column:
+
+def pick(number: str, names: tuple[str, ...]) -> str:
     """The name at position ``number`` modulo the count of names."""
-    at = F.pmod(number.cast("bigint"), F.lit(len(names)))
-    chosen = F.when(at == 0, names[0])
-    for position, name in enumerate(names[1:], start=1):
-        chosen = chosen.when(at == position, name)
-    return chosen
+    cases = " ".join(f"WHEN {position} THEN '{name}'" for position, name in enumerate(names))
+    return f"CASE CAST({number} AS bigint) % {len(names)} {cases} END"
 
 
 class SourceTables:
@@ -37,83 +49,67 @@ class SourceTables:
         self.folder = folder
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(schemas.columns(GIVEN[name])).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def customers_by_region(self) -> DataFrame:
-        """Customer key and region name."""
-        nations = self.given("nation").join(
-            self.given("region"), F.col("n_regionkey") == F.col("r_regionkey"), "inner"
-        )
-        return self.given("customer").join(
-            nations.select("n_nationkey", "r_name"), F.col("c_nationkey") == F.col("n_nationkey"), "inner"
-        )
+        """Customers with their region name."""
+        nations = self.given("nation").join(self.given("region"), F.expr("n_regionkey = r_regionkey"))
+        return self.given("customer").join(nations, F.expr("c_nationkey = n_nationkey"))
 
     @cached_property
     def src_customers(self) -> DataFrame:
-        k = F.col("c_custkey")
-        text = F.lit(None).cast("string")
-        return self.customers_by_region.select(
-            k.alias("cust_id"),
-            F.col("c_name").alias("cust_ref"),
-            F.col("c_name").alias("given_name"),
-            F.when(k % 19 != 0, F.concat(F.lit("F"), (k % 100).cast("string"))).alias("family_name"),
-            F.lit(None).cast("date").alias("dob"),
-            F.concat("c_name", F.lit("@EXAMPLE.COM")).alias("email"),
-            text.alias("tel_home"),
-            text.alias("tel_mobile"),
-            text.alias("addr_line1"),
-            text.alias("addr_city"),
-            F.concat(F.lit("P"), (k % 1000).cast("string")).alias("addr_postcode"),
-            F.when(k % 5 != 0, "GB").alias("country_iso"),
-            F.when(k % 13 != 0, F.col("r_name")).alias("region_code"),
-            F.when(k % 7 != 0, "WEB").alias("acq_channel_code"),
-            F.lit(dt.date(2020, 1, 1)).alias("created_date"),
-            F.when(k % 3 == 0, "Y").when(k % 3 == 1, "N").alias("email_opt_in"),
-            text.alias("sms_opt_in"),
-            F.when(k % 11 == 0, "N").otherwise("Y").alias("is_active"),
-            F.date_sub(F.lit(RUN), (k % 14).cast("int")).alias("last_modified_date"),
+        return self.customers_by_region.selectExpr(
+            "c_custkey AS cust_id",
+            "c_name AS cust_ref",
+            "c_name AS given_name",
+            "CASE WHEN c_custkey % 19 <> 0 THEN concat('F', c_custkey % 100) END AS family_name",
+            "CAST(NULL AS date) AS dob",
+            "concat(c_name, '@EXAMPLE.COM') AS email",
+            "CAST(NULL AS string) AS tel_home",
+            "CAST(NULL AS string) AS tel_mobile",
+            "CAST(NULL AS string) AS addr_line1",
+            "CAST(NULL AS string) AS addr_city",
+            "concat('P', c_custkey % 1000) AS addr_postcode",
+            "CASE WHEN c_custkey % 5 <> 0 THEN 'GB' END AS country_iso",
+            "CASE WHEN c_custkey % 13 <> 0 THEN r_name END AS region_code",
+            "CASE WHEN c_custkey % 7 <> 0 THEN 'WEB' END AS acq_channel_code",
+            "DATE '2020-01-01' AS created_date",
+            "CASE c_custkey % 3 WHEN 0 THEN 'Y' WHEN 1 THEN 'N' END AS email_opt_in",
+            "CAST(NULL AS string) AS sms_opt_in",
+            "CASE WHEN c_custkey % 11 = 0 THEN 'N' ELSE 'Y' END AS is_active",
+            f"date_sub({RUN_SQL}, CAST(c_custkey % 14 AS int)) AS last_modified_date",
         )
 
     @cached_property
     def src_customer_segments(self) -> DataFrame:
-        k, market = F.col("c_custkey"), F.col("c_mktsegment")
         return (
             self.given("customer")
-            .filter(market != "HOUSEHOLD")
-            .select(
-                k.alias("cust_id"),
-                F.when(market == "AUTOMOBILE", "VIP")
-                .when(market == "BUILDING", "RETAIL")
-                .when(market == "FURNITURE", "WHOLESALE")
-                .when(market == "MACHINERY", "PARTNER")
-                .alias("segment_code"),
-                F.lit("Y").alias("is_primary"),
-                F.when(k % 17 == 0, F.lit(dt.date(2023, 12, 31)))
-                .otherwise(F.lit(dt.date(9999, 12, 31)))
-                .alias("valid_to"),
+            .filter("c_mktsegment <> 'HOUSEHOLD'")
+            .selectExpr(
+                "c_custkey AS cust_id",
+                "CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'VIP' WHEN 'BUILDING' THEN 'RETAIL' "
+                "WHEN 'FURNITURE' THEN 'WHOLESALE' WHEN 'MACHINERY' THEN 'PARTNER' END AS segment_code",
+                "'Y' AS is_primary",
+                "CASE WHEN c_custkey % 17 = 0 THEN DATE '2023-12-31' ELSE DATE '9999-12-31' END AS valid_to",
             )
         )
 
     @cached_property
     def src_campaign_events(self) -> DataFrame:
-        number = F.get_json_object("props", "$.k").cast("bigint") % 20
-        kind = F.col("event_type")
-        return self.given("events").select(
+        return self.given("events").selectExpr(
             "event_id",
-            F.col("user_id").alias("cust_id"),
-            F.concat(F.lit("CAMP"), F.lpad(number.cast("string"), 2, "0")).alias("camp_ref"),
-            F.when(kind == "signup", "SENT")
-            .when(kind == "view", "OPENED")
-            .when(kind == "click", "CLICKED")
-            .when((kind == "purchase") & (F.col("event_id") % 4 == 0), "CONVERTED")
-            .when(kind == "purchase", "CLICKED")
-            .when(kind == "error", "UNSUBSCRIBED")
-            .alias("event_type_cd"),
-            F.col("ts").alias("event_dttm"),
-            F.lit(None).cast("string").alias("channel_cd"),
-            F.lit(None).cast("string").alias("offer_code"),
-            F.col("value").cast("decimal(14,4)").alias("revenue_attrib"),
+            "user_id AS cust_id",
+            "concat('CAMP', lpad(CAST(get_json_object(props, '$.k') AS bigint) % 20, 2, '0')) AS camp_ref",
+            "CASE WHEN event_type = 'signup' THEN 'SENT' WHEN event_type = 'view' THEN 'OPENED' "
+            "WHEN event_type = 'click' THEN 'CLICKED' "
+            "WHEN event_type = 'purchase' AND event_id % 4 = 0 THEN 'CONVERTED' "
+            "WHEN event_type = 'purchase' THEN 'CLICKED' "
+            "WHEN event_type = 'error' THEN 'UNSUBSCRIBED' END AS event_type_cd",
+            "ts AS event_dttm",
+            "CAST(NULL AS string) AS channel_cd",
+            "CAST(NULL AS string) AS offer_code",
+            "CAST(value AS decimal(14,4)) AS revenue_attrib",
         )
 
     @cached_property
@@ -122,107 +118,100 @@ class SourceTables:
         return (
             self.src_campaign_events.select("camp_ref")
             .distinct()
-            .filter(F.col("camp_ref") != "CAMP19")
-            .select("camp_ref", F.concat(F.lit("Campaign "), F.substring("camp_ref", 5, 2)).alias("camp_name"))
+            .filter("camp_ref <> 'CAMP19'")
+            .selectExpr("camp_ref", "concat('Campaign ', substring(camp_ref, 5, 2)) AS camp_name")
         )
 
     @cached_property
     def src_interactions(self) -> DataFrame:
-        e = F.col("event_id")
         return (
             self.given("events")
-            .filter(e % 10 == 0)
-            .select(
-                e.alias("interaction_id"),
-                F.col("user_id").alias("cust_id"),
-                F.col("event_type").alias("interaction_type_cd"),
-                F.col("ts").alias("interaction_date"),
-                F.lit(None).cast("string").alias("channel_cd"),
-                F.lit(None).cast("bigint").alias("agent_id"),
-                F.lit(None).cast("string").alias("resolution_cd"),
-                (F.lit(1) + (e % 91) / F.lit(10)).cast("decimal(3,1)").alias("csat_score"),
-                (e % 60).alias("duration_mins"),
+            .filter("event_id % 10 = 0")
+            .selectExpr(
+                "event_id AS interaction_id",
+                "user_id AS cust_id",
+                "event_type AS interaction_type_cd",
+                "ts AS interaction_date",
+                "CAST(NULL AS string) AS channel_cd",
+                "CAST(NULL AS bigint) AS agent_id",
+                "CAST(NULL AS string) AS resolution_cd",
+                "CAST(1 + (event_id % 91) / 10 AS decimal(3,1)) AS csat_score",
+                "event_id % 60 AS duration_mins",
             )
         )
 
     @cached_property
     def priced_orders(self) -> DataFrame:
         """Orders with an exact price and a date that ends at the run date."""
-        return self.given("orders").select(
+        return self.given("orders").selectExpr(
             "o_custkey",
-            F.col("o_totalprice").cast("decimal(14,2)").alias("price"),
-            F.date_add(F.to_date("o_orderdate"), DAY_SHIFT).alias("day"),
+            "CAST(o_totalprice AS decimal(14,2)) AS price",
+            f"date_add(CAST(o_orderdate AS date), {DAY_SHIFT}) AS day",
         )
 
     @cached_property
     def stg_customer_sales(self) -> DataFrame:
-        k = F.col("customer_id")
         per_customer = (
-            self.priced_orders.filter(F.col("o_custkey") % 10 != 7)
+            self.priced_orders.filter("o_custkey % 10 <> 7")
             .groupBy(F.col("o_custkey").alias("customer_id"))
             .agg(
-                (F.sum("price") * 100).cast("bigint").alias("cents"),
-                F.max("day").alias("last_purchase_date"),
+                F.expr("CAST(sum(price) * 100 AS bigint) AS cents"),
+                F.expr("max(day) AS last_purchase_date"),
             )
         )
-        divisor = F.when(k % 4 == 0, 400).when(k % 4 == 1, 1500).when(k % 4 == 2, 4000).otherwise(20000)
-        whole = F.floor(F.col("cents") / divisor).cast("bigint")
-        regions = self.customers_by_region.select(F.col("c_custkey").alias("customer_id"), "r_name")
-        return per_customer.join(regions, "customer_id", "left").select(
+        regions = self.customers_by_region.selectExpr("c_custkey AS customer_id", "r_name")
+        return per_customer.join(regions, "customer_id", "left").selectExpr(
             "customer_id",
-            (whole.cast("decimal(16,0)") * F.lit("0.01").cast("decimal(3,2)"))
-            .cast("decimal(14,2)")
-            .alias("lifetime_value"),
-            F.when(k % 3 != 0, "GOLD").alias("loyalty_tier"),
+            "CAST(CAST(cents div (CASE customer_id % 4 WHEN 0 THEN 400 WHEN 1 THEN 1500 WHEN 2 THEN 4000 "
+            "ELSE 20000 END) AS decimal(16,0)) * 0.01 AS decimal(14,2)) AS lifetime_value",
+            "CASE WHEN customer_id % 3 <> 0 THEN 'GOLD' END AS loyalty_tier",
             "last_purchase_date",
-            F.col("r_name").alias("region_code"),
-            F.date_sub(F.lit(RUN), (k % 14).cast("int")).alias("load_date"),
+            "r_name AS region_code",
+            f"date_sub({RUN_SQL}, CAST(customer_id % 14 AS int)) AS load_date",
         )
 
     @cached_property
     def fact_regional_summary(self) -> DataFrame:
         regions = self.customers_by_region.select("c_custkey", "r_name")
         return (
-            self.priced_orders.join(regions, F.col("o_custkey") == F.col("c_custkey"), "inner")
-            .groupBy(F.col("r_name").alias("region_code"), F.col("day").alias("summary_date"))
+            self.priced_orders.join(regions, F.expr("o_custkey = c_custkey"))
+            .groupBy(F.expr("r_name AS region_code"), F.expr("day AS summary_date"))
             .agg(
-                F.sum("price").cast("decimal(18,4)").alias("total_revenue"),
-                F.countDistinct("o_custkey").alias("distinct_customers"),
-                F.round(F.sum("price") / F.count("price").cast("decimal(18,0)"), 4)
-                .cast("decimal(14,4)")
-                .alias("avg_basket_size"),
+                F.expr("CAST(sum(price) AS decimal(18,4)) AS total_revenue"),
+                F.expr("count(DISTINCT o_custkey) AS distinct_customers"),
+                F.expr(
+                    "CAST(round(sum(price) / CAST(count(price) AS decimal(18,0)), 4) AS decimal(14,4)) "
+                    "AS avg_basket_size"
+                ),
             )
         )
 
     @cached_property
     def dim_customer_crm(self) -> DataFrame:
         """The dimension before the run: most customers, some with an older version, some differing from staging."""
-        k = F.col("customer_id")
-        known = profiles_of(self.src_customers, self.src_customer_segments, RUN).filter(k % 5 != 4)
-        has_older = k % 8 == 1
-        versions = F.when(has_older, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-        rows = known.withColumn("version_num", F.explode(versions))
-        older = has_older & (F.col("version_num") == 1)
-        replaced_on, first_day = dt.date(2023, 7, 1), dt.date(2023, 1, 1)
-        return rows.select(
-            (F.lit(1000) + k * 2 + F.col("version_num") - 1).alias("dim_crm_customer_key"),
+        older = "(customer_id % 8 = 1 AND version_num = 1)"
+        known = profiles_of(self.src_customers, self.src_customer_segments, RUN).filter("customer_id % 5 <> 4")
+        return known.selectExpr(
+            "*", "explode(CASE WHEN customer_id % 8 = 1 THEN array(1, 2) ELSE array(1) END) AS version_num"
+        ).selectExpr(
+            "1000 + customer_id * 2 + version_num - 1 AS dim_crm_customer_key",
             "customer_id",
             "customer_code",
-            full_name(F.col("first_name"), F.col("last_name")).alias("full_name"),
-            F.when(older | (k % 6 == 1), F.concat(F.lit("old."), "email")).otherwise(F.col("email")).alias("email"),
+            "concat(coalesce(first_name, ''), ' ', coalesce(last_name, '')) AS full_name",
+            f"CASE WHEN {older} OR customer_id % 6 = 1 THEN concat('old.', email) ELSE email END AS email",
             "phone",
             "date_of_birth",
-            F.when(k % 9 != 2, F.col("postcode")).alias("postcode"),
+            "CASE WHEN customer_id % 9 <> 2 THEN postcode END AS postcode",
             "region_code",
             "customer_segment",
             "acquisition_channel",
             "is_opted_in_email",
-            F.when(F.col("version_num") == 2, F.lit(replaced_on)).otherwise(F.lit(first_day)).alias("valid_from"),
-            F.when(older, F.lit(dt.date(2023, 6, 30))).otherwise(F.lit(dt.date(9999, 12, 31))).alias("valid_to"),
-            F.when(older, "N").otherwise("Y").alias("is_current"),
+            "CASE WHEN version_num = 2 THEN DATE '2023-07-01' ELSE DATE '2023-01-01' END AS valid_from",
+            f"CASE WHEN {older} THEN DATE '2023-06-30' ELSE DATE '9999-12-31' END AS valid_to",
+            f"CASE WHEN {older} THEN 'N' ELSE 'Y' END AS is_current",
             "version_num",
-            F.when(F.col("version_num") == 2, F.lit(replaced_on)).otherwise(F.lit(first_day)).alias("created_date"),
-            F.when(older, F.lit(replaced_on)).alias("updated_date"),
+            "CASE WHEN version_num = 2 THEN DATE '2023-07-01' ELSE DATE '2023-01-01' END AS created_date",
+            f"CASE WHEN {older} THEN DATE '2023-07-01' END AS updated_date",
         )
 
     @cached_property
@@ -240,52 +229,46 @@ class SourceTables:
 
     @cached_property
     def audit_messages(self) -> DataFrame:
-        e = F.col("event_id")
-        return self.given("events").select(
-            F.concat(F.lit("WF_"), (F.col("user_id") % 30).cast("string")).alias("workflow_name"),
-            F.col("event_type").alias("job_name"),
-            F.to_date("ts").alias("run_date"),
-            F.when(e % 10 == 0, "FAILED")
-            .when(e % 10 == 1, "NO_DATA")
-            .when(e % 10 == 2, "RUNNING")
-            .otherwise("SUCCESS")
-            .alias("status"),
-            e.alias("rows_processed"),
-            F.col("ts").alias("message_ts"),
+        return self.given("events").selectExpr(
+            "concat('WF_', user_id % 30) AS workflow_name",
+            "event_type AS job_name",
+            "CAST(ts AS date) AS run_date",
+            "CASE event_id % 10 WHEN 0 THEN 'FAILED' WHEN 1 THEN 'NO_DATA' WHEN 2 THEN 'RUNNING' "
+            "ELSE 'SUCCESS' END AS status",
+            "event_id AS rows_processed",
+            "ts AS message_ts",
         )
 
     @cached_property
     def asked_jobs(self) -> DataFrame:
         """One prerequisite per customer; some workflows and dates have no audit row."""
-        k = F.col("c_custkey")
-        return self.given("customer").select(
-            k.alias("request_id"),
-            F.concat(F.lit("WF_"), (k % 35).cast("string")).alias("workflow_name"),
-            pick(k, ("signup", "view", "click", "purchase", "error")).alias("job_name"),
-            F.date_sub(F.lit(RUN), (k % 33).cast("int")).alias("run_date"),
+        return self.given("customer").selectExpr(
+            "c_custkey AS request_id",
+            "concat('WF_', c_custkey % 35) AS workflow_name",
+            f"{pick('c_custkey', JOBS)} AS job_name",
+            f"date_sub({RUN_SQL}, CAST(c_custkey % 33 AS int)) AS run_date",
         )
 
     @cached_property
     def dependency_edges(self) -> DataFrame:
-        flag = F.col("l_returnflag")
-        return self.given("lineitem").select(
-            pick(F.col("l_suppkey"), OWNERS).alias("object_owner"),
-            F.concat(F.lit("PKG_"), (F.col("l_suppkey") % 40).cast("string")).alias("object_name"),
-            F.when(flag == "A", "PACKAGE BODY").when(flag == "N", "PROCEDURE").otherwise("VIEW").alias("object_type"),
-            pick(F.col("l_partkey"), OWNERS).alias("ref_owner"),
-            F.concat(F.lit("TAB_"), (F.col("l_partkey") % 200).cast("string")).alias("ref_name"),
-            F.lit("TABLE").alias("ref_type"),
+        return self.given("lineitem").selectExpr(
+            f"{pick('l_suppkey', OWNERS)} AS object_owner",
+            "concat('PKG_', l_suppkey % 40) AS object_name",
+            "CASE l_returnflag WHEN 'A' THEN 'PACKAGE BODY' WHEN 'N' THEN 'PROCEDURE' ELSE 'VIEW' END AS object_type",
+            f"{pick('l_partkey', OWNERS)} AS ref_owner",
+            "concat('TAB_', l_partkey % 200) AS ref_name",
+            "'TABLE' AS ref_type",
         )
 
     @cached_property
     def grants(self) -> DataFrame:
         return (
             self.given("lineitem")
-            .select(
-                pick(F.col("l_suppkey"), OWNERS).alias("source_schema"),
-                F.concat(F.lit("TAB_"), (F.col("l_partkey") % 200).cast("string")).alias("source_table"),
-                pick(F.col("l_linenumber"), OWNERS).alias("target_schema"),
-                pick(F.col("l_quantity"), PRIVILEGES).alias("privilege"),
+            .selectExpr(
+                f"{pick('l_suppkey', OWNERS)} AS source_schema",
+                "concat('TAB_', l_partkey % 200) AS source_table",
+                f"{pick('l_linenumber', OWNERS)} AS target_schema",
+                f"{pick('l_quantity', PRIVILEGES)} AS privilege",
             )
             .distinct()
         )
@@ -293,18 +276,14 @@ class SourceTables:
     @cached_property
     def lineage_chains(self) -> DataFrame:
         """One chain per supplier; every third has no package, some packages have no edges."""
-        s = F.col("s_suppkey")
-        number = s.cast("string")
-        package = F.concat(
-            pick(s, OWNERS), F.lit(".PKG_"), (s % 45).cast("string"), F.lit(".LOAD_"), number
-        )
-        return self.given("supplier").select(
-            F.concat(F.lit("CHAIN-"), number).alias("chain_id"),
-            F.lit("WEEKLY").alias("uc4_workflow"),
-            F.concat(F.lit("JOB_"), number).alias("uc4_job"),
-            F.array(F.concat(F.lit("SRC.T_"), number), F.lit("SRC.COMMON")).alias("source_tables"),
-            F.when(s % 2 == 0, F.concat(F.lit("STG.T_"), number)).alias("staging_table"),
-            F.when(s % 3 != 0, package).alias("plsql_package"),
-            F.concat(F.lit("DW.T_"), number).alias("target_table"),
-            F.when(s % 5 == 0, "VIP").alias("segment_code"),
+        package = f"concat({pick('s_suppkey', OWNERS)}, '.PKG_', s_suppkey % 45, '.LOAD_', s_suppkey)"
+        return self.given("supplier").selectExpr(
+            "concat('CHAIN-', s_suppkey) AS chain_id",
+            "'WEEKLY' AS uc4_workflow",
+            "concat('JOB_', s_suppkey) AS uc4_job",
+            "array(concat('SRC.T_', s_suppkey), 'SRC.COMMON') AS source_tables",
+            "CASE WHEN s_suppkey % 2 = 0 THEN concat('STG.T_', s_suppkey) END AS staging_table",
+            f"CASE WHEN s_suppkey % 3 <> 0 THEN {package} END AS plsql_package",
+            "concat('DW.T_', s_suppkey) AS target_table",
+            "CASE WHEN s_suppkey % 5 = 0 THEN 'VIP' END AS segment_code",
         )
