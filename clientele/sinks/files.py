@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -25,6 +26,9 @@ def replace_partition(
     ``slice_values`` are the leading partition columns with their values, in order; ``partition_by`` the partition
     columns below them. Other partitions are not read or written, and a second run gives the same files' content.
     """
+    for value in slice_values.values():
+        if not re.fullmatch(r"[\w.\-]+", str(value)):
+            raise ValueError(f"{value!r} cannot name a partition folder")
     folder = "/".join([path.rstrip("/"), *[f"{name}={value}" for name, value in slice_values.items()]])
     df.drop(*slice_values).write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
 
