@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 LOG_SCHEMA = "version bigint"
 
@@ -54,7 +54,7 @@ def read_history(spark: SparkSession, path: str, schema: StructType, flag: str =
     version = newest_version(spark, path)
     if version == 0:
         return spark.createDataFrame([], schema)
-    with_version = StructType.fromJson(schema.jsonValue()).add("version", "bigint")
+    with_version = StructType([*schema.fields, StructField("version", LongType())])
     rows = spark.read.schema(with_version).parquet(f"{path}/data")
     visible = F.col("version").between(1, version) & (
         (F.col(flag) != "Y") | (F.col("version") == version)

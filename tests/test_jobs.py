@@ -1,0 +1,148 @@
+"""The jobs from end to end over a store filled from the smallest test set."""
+
+import datetime as dt
+import itertools
+
+import pytest
+from pyspark.sql import functions as F
+
+from clientele import schemas
+from clientele.params import RunParams
+from clientele.plans.enrichment import run_enrichment
+from clientele.plans.lineage_run import run_lineage
+from clientele.plans.segment_load import run_segment_load
+from clientele.plans.segmentation import run_segmentation
+from clientele.sinks.versions import write_version
+from clientele.sources.store import INPUTS, Store
+from tests.conftest import SMALL
+from tests.helpers import rows
+from verification.queries import Inputs
+from verification.source_tables import REPOSITORIES, RUN
+
+
+def fill(spark, root):
+    store, given = Store(spark, str(root)), Inputs(spark, SMALL)
+    for name, schema in INPUTS.items():
+        getattr(given, name).select(*schema.names).write.parquet(store.path(name))
+    write_version(spark, given.dim_customer_crm, store.path("dim_customer_crm"), ["is_current"])
+    return store
+
+
+def ticking():
+    minutes = itertools.count()
+    return lambda: dt.datetime(2024, 1, 30, 4) + dt.timedelta(minutes=next(minutes))
+
+
+@pytest.fixture(scope="module")
+def loaded(spark, tmp_path_factory):
+    store = fill(spark, tmp_path_factory.mktemp("store"))
+    params = RunParams(RUN, batch_size=None, config_model_version="v3")
+    return store, params, run_segment_load(store, params, ticking())
+
+
+def state(store):
+    """Everything a load writes, without surrogate keys and times."""
+    return {
+        "profiles": rows(store.profiles(RUN)),
+        "dimension": rows(store.dimension()),
+        "events": rows(store.read("stg_campaign_events")),
+        "interactions": rows(store.read("stg_customer_interactions")),
+        "scores": rows(store.read("fact_customer_scores").drop("score_key")),
+        "campaigns": rows(store.read("fact_campaign_performance").drop("perf_key")),
+        "summary": rows(store.read("fact_customer_segment_summary").drop("segment_summary_key")),
+        "audit": rows(store.read("etl_job_audit"), "workflow_name", "job_name", "run_date", "status", "rows_processed"),
+    }
+
+
+def test_load_agrees_with_the_operators(spark, loaded):
+    store, params, result = loaded
+    given = Inputs(spark, SMALL)
+    assert result["status"] == "SUCCESS"
+    assert result["staged"] == given.staged.count()
+    merged = given.merged_dimension()
+    tracked = [c for c in merged.columns if c != "dim_crm_customer_key"]
+    assert rows(store.dimension(), *tracked) == rows(merged, *tracked)
+    keys = store.dimension().select("dim_crm_customer_key")
+    assert keys.distinct().count() == keys.count()
+
+    chosen = ["customer_id", "clv_score", "churn_risk_score", "propensity_buy_score", "engagement_score"]
+    scores = store.read("fact_customer_scores")
+    expected = given.procedural(dim=merged)
+    assert rows(scores.filter("model_version = 'v2.1'"), *chosen) == rows(expected, *chosen)
+    assert result["scores"] == scores.count() == 2 * expected.count()
+    assert {r.etl_status for r in store.profiles(RUN).select("etl_status").distinct().collect()} == {"LOADED"}
+    audit = store.read("etl_job_audit").collect()
+    assert [(r.status, r.rows_processed) for r in audit] == [("SUCCESS", result["scores"])]
+
+
+def test_second_run_leaves_the_same_content(loaded):
+    store, params, first = loaded
+    before = state(store)
+    again = run_segment_load(store, params, ticking())
+    after = state(store)
+    for name in before:
+        assert after[name] == before[name], name
+    assert again["dimension_rows"] == 0 and first["dimension_rows"] > 0
+
+
+def test_keys_stay_unique(loaded):
+    store, _, _ = loaded
+    for table, key in (
+        ("fact_customer_scores", "score_key"),
+        ("fact_campaign_performance", "perf_key"),
+        ("fact_customer_segment_summary", "segment_summary_key"),
+    ):
+        keys = store.read(table).select(key)
+        assert keys.distinct().count() == keys.count() > 0
+        assert keys.agg(F.min(key)).first()[0] >= 1000
+
+
+def test_enrichment_segmentation_and_lineage(spark, loaded):
+    store, params, _ = loaded
+    staged = store.profiles(RUN).count()
+    for _ in range(2):
+        run_enrichment(store, params)
+        run_segmentation(store, RUN, "v2.1")
+        run_lineage(store, RUN, "WEEKLY", dt.datetime(2024, 1, 30), REPOSITORIES)
+    scores = store.read("fact_customer_scores")
+    assert scores.filter("model_version = 'v2.1-graph'").count() == staged
+    assert spark.read.parquet(store.path("scoring_audit")).agg(F.sum("row_count")).first()[0] == staged
+    totals = spark.read.parquet(store.path("segment_rollup"))
+    assert totals.agg(F.sum("customer_count"), F.sum("at_risk_count")).first()[0] == staged
+    at_risk = spark.read.option("sep", "|").option("header", True).csv(store.path("at_risk")).count()
+    assert at_risk == totals.agg(F.sum("at_risk_count")).first()[0]
+
+    micro = spark.read.parquet(store.path("crm_micro_segments"))
+    assert micro.count() == scores.filter("model_version = 'v2.1'").count()
+    for name in ("crm_region_segment_dist", "crm_segment_weekly_snapshot"):
+        written = spark.read.parquet(store.path(name))
+        assert written.agg(F.sum("customer_count")).first()[0] == micro.count()
+    snapshot = spark.read.text(store.path("lineage"))
+    assert snapshot.filter("section = 'lineage_chains'").count() >= store.read("lineage_chains").count()
+    assert snapshot.filter("section = 'summary'").count() == 1
+
+
+def test_single_segments_make_up_the_whole(spark, tmp_path):
+    store = fill(spark, tmp_path)
+    for segment in ("VIP", "RETAIL", "WHOLESALE"):
+        run_segment_load(store, RunParams(RUN, segment, batch_size=None, config_model_version="v3"), ticking())
+    three = "customer_segment IN ('VIP', 'RETAIL', 'WHOLESALE')"
+    given = Inputs(spark, SMALL)
+    assert store.profiles(RUN).count() == given.staged.filter(three).count()
+    merged = given.merged_dimension()
+    tracked = [c for c in merged.columns if c != "dim_crm_customer_key"]
+    expected = rows(merged.filter(three).filter("is_current = 'Y'"), *tracked)
+    assert rows(store.dimension().filter(three).filter("is_current = 'Y'"), *tracked) == expected
+    scored = store.read("fact_customer_scores").filter("model_version = 'v2.1'")
+    assert scored.count() == len(expected)
+
+
+def test_empty_segment(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    for name, schema in INPUTS.items():
+        spark.createDataFrame([], schema).write.parquet(store.path(name))
+    result = run_segment_load(store, RunParams(RUN, "VIP", allow_empty=True), ticking())
+    assert result["status"] == "NO_DATA"
+    result = run_segment_load(store, RunParams(RUN, "VIP"), ticking())
+    assert result == {"status": "SUCCESS", "staged": 0, "dimension_rows": 0, "scores": 0}
+    assert store.dimension().schema.names == schemas.DIM_CUSTOMER_CRM.names
