@@ -20,9 +20,10 @@ def lookup_join(
 ) -> DataFrame:
     """Join many rows to a lookup that has one row per key, safe when one key holds much of the data.
 
-    No broadcast is forced. Where Spark measures the lookup as small enough it broadcasts it by itself; where not,
-    each key is spread over ``copies`` tasks by the hash of ``spread_by`` instead of landing in a single one.
-    Rows with a null key are spread the same way. ``spread_by`` must vary inside a key.
+    No broadcast is forced. Where Spark measures the lookup as within its broadcast limit it broadcasts the copies,
+    at most ``copies`` times that limit; where not, each key is spread over ``copies`` tasks by the hash of
+    ``spread_by`` instead of landing in a single one, and adaptive execution may split those further. Rows with a
+    null key are spread the same way. ``spread_by`` must vary inside a key.
     """
     keys = [on] if isinstance(on, str) else list(on)
     spread = F.pmod(F.xxhash64(spread_by), F.lit(copies)).cast("int")

@@ -76,14 +76,8 @@ def scd2_inserted(
     dimension: DataFrame, staged: DataFrame, run_date: dt.date, lane: Column | None = None, lanes: int = LANES
 ) -> DataFrame:
     """New current rows: for customers without a current row, and for those whose row has just been closed."""
-    ids = staged.select("customer_id")
     standing = current_dimension(dimension).select("customer_id", *TRACKED, F.lit(True).alias("stands"))
-    versions = (
-        dimension.select("customer_id", "version_num")
-        .join(ids, "customer_id", "left_semi")
-        .groupBy("customer_id")
-        .agg(F.max("version_num").alias("last_version"))
-    )
+    versions = dimension.groupBy("customer_id").agg(F.max("version_num").alias("last_version"))
     opened = (
         incoming(staged)
         .alias("new")

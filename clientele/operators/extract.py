@@ -70,7 +70,13 @@ def extract_profiles(
 
 
 def staged_ids(staged: DataFrame, run_date: dt.date) -> DataFrame:
-    return staged.filter(F.col("load_date") == F.lit(run_date)).select(F.col("customer_id").alias("cust_id"))
+    """Ids staged by the run, in a shuffle of their own.
+
+    Adaptive execution splits the events of a hot customer only where both sides of the join come straight from a
+    shuffle; without the hint the ids could arrive already grouped by an earlier join on the same key.
+    """
+    ids = staged.filter(F.col("load_date") == F.lit(run_date)).select(F.col("customer_id").alias("cust_id"))
+    return ids.hint("rebalance")
 
 
 def extract_events(events: DataFrame, campaigns: DataFrame, staged: DataFrame, run_date: dt.date) -> DataFrame:

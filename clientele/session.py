@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Splits a hot key of a large join over several tasks.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Also where the split costs one more shuffle after it: that one moves partly aggregated rows.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     # A batch limit above this sorts across the cluster and spills, rather than keeping a heap per task.
     "spark.sql.execution.topKSortFallbackThreshold": "1000000",

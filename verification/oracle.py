@@ -173,12 +173,16 @@ TABLES: dict[str, str] = {
                END AS event_type,
                ts AS event_date, CAST(value AS DECIMAL(14,4)) AS revenue_attributed
         FROM events""",
+    "campaign_rows": """
+        SELECT DISTINCT 'CAMP' || lpad(CAST(p_partkey % 20 AS VARCHAR), 2, '0') AS campaign_id,
+               'Campaign ' || lpad(CAST(p_partkey % 20 AS VARCHAR), 2, '0') AS campaign_name
+        FROM part WHERE p_partkey % 20 <> 19""",
     "stg_events": f"""
-        SELECT event_id, customer_id, campaign_id, 'Campaign ' || substr(campaign_id, 5, 2) AS campaign_name,
+        SELECT event_id, customer_id, campaign_id, c.campaign_name,
                event_type, event_date, CAST(NULL AS VARCHAR) AS channel, CAST(NULL AS VARCHAR) AS offer_code,
                COALESCE(revenue_attributed, 0) AS revenue_attributed, {RUN} AS load_date
-        FROM source_events
-        WHERE campaign_id <> 'CAMP19' AND event_date >= {RUN} - 90 AND event_date < {RUN} + 1
+        FROM source_events JOIN campaign_rows c USING (campaign_id)
+        WHERE event_date >= {RUN} - 90 AND event_date < {RUN} + 1
           AND customer_id IN (SELECT customer_id FROM staged)""",
     "stg_interactions": f"""
         SELECT event_id AS interaction_id, user_id AS customer_id, event_type AS interaction_type,

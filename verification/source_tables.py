@@ -28,6 +28,7 @@ GIVEN = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
     "o_orderdate timestamp_ntz, o_orderpriority string",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
@@ -100,7 +101,8 @@ class SourceTables:
         return self.given("events").selectExpr(
             "event_id",
             "user_id AS cust_id",
-            "concat('CAMP', lpad(CAST(get_json_object(props, '$.k') AS bigint) % 20, 2, '0')) AS camp_ref",
+            "concat('CAMP', lpad(CAST(regexp_extract(props, '\"k\": *([0-9]+)', 1) AS bigint) % 20, 2, '0')) "
+            "AS camp_ref",
             "CASE WHEN event_type = 'signup' THEN 'SENT' WHEN event_type = 'view' THEN 'OPENED' "
             "WHEN event_type = 'click' THEN 'CLICKED' "
             "WHEN event_type = 'purchase' AND event_id % 4 = 0 THEN 'CONVERTED' "
@@ -114,12 +116,13 @@ class SourceTables:
 
     @cached_property
     def src_campaigns(self) -> DataFrame:
-        """Campaigns seen in the events, but for the last one, whose events are orphans."""
+        """One campaign per group of parts, but for the last group: its events are orphans."""
         return (
-            self.src_campaign_events.select("camp_ref")
+            self.given("part")
+            .selectExpr("lpad(p_partkey % 20, 2, '0') AS number")
+            .filter("number <> '19'")
             .distinct()
-            .filter("camp_ref <> 'CAMP19'")
-            .selectExpr("camp_ref", "concat('Campaign ', substring(camp_ref, 5, 2)) AS camp_name")
+            .selectExpr("concat('CAMP', number) AS camp_ref", "concat('Campaign ', number) AS camp_name")
         )
 
     @cached_property
