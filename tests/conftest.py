@@ -19,6 +19,8 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "8g",
+            "spark.sql.maxMetadataStringLength": "5000",
+            "spark.sql.debug.maxToStringFields": "200",
             "spark.ui.showConsoleProgress": "false",
         },
     )
