@@ -25,31 +25,34 @@ from clientele.sources.tables import latest_sales
 SCORE_COLUMNS = [name for name in schemas.FACT_CUSTOMER_SCORES.names if name != "score_key"]
 
 
+def newest_counts(staged: DataFrame, **counts: Column) -> DataFrame:
+    """Counts per customer, taken from the newest load that holds the customer.
+
+    Each load stages the whole window of every customer it touches, so older loads repeat rows of the newest one.
+    Counting per load first keeps the choice among a few rows per customer instead of all staged rows.
+    """
+    per_load = staged.groupBy("customer_id", "load_date").agg(*[c.alias(name) for name, c in counts.items()])
+    return per_load.groupBy("customer_id").agg(*[F.max_by(name, "load_date").alias(name) for name in counts])
+
+
 def conversion_rates(events: DataFrame, run_date: dt.date, days: int = fv.EVENT_DAYS) -> DataFrame:
     """Per customer: events, conversions and their ratio in the window."""
-    return (
-        events.filter(since_days("event_date", run_date, days))
-        .groupBy("customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("event_count"),
-            ladders.count_if(F.col("event_type") == fv.CONVERTED).alias("conversion_count"),
-        )
-        .withColumn(
-            "conversion_rate", ladders.ratio(F.col("conversion_count"), F.col("event_count"), 4).cast(ladders.SCORE)
-        )
+    recent = events.filter(since_days("event_date", run_date, days))
+    counted = newest_counts(
+        recent,
+        event_count=F.count(F.lit(1)),
+        conversion_count=ladders.count_if(F.col("event_type") == fv.CONVERTED),
     )
+    rate = ladders.ratio(F.col("conversion_count"), F.col("event_count"), 4).cast(ladders.SCORE)
+    return counted.withColumn("conversion_rate", rate)
 
 
 def interaction_counts(interactions: DataFrame, run_date: dt.date, days: int = fv.INTERACTION_DAYS) -> DataFrame:
     """Per customer: interactions in the window, and their number per day of a 30-day month."""
-    return (
-        interactions.filter(since_days("interaction_date", run_date, days))
-        .groupBy("customer_id")
-        .agg(F.count(F.lit(1)).alias("interaction_count"))
-        .withColumn(
-            "interact_score", ladders.ratio(F.col("interaction_count"), F.lit(30), 4).cast(ladders.WIDE_SCORE)
-        )
-    )
+    recent = interactions.filter(since_days("interaction_date", run_date, days))
+    counted = newest_counts(recent, interaction_count=F.count(F.lit(1)))
+    score = ladders.ratio(F.col("interaction_count"), F.lit(30), 4).cast(ladders.WIDE_SCORE)
+    return counted.withColumn("interact_score", score)
 
 
 def campaign_rollup(events: DataFrame) -> DataFrame:
@@ -71,7 +74,8 @@ def scored_base(
 ) -> DataFrame:
     """Current customers with spend, conversion and interaction figures.
 
-    Every input is one row per customer and hashed by customer, so each is shuffled once for all three joins.
+    Every input is reduced to one row per customer and hashed by customer before the three joins, which then need no
+    further shuffle.
     """
     spend = latest_sales(sales, ["lifetime_value", "last_purchase_date"])
     return (

@@ -26,7 +26,7 @@ class RunParams:
     """Parameters of one load.
 
     ``as_of`` is the day from which recency is counted. ``batch_size`` None takes every row. ``batch_sizes`` may
-    override the size for a segment.
+    override the size for a segment. ``workflow`` and ``job`` name the load in the audit table.
     """
 
     run_date: dt.date
@@ -39,6 +39,8 @@ class RunParams:
     as_of: dt.date | None = None
     allow_empty: bool = False
     spend_rule: str = "per_customer"
+    workflow: str = "WEEKLY"
+    job: str = "SEGMENT_LOAD"
 
     def __post_init__(self):
         object.__setattr__(self, "run_date", as_date(self.run_date))

@@ -36,7 +36,7 @@ def run_enrichment(store: Store, p: RunParams, status: str | None = None, model:
         else:
             replace_partition(totals, store.path("segment_rollup"), {**place, "segment_code": p.segment})
         _, at_risk = scoring.churn_split(scored, fv.CHURN_LIMIT)
-        write_at_risk(at_risk, store.path("at_risk"), p.run_date)
+        write_at_risk(at_risk, store.path("at_risk"), p.run_date, p.segment)
         write_count(scored, store.path("scoring_audit"), p.run_date)
     finally:
         scored.unpersist()

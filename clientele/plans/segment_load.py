@@ -22,8 +22,6 @@ from clientele.sources.store import Store
 
 log = logging.getLogger(__name__)
 
-WORKFLOW = "CRM_WEEKLY_WORKFLOW"
-JOB = "CRM_CUSTOMER_SEGMENT_LOAD"
 SCORE_SLICES = ("score_date", "model_version", "segment_code")
 
 
@@ -32,9 +30,9 @@ def first_free(table: DataFrame, key: str) -> int:
     return table.agg(F.coalesce(F.max(key) + 1, F.lit(fv.FIRST_KEY))).first()[0]
 
 
-def log_status(store: Store, job: str, run_date: dt.date, status: str, rows: int, at: dt.datetime) -> None:
+def log_status(store: Store, p: RunParams, status: str, rows: int, at: dt.datetime) -> None:
     message = store.spark.createDataFrame(
-        [(WORKFLOW, job, run_date, status, rows, at)], schemas.AUDIT_MESSAGES
+        [(p.workflow, p.job, p.run_date, status, rows, at)], schemas.AUDIT_MESSAGES
     )
     path = store.path("etl_job_audit")
     write_version(store.spark, audit.audit_upsert(store.read("etl_job_audit"), message), path)
@@ -93,17 +91,19 @@ def mark_loaded(store: Store, p: RunParams) -> None:
     write_version(store.spark, after, store.profiles_path(p.run_date))
 
 
-def staged_history(store: Store, name: str, run_date: dt.date) -> DataFrame:
-    """Events or interactions staged by the run; earlier loads hold the same rows again."""
-    return store.read(name).filter(F.col("load_date") == F.lit(run_date))
+def staged_since(store: Store, name: str, run_date: dt.date, days: int) -> DataFrame:
+    """Rows staged by this run and the earlier ones whose window can still matter; partitions before are not read."""
+    return store.read(name).filter(F.col("load_date").between(run_date - dt.timedelta(days=days), run_date))
 
 
-def score_inputs(store: Store, p: RunParams) -> tuple[DataFrame, ...]:
+def score_inputs(
+    store: Store, p: RunParams, camp_days: int = fv.EVENT_DAYS, inter_days: int = fv.INTERACTION_DAYS
+) -> tuple[DataFrame, ...]:
     return (
         store.dimension(),
         store.read("stg_customer_sales"),
-        staged_history(store, "stg_campaign_events", p.run_date),
-        staged_history(store, "stg_customer_interactions", p.run_date),
+        staged_since(store, "stg_campaign_events", p.run_date, camp_days),
+        staged_since(store, "stg_customer_interactions", p.run_date, inter_days),
     )
 
 
@@ -132,7 +132,7 @@ def load_campaigns(store: Store, p: RunParams) -> None:
     """Replace the campaign figures of the run date."""
     path = store.path("fact_campaign_performance")
     start = first_free(store.read("fact_campaign_performance"), "perf_key")
-    events = staged_history(store, "stg_campaign_events", p.run_date)
+    events = tables.staged_events(store.read("stg_campaign_events"), p.run_date)
     figures = facts.campaign_performance(events, p.run_date)
     keyed = with_sequence(figures, "perf_key", start, ["campaign_id"]).withColumns(
         {"dim_campaign_key": F.lit(None).cast("bigint"), "load_date": F.lit(p.run_date)}
@@ -175,17 +175,17 @@ def add_configured_scores(store: Store, p: RunParams) -> None:
     """Score the customers that the configured model has not scored yet on the date."""
     model = p.config_model_version or p.model_version
     features = config.load_features(store.read("scoring_feature_config"), model, p.segment)
+    windows = config.campaign_window(features), config.interaction_window(features)
     already = store.read("fact_customer_scores")
     scores = scoring.scores_config(
-        *score_inputs(store, p),
+        *score_inputs(store, p, *windows),
         p.run_date,
         p.segment,
         p.region,
         model,
         p.batch_number,
         p.batch,
-        config.campaign_window(features),
-        config.interaction_window(features),
+        *windows,
         already,
         p.as_of,
     )
@@ -215,12 +215,12 @@ def merge_summary(store: Store, p: RunParams) -> None:
 
 def run_segment_load(store: Store, p: RunParams, clock: Callable[[], dt.datetime]) -> dict[str, int | str]:
     """One load from source tables to facts. A repeated run leaves the same content. One load at a time."""
-    log_status(store, JOB, p.run_date, "RUNNING", 0, clock())
+    log_status(store, p, "RUNNING", 0, clock())
     stage(store, p)
     staged = facts.staged_row_count(store.profiles(p.run_date), p.run_date, p.segment).first()[0]
     if staged == 0:
         if p.allow_empty:
-            log_status(store, JOB, p.run_date, "NO_DATA", 0, clock())
+            log_status(store, p, "NO_DATA", 0, clock())
             return {"status": "NO_DATA", "staged": 0, "dimension_rows": 0, "scores": 0}
         log.warning("no staged rows for segment %s on %s", p.segment, p.run_date)
     dimension_rows = load_dimension(store, p)
@@ -230,5 +230,5 @@ def run_segment_load(store: Store, p: RunParams, clock: Callable[[], dt.datetime
     add_configured_scores(store, p)
     merge_summary(store, p)
     scores = facts.score_row_count(store.read("fact_customer_scores"), p.run_date, p.segment).first()[0]
-    log_status(store, JOB, p.run_date, "SUCCESS", scores, clock())
+    log_status(store, p, "SUCCESS", scores, clock())
     return {"status": "SUCCESS", "staged": staged, "dimension_rows": dimension_rows, "scores": scores}

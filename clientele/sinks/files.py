@@ -18,6 +18,13 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def partition_folder(path: str, slice_values: Mapping[str, object]) -> str:
+    for value in slice_values.values():
+        if not re.fullmatch(r"[\w.\-]+", str(value)):
+            raise ValueError(f"{value!r} cannot name a partition folder")
+    return "/".join([path.rstrip("/"), *[f"{name}={value}" for name, value in slice_values.items()]])
+
+
 def replace_partition(
     df: DataFrame, path: str, slice_values: Mapping[str, object], partition_by: Sequence[str] = ()
 ) -> None:
@@ -26,10 +33,7 @@ def replace_partition(
     ``slice_values`` are the leading partition columns with their values, in order; ``partition_by`` the partition
     columns below them. Other partitions are not read or written, and a second run gives the same files' content.
     """
-    for value in slice_values.values():
-        if not re.fullmatch(r"[\w.\-]+", str(value)):
-            raise ValueError(f"{value!r} cannot name a partition folder")
-    folder = "/".join([path.rstrip("/"), *[f"{name}={value}" for name, value in slice_values.items()]])
+    folder = partition_folder(path, slice_values)
     df.drop(*slice_values).write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
 
 
@@ -38,17 +42,16 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **opti
     df.write.format("jdbc").mode(mode).options(url=url, dbtable=table, **options).save()
 
 
-def write_at_risk(df: DataFrame, path: str, run_date: dt.date) -> None:
-    """At-risk customers as pipe-separated text, one folder per segment and run date."""
-    tagged = df.withColumn("run_date", F.lit(run_date))
-    (
-        tagged.write.mode("overwrite")
-        .option("sep", "|")
-        .option("header", True)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date", "customer_segment")
-        .csv(path)
-    )
+def write_at_risk(df: DataFrame, path: str, run_date: dt.date, segment: str = "ALL") -> None:
+    """At-risk customers as pipe-separated text, one folder per run date and segment.
+
+    The folder of the run, or of the run and segment, is replaced as a whole, also by nothing.
+    """
+    place, below = {"run_date": run_date}, ["customer_segment"]
+    if segment != "ALL":
+        place, below = {**place, "customer_segment": segment}, []
+    writer = df.drop(*place).write.mode("overwrite").option("sep", "|").option("header", True)
+    writer.partitionBy(*below).csv(partition_folder(path, place))
 
 
 def write_count(df: DataFrame, path: str, run_date: dt.date) -> None:

@@ -146,3 +146,24 @@ def test_empty_segment(spark, tmp_path):
     result = run_segment_load(store, RunParams(RUN, "VIP"), ticking())
     assert result == {"status": "SUCCESS", "staged": 0, "dimension_rows": 0, "scores": 0}
     assert store.dimension().schema.names == schemas.DIM_CUSTOMER_CRM.names
+
+
+def test_next_week_keeps_events_of_customers_staged_before(spark, tmp_path):
+    store = fill(spark, tmp_path)
+    week = dt.timedelta(days=7)
+    run_segment_load(store, RunParams(RUN - week, batch_size=None), ticking())
+    run_segment_load(store, RunParams(RUN, batch_size=None), ticking())
+    first, second = store.profiles(RUN - week), store.profiles(RUN)
+    scored = store.read("fact_customer_scores").filter((F.col("score_date") == RUN) & (F.col("model_version") == "v2.1"))
+    earlier = store.read("stg_campaign_events").filter(F.col("load_date") == RUN - week)
+    only_before = (
+        earlier.filter("event_type = 'CONVERTED'")
+        .select("customer_id")
+        .distinct()
+        .join(second, "customer_id", "left_anti")
+        .join(first, "customer_id", "left_semi")
+    )
+    kept = scored.join(only_before, "customer_id", "left_semi")
+    assert kept.count() == only_before.count() > 0
+    assert kept.filter("propensity_buy_score = 0").count() == 0
+    assert store.dimension().filter("is_current = 'Y'").groupBy("customer_id").count().filter("count > 1").count() == 0

@@ -103,7 +103,7 @@ def test_current_rows_are_read_without_history(spark, tmp_path):
     assert current.count() == 1
 
 
-def test_scoring_shuffles_each_input_once(spark, tmp_path):
+def test_scoring_joins_need_no_shuffle_of_their_own(spark, tmp_path):
     given = queries.Inputs(spark, SMALL)
     stored = {
         "dim": given.dim_customer_crm,
@@ -116,8 +116,11 @@ def test_scoring_shuffles_each_input_once(spark, tmp_path):
     with no_broadcast(spark):
         inputs = [spark.read.parquet(str(tmp_path / name)) for name in stored]
         text = plan(scoring.scores_procedural(*inputs, RUN))
-    assert text.count("Exchange hashpartitioning(customer_id") == 4
-    assert text.count("Exchange") == 4
+    by_customer = len(re.findall(r"Exchange hashpartitioning\(customer_id#\d+L?, \d+\)", text))
+    by_load = len(re.findall(r"Exchange hashpartitioning\(customer_id#\d+L?, load_date#\d+, \d+\)", text))
+    assert (by_customer, by_load) == (4, 2)
+    assert text.count("Exchange") == 6
+    assert text.count("SortMergeJoin") == 3
 
 
 def hot_events(spark, count=60000):

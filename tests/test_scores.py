@@ -109,6 +109,28 @@ def test_procedural_and_configured_scores(spark):
     assert configured[1] == (10, Decimal("0.5"), Decimal("0.3333"), Decimal("0.25"), "High-Value Premium Customer")
 
 
+def test_repeated_staging_counts_once_and_older_loads_still_count(spark):
+    week = dt.timedelta(days=7)
+    twice = [
+        {"customer_id": 1, "event_type": kind, "event_date": at(20), "load_date": load}
+        for kind in ("CONVERTED", "SENT")
+        for load in (RUN - week, RUN)
+    ]
+    once = [
+        {"customer_id": 1, "event_type": "SENT", "event_date": at(1), "load_date": RUN},
+        {"customer_id": 2, "event_type": "CONVERTED", "event_date": at(20), "load_date": RUN - week},
+    ]
+    events = frame(spark, schemas.STG_CAMPAIGN_EVENTS, *twice, *once)
+    rates = by_key(scoring.conversion_rates(events, RUN), "customer_id", "event_count", "conversion_rate")
+    assert rates == {1: (3, Decimal("0.3333")), 2: (1, Decimal(1))}
+    seen = [
+        {"customer_id": c, "interaction_date": at(9), "load_date": load}
+        for c, load in ((1, RUN - week), (1, RUN), (2, RUN - week))
+    ]
+    counts = scoring.interaction_counts(frame(spark, schemas.STG_CUSTOMER_INTERACTIONS, *seen), RUN)
+    assert by_key(counts, "customer_id", "interaction_count") == {1: 1, 2: 1}
+
+
 def test_three_hundred_interactions_do_not_overflow(spark):
     many = [{"customer_id": 1, "interaction_date": at(1)}] * 300
     tables = inputs(spark, [{"customer_id": 1}], interactions=many)

@@ -87,6 +87,15 @@ def test_at_risk_file(spark, tmp_path):
     text = spark.read.text(f"{path}/run_date={RUN}/customer_segment=VIP").collect()
     assert [r.value for r in text] == ["customer_id|n", "1|a"]
 
+    def ids():
+        back = spark.read.option("sep", "|").option("header", True).csv(path).filter(F.col("run_date") == RUN)
+        return rows(back, "customer_id")
+
+    files.write_at_risk(df.filter("customer_segment = 'VIP'").limit(0), path, RUN, "VIP")
+    assert ids() == [("2",)]
+    files.write_at_risk(df.limit(1), path, RUN)
+    assert ids() == [("1",)]
+
 
 def test_count_file(spark, tmp_path):
     path = str(tmp_path / "count")
