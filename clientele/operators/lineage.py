@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions import fixed_values as fv
+from clientele.functions.joins import lookup_join
 
 PAGE_SIZE = 1000
 
@@ -42,7 +43,7 @@ def dependency_lists(mapped: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame
         F.ceil(F.count(F.lit(1)) / F.lit(page_size)).cast("bigint").alias("pages")
     )
     return (
-        mapped.join(sizes, "object_name", "inner")
+        lookup_join(mapped, sizes, "object_name", "inner", spread_by="table_ref")
         .groupBy("object_name", page_of(F.col("table_ref"), F.col("pages")).alias("page"))
         .agg(
             F.sort_array(F.collect_list("table_ref")).alias("table_refs"),
