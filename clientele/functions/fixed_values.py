@@ -65,13 +65,13 @@ LONG_LABELS = {
 }
 NO_LABEL = "Unclassified"
 
-# Composite score weights and the lifetime value that earns the full last weight.
+# Composite score weights; lifetime value is scaled by the last figure, so that 10000 earns the full spend weight.
 WEIGHT_CLV = "0.30"
 WEIGHT_RETENTION = "0.25"
 WEIGHT_ENGAGEMENT = "0.20"
 WEIGHT_PROPENSITY = "0.15"
 WEIGHT_SPEND = "0.10"
-FULL_SPEND = 10000
+SPEND_SCALE = "0.0001"
 
 # Micro-segments by lowest composite score.
 MICRO_SEGMENTS = (

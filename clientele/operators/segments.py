@@ -17,7 +17,7 @@ def composite_score() -> Column:
     """Weighted score, exact in decimal; a missing score makes it null."""
     weight = ladders.decimal_of
     one = ladders.decimal_of("1")
-    spend = F.coalesce(F.col("lifetime_value"), F.lit(0).cast(NO_SPEND)) * ladders.decimal_of("0.0001")
+    spend = spend_or_zero() * weight(fv.SPEND_SCALE)
     return (
         F.col("clv_score") * weight(fv.WEIGHT_CLV)
         + (one - F.col("churn_risk_score")) * weight(fv.WEIGHT_RETENTION)
