@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import bpe, token_counts
+from clientele.llm import bpe, near_dup, token_counts
 from clientele.llm.common import table
 
 
@@ -24,6 +24,11 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Two-word shingles, Jaccard similarity of 0.8 or more."""
+    return near_dup.near_duplicates(table(spark, folder, "documents"), width=2, percent=80)
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return token_counts.token_counts(docs, public_tokenizers.path(token_counts.VOCABULARY), limit=512)
