@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import bpe, near_dup, token_counts
+from clientele.llm import bpe, embedding_dup, near_dup, token_counts, vector_search
 from clientele.llm.common import table
 
 
@@ -29,10 +29,20 @@ def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, folder, "documents"), width=2, percent=80)
 
 
+def op4_pivot_permutations(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors of one label with a cosine of 0.93 or more."""
+    return embedding_dup.embedding_duplicates(table(spark, folder, "embeddings"), threshold=0.93)
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return token_counts.token_counts(docs, public_tokenizers.path(token_counts.VOCABULARY), limit=512)
 
 
+def op7_one_bit_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 nearest of every vector whose id is divisible by 50."""
+    return vector_search.nearest_neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
