@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import bpe, embedding_dup, near_dup, token_counts, vector_search
+from clientele.llm import bpe, embedding_dup, near_dup, pages, token_counts, toxicity, vector_search
 from clientele.llm.common import table
 
 
@@ -44,5 +44,21 @@ def op7_one_bit_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_search.nearest_neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Learnt from the labels that are not held out; every text is scored."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    return toxicity.scored(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.main_texts(table(spark, folder, "pages"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
