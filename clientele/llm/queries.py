@@ -8,8 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import bpe, embedding_dup, near_dup, pages, token_counts, toxicity, vector_search
-from clientele.llm.common import table
+from clientele.llm import (
+    bpe,
+    embedding_dup,
+    fixity,
+    line_dedup,
+    mixing,
+    near_dup,
+    pages,
+    token_counts,
+    toxicity,
+    vector_search,
+)
+from clientele.llm.common import Scratch, table
 
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,6 +35,12 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_pfair_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources mixed by the root of their sizes; where every row goes."""
+    docs = table(spark, folder, "documents").select("doc_id", "source")
+    return mixing.mixed(docs, mixing.root_weights(docs))
+
+
 def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Two-word shingles, Jaccard similarity of 0.8 or more."""
     return near_dup.near_duplicates(table(spark, folder, "documents"), width=2, percent=80)
@@ -34,6 +51,31 @@ def op4_pivot_permutations(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dup.embedding_duplicates(table(spark, folder, "embeddings"), threshold=0.93)
 
 
+def op5_merkle_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """A fixity drill over all pages: per archive record whether the audit of a damaged replica names it."""
+    scratch = Scratch(spark)
+    records = scratch.save(fixity.warc_records(table(spark, folder, "pages")))
+    ours = fixity.merkle_tree(records, scratch)
+    theirs = fixity.merkle_tree(fixity.damaged(records), scratch)
+    found = fixity.audit(ours, theirs, scratch).withColumnRenamed("record", "node")
+    leaves = ours.where("level = 0").select("file", "node", "hash")
+    marks = found.select("file", "node", F.when(F.col("their_hash").isNull(), "lost").otherwise("changed").alias("status"))
+    rows = records.select("file", F.col("record").alias("node"), "record_id", "offset", "length")
+    return (
+        rows.join(leaves, ["file", "node"])
+        .join(marks, ["file", "node"], "left")
+        .select(
+            F.col("record_id").alias("page_id"),
+            "file",
+            F.col("node").alias("record"),
+            F.col("offset").alias("begin_offset"),
+            "length",
+            F.col("hash").alias("leaf_sha256"),
+            F.coalesce("status", F.lit("intact")).alias("status"),
+        )
+    )
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return token_counts.token_counts(docs, public_tokenizers.path(token_counts.VOCABULARY), limit=512)
@@ -44,6 +86,14 @@ def op7_one_bit_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_search.nearest_neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op8_line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of 50 words or more that occur before are deleted; per document what is left."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.without_repeats(docs).select(
+        "doc_id", "n_lines", "n_deleted", F.md5(F.encode("kept_text", "UTF-8")).alias("kept_md5")
+    )
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Learnt from the labels that are not held out; every text is scored."""
     docs = table(spark, folder, "documents").select("doc_id", "text")

@@ -1,4 +1,4 @@
-"""The corpus pipeline: stages that each read the documents that the stage before kept."""
+"""The corpus pipeline: documents in, token ids out. Each stage reads what the stage before kept."""
 
 from __future__ import annotations
 
@@ -6,18 +6,50 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clientele.llm import bpe
+from clientele.llm import bpe, line_dedup, mixing, near_dup
+from clientele.llm import toxicity as classifier
 from clientele.llm.common import Scratch, table
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier calls toxic go. It learns from the labels of these documents."""
+    model = classifier.train(docs, table(spark, sf_dir, "labels"))
+    return classifier.scored(docs, model, "toxicity_score").where("toxicity_score < 0.5").select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated runs of lines go; a document of which no line is left goes with them."""
+    found = line_dedup.without_repeats(docs)
+    found = found.where("n_deleted = 0 or n_deleted < n_lines").withColumns(
+        {"text": F.col("kept_text"), "n_chars": F.when(F.col("n_deleted") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))}
+    )
+    return found.select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are alike (shingles of five words, similarity of 0.8 or more) the one of smallest id stays."""
+    return near_dup.one_of_each(docs, width=5, percent=80)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order that mixes their sources by the roots of their sizes."""
+    return mixing.in_order(docs, mixing.root_weights(docs))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of every text that is left."""
-    return bpe.encode_decode(docs, public_tokenizers.path(bpe.RANKS)).drop("decoded")
+    """Byte-level BPE ids of every text, packed, and their number; decoding them gives the text again."""
+    path = public_tokenizers.path(bpe.RANKS)
+    return bpe.encode_decode(docs, path).select("doc_id", "n_tokens", "token_ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("byte-level BPE", tokens),
+    ("toxicity", toxicity),
+    ("line dedup", lines),
+    ("MinHash near-dedup", near_copies),
+    ("mixing sources to target weights", mix),
+    ("byte-level BPE encoding and decoding", tokens),
 ]
 
 #: A classifier, sketches and BPE cannot be written in SQL; tests/llm compares the rows with a brute-force version.
