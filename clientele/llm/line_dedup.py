@@ -122,7 +122,8 @@ def without_repeats(
     gone = gone.groupBy("doc", "print").agg(F.collect_list("line").alias("_gone"))
     gone = gone.withColumnsRenamed({"doc": "_doc", "print": "_print"})
     key = dict(zip(("_doc", "_print"), _key(id_column, text_column), strict=True))
-    joined = docs.withColumns(key).join(gone, ["_doc", "_print"], "left")
+    # Never broadcast: what is deleted grows with the documents.
+    joined = docs.withColumns(key).join(gone.hint("merge"), ["_doc", "_print"], "left")
     # The split lines are bound once, as a lambda variable, and looked up by place.
     bound = F.array(F.struct(F.split(text_column, "\n", -1).alias("lines"), F.col("_gone").alias("gone")))
 
