@@ -121,7 +121,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         columns.append(pa.array([x.tobytes() for x in sets], pa.binary()))
         return pa.record_batch(columns, names=["rep", "d1", "d2", "items"])
 
-    texts = docs.join(wanted.select(F.col("rep").alias("doc")), "doc", "left_semi")
+    # Never broadcast: the classes that share a bucket grow with the documents.
+    texts = docs.join(wanted.select(F.col("rep").alias("doc")).hint("merge"), "doc", "left_semi")
     found = map_slices(texts, "rep long, d1 long, d2 long, items binary", work)
     return found.join(wanted, ["rep", "d1", "d2"], "left_semi").select("rep", "items").dropDuplicates(["rep"])
 
@@ -275,8 +276,10 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 
     Rows without an id cannot be told apart and stay.
     """
-    kept = near_duplicates(docs, width, percent).where("kept").select("doc_id").distinct()
-    repeated = docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    single = docs.join(kept, "doc_id", "left_semi").join(repeated, "doc_id", "left_anti")
-    several = docs.join(kept, "doc_id", "left_semi").join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.union(several).union(docs.where("doc_id is null")).select(*docs.columns)
+    kept = near_duplicates(docs, width, percent).where("kept").groupBy("doc_id").agg(F.count("*").alias("_rows"))
+    kept = Scratch(docs.sparkSession).save(kept)
+    # Never broadcast: most ids are kept.
+    single = docs.join(kept.where("_rows = 1").hint("merge"), "doc_id")
+    several = docs.join(kept.where("_rows > 1").hint("merge"), "doc_id").dropDuplicates(["doc_id"])
+    columns = docs.columns
+    return single.select(columns).union(several.select(columns)).union(docs.where("doc_id is null").select(columns))
