@@ -194,6 +194,14 @@ def cycle_slots(own: DataFrame) -> DataFrame:
 
 
 def in_order(docs: DataFrame, weights: DataFrame, block_rows: int = BLOCK_ROWS, units: int = UNITS) -> DataFrame:
-    """The rows themselves, sorted into the order of the mix."""
-    found = mixed(docs, weights, block_rows, units)
-    return found.orderBy("mix_position", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).select(*docs.columns)
+    """The rows themselves, sorted into the order of the mix. Rows that share an id, or have none, stay together.
+
+    Positions are found without the texts, which move twice: to their positions, and into order.
+    """
+    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    places = mixed(docs.select("doc_id", "source"), weights, block_rows, units)
+    places = places.groupBy(digest.alias("_digest")).agg(F.min("mix_position").alias("_position"))
+    places = Scratch(docs.sparkSession).save(places)
+    # Never broadcast: there is a position for every row.
+    found = docs.withColumn("_digest", digest).join(places.hint("merge"), "_digest")
+    return found.orderBy("_position", "_digest", F.xxhash64("text")).select(*docs.columns)
