@@ -56,7 +56,7 @@ def extract_profiles(
     run_date: dt.date,
     segment: str = "ALL",
     region: str = "ALL",
-    batch_size: int | None = fv.BATCH_SIZE,
+    batch_size: int | None = None,
 ) -> DataFrame:
     """Active customers changed in the last week, newest first, up to the batch size (None: all of them)."""
     changed = customers.filter(

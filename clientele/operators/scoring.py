@@ -154,7 +154,7 @@ def scores_config(
     region: str = "ALL",
     model_version: str = fv.MODEL_VERSION,
     batch_id: int | None = None,
-    batch_size: int | None = fv.BATCH_SIZE,
+    batch_size: int | None = None,
     camp_days: int = fv.DEFAULT_CAMPAIGN_WINDOW,
     inter_days: int = fv.DEFAULT_INTERACTION_WINDOW,
     already: DataFrame | None = None,
@@ -162,7 +162,7 @@ def scores_config(
 ) -> DataFrame:
     """Scores with capped value and stepped engagement, only for customers that ``already`` does not hold.
 
-    The batch, where there is one, is the lowest customer ids.
+    A batch is the lowest customer ids that are not scored yet, so each call with one takes the next batch.
     """
     wanted = only(only(dimension, "customer_segment", segment), "region_code", region)
     if already is not None:

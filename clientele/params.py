@@ -25,14 +25,15 @@ def as_date(value: str | dt.date) -> dt.date:
 class RunParams:
     """Parameters of one load.
 
-    ``as_of`` is the day from which recency is counted. ``batch_size`` None takes every row. ``batch_sizes`` may
-    override the size for a segment. ``workflow`` and ``job`` name the load in the audit table.
+    ``as_of`` is the day from which recency is counted. ``batch_size`` None takes every row; with a size, each
+    call stages and scores the next batch. ``batch_sizes`` may override the size for a segment. The configured scores have
+    a model version of their own, by default the first one with ``-configured``. ``workflow`` and ``job`` name the load in the audit table.
     """
 
     run_date: dt.date
     segment: str = ALL
     region: str = ALL
-    batch_size: int | None = fv.BATCH_SIZE
+    batch_size: int | None = None
     batch_sizes: tuple[tuple[str, int], ...] = ()
     model_version: str = fv.MODEL_VERSION
     config_model_version: str | None = None
@@ -47,6 +48,10 @@ class RunParams:
         object.__setattr__(self, "segment", self.segment.upper())
         if self.segment not in SEGMENTS:
             raise ValueError(f"segment {self.segment!r} is not one of {SEGMENTS}")
+        if self.config_model_version is None:
+            object.__setattr__(self, "config_model_version", f"{self.model_version}-configured")
+        if self.config_model_version == self.model_version:
+            raise ValueError("the configured scores need a model version of their own")
         if self.as_of is None:
             object.__setattr__(self, "as_of", self.run_date)
 

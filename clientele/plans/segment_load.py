@@ -15,7 +15,7 @@ from clientele.functions.keys import require_unique, with_sequence
 from clientele.operators import audit, dimension, extract, facts, scoring
 from clientele.params import RunParams
 from clientele.sinks.files import append, replace_partition
-from clientele.sinks.merge import insert_if_absent, replace_slice, upsert
+from clientele.sinks.merge import replace_slice, upsert
 from clientele.sinks.versions import write_version
 from clientele.sources import config, tables
 from clientele.sources.store import Store
@@ -173,7 +173,7 @@ def load_summary(store: Store, p: RunParams) -> None:
 
 def add_configured_scores(store: Store, p: RunParams) -> None:
     """Score the customers that the configured model has not scored yet on the date."""
-    model = p.config_model_version or p.model_version
+    model = p.config_model_version
     features = config.load_features(store.read("scoring_feature_config"), model, p.segment)
     windows = config.campaign_window(features), config.interaction_window(features)
     already = store.read("fact_customer_scores")
@@ -190,9 +190,7 @@ def add_configured_scores(store: Store, p: RunParams) -> None:
         p.as_of,
     )
     keyed = with_sequence(scores, "score_key", first_free(already, "score_key"), ["customer_id"])
-    rows = insert_if_absent(
-        already, keyed, ["customer_id", "score_date", "segment_code", "model_version"]
-    ).select(*schemas.FACT_CUSTOMER_SCORES.names)
+    rows = keyed.select(*schemas.FACT_CUSTOMER_SCORES.names)  # scores_config leaves out those that are there
     append(rows, store.path("fact_customer_scores"), SCORE_SLICES)
 
 
@@ -200,7 +198,7 @@ def merge_summary(store: Store, p: RunParams) -> None:
     """Update or add the summary rows of the configured model."""
     table = store.read("fact_customer_segment_summary")
     figures = facts.segment_summary_named(
-        scores_of(store, p.config_model_version or p.model_version),
+        scores_of(store, p.config_model_version),
         store.dimension(),
         store.read("fact_regional_summary"),
         p.run_date,
@@ -214,7 +212,9 @@ def merge_summary(store: Store, p: RunParams) -> None:
 
 
 def run_segment_load(store: Store, p: RunParams, clock: Callable[[], dt.datetime]) -> dict[str, int | str]:
-    """One load from source tables to facts. A repeated run leaves the same content. One load at a time."""
+    """One load from source tables to facts. One load at a time.
+
+    Without a batch size a repeated run leaves the same content; with one, it adds the next batch of configured scores."""
     log_status(store, p, "RUNNING", 0, clock())
     stage(store, p)
     staged = facts.staged_row_count(store.profiles(p.run_date), p.run_date, p.segment).first()[0]

@@ -31,9 +31,17 @@ def replace_partition(
     """Replace everything under one partition of a table; an empty frame leaves the partition empty.
 
     ``slice_values`` are the leading partition columns with their values, in order; ``partition_by`` the partition
-    columns below them. Other partitions are not read or written, and a second run gives the same files' content.
+    columns below them. Other partitions are not read or written, and a second run gives the same files' content. A row
+    that belongs to another slice fails the job. The old content goes before the new one is written.
     """
     folder = partition_folder(path, slice_values)
+    same = F.lit(True)
+    for name, value in slice_values.items():
+        if name in df.columns:
+            same &= F.col(name).eqNullSafe(F.lit(value).cast(df.schema[name].dataType))
+    checked = df.withColumn("_checked", F.assert_true(same, F.lit(f"a row does not belong to {dict(slice_values)}")))
+    # The check's null result is used, so that it stays in the plan.
+    df = checked.where(F.col("_checked").isNull()).drop("_checked")
     df.drop(*slice_values).write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
 
 

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from clientele.functions import fixed_values as fv
 from clientele.functions.predicates import ALL
 
-MOST_FEATURES = 1000
-
 
 @dataclasses.dataclass(frozen=True)
 class Feature:
@@ -52,16 +50,13 @@ def active_features(config: DataFrame, model_version: str, segment: str) -> Data
 def load_features(config: DataFrame, model_version: str, segment: str) -> list[Feature]:
     """Active features in execution order.
 
-    They become columns of the plan, so they are read on the driver; more than a thousand is refused.
+    They become columns of the plan, so they are read on the driver.
     """
     rows = (
         active_features(config, model_version, segment)
         .orderBy("execution_order", "feature_name")
-        .limit(MOST_FEATURES + 1)
         .collect()
     )
-    if len(rows) > MOST_FEATURES:
-        raise ValueError(f"more than {MOST_FEATURES} active features for model {model_version}")
     return [
         Feature(
             row.feature_name,

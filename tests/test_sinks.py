@@ -171,9 +171,22 @@ def test_checkpoint_folder_comes_from_the_session(spark, tmp_path):
 def test_parameters():
     p = RunParams("2024-01-30", "vip", batch_sizes=(("VIP", 10),))
     assert (p.run_date, p.segment, p.batch, p.batch_number, p.as_of) == (RUN, "VIP", 10, 20240130, RUN)
-    assert RunParams(RUN).batch == 5000
+    assert RunParams(RUN).batch is None
+    assert RunParams(RUN, model_version="v1").config_model_version == "v1-configured"
+    with pytest.raises(ValueError, match="of their own"):
+        RunParams(RUN, model_version="v1", config_model_version="v1")
     for wrong in ("30-01-2024", "20240130", "2024-1-30"):
         with pytest.raises(ValueError, match="YYYY-MM-DD"):
             as_date(wrong)
     with pytest.raises(ValueError, match="segment"):
         RunParams(RUN, "NOBODY")
+
+
+def test_replace_partition_refuses_rows_of_another_slice(spark, tmp_path):
+    path = str(tmp_path / "slices")
+    rows = spark.createDataFrame([(1, "VIP"), (2, "VIP")], "id int, segment string")
+    files.replace_partition(rows, path, {"segment": "VIP"})
+    assert spark.read.parquet(path).count() == 2
+    foreign = spark.createDataFrame([(3, "RETAIL")], "id int, segment string")
+    with pytest.raises(Exception, match="does not belong"):
+        files.replace_partition(foreign, path, {"segment": "VIP"})

@@ -42,7 +42,6 @@ class Inputs(SourceTables):
     """Source tables, and the staged and scored tables later queries start from."""
 
     def profiles(self, **options) -> DataFrame:
-        options.setdefault("batch_size", None)
         return extract.extract_profiles(self.src_customers, self.src_customer_segments, RUN, **options)
 
     @cached_property
@@ -78,7 +77,6 @@ class Inputs(SourceTables):
         return self.scores(scoring.scores_procedural, **options)
 
     def configured(self, **options) -> DataFrame:
-        options.setdefault("batch_size", None)
         return self.scores(scoring.scores_config, **options)
 
     def recent_sales(self) -> DataFrame:
