@@ -52,7 +52,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("byte-level BPE encoding and decoding", tokens),
 ]
 
-#: A classifier, sketches and BPE cannot be written in SQL; tests/llm compares the rows with a brute-force version.
+#: A classifier, sketches and BPE cannot be written in SQL. tests/llm compares each operator with brute force.
 ORACLE_SQL = None
 
 
