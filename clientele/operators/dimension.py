@@ -75,16 +75,23 @@ def close(rows: DataFrame, run_date: dt.date) -> DataFrame:
 def scd2_inserted(
     dimension: DataFrame, staged: DataFrame, run_date: dt.date, lane: Column | None = None, lanes: int = LANES
 ) -> DataFrame:
-    """New current rows: for customers without a current row, and for those whose row has just been closed."""
-    standing = current_dimension(dimension).select("customer_id", *TRACKED, F.lit(True).alias("stands"))
-    versions = dimension.groupBy("customer_id").agg(F.max("version_num").alias("last_version"))
+    """New current rows: for customers without a current row, and for those whose row has just been closed.
+
+    A current row carries the newest version number of its customer. History is looked up for staged customers only, and
+    counts for those without a current row; the rest of it is not shuffled.
+    """
+    standing = current_dimension(dimension).select("customer_id", *TRACKED, "version_num", F.lit(True).alias("stands"))
+    past = dimension.filter(~F.col("is_current").eqNullSafe(F.lit("Y"))).select("customer_id", "version_num")
+    past = past.join(staged.select("customer_id"), "customer_id", "left_semi")
+    versions = past.groupBy("customer_id").agg(F.max("version_num").alias("past_version"))
     opened = (
         incoming(staged)
         .alias("new")
         .join(standing.alias("old"), F.col("old.customer_id") == F.col("new.customer_id"), "left")
         .filter(F.col("old.stands").isNull() | changed("old", "new"))
-        .select("new.*")
+        .select("new.*", "old.version_num")
         .join(versions, "customer_id", "left")
+        .withColumn("last_version", F.coalesce("version_num", "past_version"))
     )
     numbered = with_sequence(
         opened, "dim_crm_customer_key", next_key(dimension, "dim_crm_customer_key"), ["customer_id"], lane, lanes

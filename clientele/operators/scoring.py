@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from clientele import schemas
 from clientele.functions import fixed_values as fv
 from clientele.functions import ladders
-from clientele.functions.keys import next_key, with_sequence
 from clientele.functions.predicates import only, since_days
 from clientele.operators.dimension import current_dimension, full_name
 from clientele.sources.tables import latest_sales
@@ -25,14 +24,17 @@ from clientele.sources.tables import latest_sales
 SCORE_COLUMNS = [name for name in schemas.FACT_CUSTOMER_SCORES.names if name != "score_key"]
 
 
-def newest_counts(staged: DataFrame, **counts: Column) -> DataFrame:
-    """Counts per customer, taken from the newest load that holds the customer.
+def newest_counts(staged: DataFrame, moment: str, **counts: Column) -> DataFrame:
+    """Counts per customer over all loads, each day taken from the newest load that holds it.
 
-    Each load stages the whole window of every customer it touches, so older loads repeat rows of the newest one.
-    Counting per load first keeps the choice among a few rows per customer instead of all staged rows.
+    A load stages whole days, and repeats days of older loads. Its window may be shorter than the one that is counted, so
+    the choice is made for each customer and day. Counting per day and load first keeps it among a few rows per customer
+    instead of all staged rows.
     """
-    per_load = staged.groupBy("customer_id", "load_date").agg(*[c.alias(name) for name, c in counts.items()])
-    return per_load.groupBy("customer_id").agg(*[F.max_by(name, "load_date").alias(name) for name in counts])
+    day = F.to_date(moment).alias("day")
+    per_load = staged.groupBy("customer_id", day, "load_date").agg(*[c.alias(name) for name, c in counts.items()])
+    per_day = per_load.groupBy("customer_id", "day").agg(*[F.max_by(name, "load_date").alias(name) for name in counts])
+    return per_day.groupBy("customer_id").agg(*[F.sum(name).alias(name) for name in counts])
 
 
 def conversion_rates(events: DataFrame, run_date: dt.date, days: int = fv.EVENT_DAYS) -> DataFrame:
@@ -40,6 +42,7 @@ def conversion_rates(events: DataFrame, run_date: dt.date, days: int = fv.EVENT_
     recent = events.filter(since_days("event_date", run_date, days))
     counted = newest_counts(
         recent,
+        "event_date",
         event_count=F.count(F.lit(1)),
         conversion_count=ladders.count_if(F.col("event_type") == fv.CONVERTED),
     )
@@ -50,7 +53,7 @@ def conversion_rates(events: DataFrame, run_date: dt.date, days: int = fv.EVENT_
 def interaction_counts(interactions: DataFrame, run_date: dt.date, days: int = fv.INTERACTION_DAYS) -> DataFrame:
     """Per customer: interactions in the window, and their number per day of a 30-day month."""
     recent = interactions.filter(since_days("interaction_date", run_date, days))
-    counted = newest_counts(recent, interaction_count=F.count(F.lit(1)))
+    counted = newest_counts(recent, "interaction_date", interaction_count=F.count(F.lit(1)))
     score = ladders.ratio(F.col("interaction_count"), F.lit(30), 4).cast(ladders.WIDE_SCORE)
     return counted.withColumn("interact_score", score)
 
@@ -267,11 +270,3 @@ def graph_facts(
             label=F.col("segment_label"),
         )
     )
-
-
-def with_score_keys(scores: DataFrame, existing: DataFrame) -> DataFrame:
-    """Fact rows numbered after the keys in use."""
-    numbered = with_sequence(
-        scores, "score_key", next_key(existing, "score_key"), ["customer_id", "segment_code", "model_version"]
-    )
-    return numbered.select(*schemas.FACT_CUSTOMER_SCORES.names)

@@ -214,8 +214,18 @@ def merge_summary(store: Store, p: RunParams) -> None:
 def run_segment_load(store: Store, p: RunParams, clock: Callable[[], dt.datetime]) -> dict[str, int | str]:
     """One load from source tables to facts. One load at a time.
 
-    Without a batch size a repeated run leaves the same content; with one, it adds the next batch of configured scores."""
+    Without a batch size a repeated run leaves the same content; with one, it adds the next batch of configured scores.
+    A step that fails leaves FAILED in the audit and raises; configured scores that fail leave a warning only.
+    """
     log_status(store, p, "RUNNING", 0, clock())
+    try:
+        return run_steps(store, p, clock)
+    except Exception:
+        log_status(store, p, "FAILED", 0, clock())
+        raise
+
+
+def run_steps(store: Store, p: RunParams, clock: Callable[[], dt.datetime]) -> dict[str, int | str]:
     stage(store, p)
     staged = facts.staged_row_count(store.profiles(p.run_date), p.run_date, p.segment).first()[0]
     if staged == 0:
@@ -227,8 +237,11 @@ def run_segment_load(store: Store, p: RunParams, clock: Callable[[], dt.datetime
     load_scores(store, p)
     load_campaigns(store, p)
     load_summary(store, p)
-    add_configured_scores(store, p)
-    merge_summary(store, p)
+    try:
+        add_configured_scores(store, p)
+        merge_summary(store, p)
+    except Exception:  # the other scores stand without them
+        log.warning("configured scores of %s on %s failed", p.segment, p.run_date, exc_info=True)
     scores = facts.score_row_count(store.read("fact_customer_scores"), p.run_date, p.segment).first()[0]
     log_status(store, p, "SUCCESS", scores, clock())
     return {"status": "SUCCESS", "staged": staged, "dimension_rows": dimension_rows, "scores": scores}

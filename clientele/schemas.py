@@ -91,10 +91,6 @@ DIM_CUSTOMER_CRM = columns(
     "acquisition_channel string, is_opted_in_email string, valid_from date, valid_to date, is_current string, "
     "version_num int, created_date date, updated_date date"
 )
-DIM_CAMPAIGN = columns(
-    "dim_campaign_key bigint, campaign_id string, campaign_name string, campaign_type string, start_date date, "
-    "end_date date, target_segment string, budget_gbp decimal(14,2), channel string, is_active string"
-)
 FACT_CUSTOMER_SCORES = columns(
     "score_key bigint, customer_id bigint, dim_crm_customer_key bigint, score_date date, clv_score decimal(12,4), "
     "churn_risk_score decimal(5,4), propensity_buy_score decimal(5,4), engagement_score decimal(9,4), "

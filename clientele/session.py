@@ -1,9 +1,7 @@
-"""Session settings for the jobs, and the shared checkpoint folder."""
+"""Session settings for the jobs."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -14,7 +12,7 @@ SETTINGS = {
     # Also where the split costs one more shuffle after it: that one moves partly aggregated rows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
-    # A batch limit above this sorts across the cluster and spills, rather than keeping a heap per task.
+    # A batch limit above this sorts and spills, rather than keeping a heap per task; its rows still end in one task.
     "spark.sql.execution.topKSortFallbackThreshold": "1000000",
     # Call-site capture costs several round trips to the JVM for every column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -29,20 +27,3 @@ def session(app: str, master: str | None = None, **extra: str) -> SparkSession:
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def use_checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable.
-
-    The cluster names its shared folder in ``spark.checkpoint.dir``. Only a local session without that setting gets
-    a temporary folder of its own; on a cluster such a folder would not be shared, so a missing setting is an error.
-    """
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", "")
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="clientele-checkpoint-")
-    context.setCheckpointDir(folder)

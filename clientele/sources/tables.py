@@ -19,7 +19,7 @@ JDBC_FETCH_SIZE = 10000
 
 @dataclasses.dataclass(frozen=True)
 class JdbcSplit:
-    """How a JDBC read is divided; without it one task reads the whole table."""
+    """How a JDBC read is divided over tasks."""
 
     column: str
     lower: int
@@ -31,18 +31,17 @@ def read_jdbc(
     spark: SparkSession,
     url: str,
     source: str,
-    split: JdbcSplit | None = None,
+    split: JdbcSplit,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """A table name, or a bracketed subquery with an alias, read over JDBC."""
     reader = spark.read.format("jdbc").options(url=url, dbtable=source, fetchsize=str(JDBC_FETCH_SIZE))
-    if split is not None:
-        reader = reader.options(
-            partitionColumn=split.column,
-            lowerBound=str(split.lower),
-            upperBound=str(split.upper),
-            numPartitions=str(split.partitions),
-        )
+    reader = reader.options(
+        partitionColumn=split.column,
+        lowerBound=str(split.lower),
+        upperBound=str(split.upper),
+        numPartitions=str(split.partitions),
+    )
     return reader.options(**(options or {})).load()
 
 

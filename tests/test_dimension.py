@@ -47,6 +47,19 @@ def staged(spark, *given, **more):
     )
 
 
+def test_a_returning_customer_goes_on_after_the_last_closed_version(spark):
+    table = dim(
+        spark,
+        {"dim_crm_customer_key": 10, "customer_id": 1, "is_current": "N", "version_num": 1},
+        {"dim_crm_customer_key": 11, "customer_id": 1, "is_current": "N", "version_num": 2},
+        {"dim_crm_customer_key": 12, "customer_id": 2, "is_current": "N", "version_num": 3},
+        {"dim_crm_customer_key": 13, "customer_id": 2, "version_num": 4},
+    )
+    arriving = staged(spark, {"customer_id": 1}, {"customer_id": 2, "email": "new"}, {"customer_id": 3})
+    inserted = dimension.scd2_inserted(table, arriving, RUN)
+    assert by_key(inserted, "customer_id", "version_num") == {1: 3, 2: 5, 3: 1}
+
+
 def test_only_tracked_columns_open_a_version(spark):
     table = dim(spark, *[{"dim_crm_customer_key": 10 + i, "customer_id": i} for i in range(1, 9)])
     arriving = staged(

@@ -10,6 +10,7 @@ from clientele import schemas
 from clientele.params import RunParams
 from clientele.plans.enrichment import run_enrichment
 from clientele.plans.lineage_run import run_lineage
+from clientele.plans import segment_load
 from clientele.plans.segment_load import run_segment_load
 from clientele.plans.segmentation import run_segmentation
 from clientele.sinks.versions import write_version
@@ -148,6 +149,22 @@ def test_empty_segment(spark, tmp_path):
     assert store.dimension().schema.names == schemas.DIM_CUSTOMER_CRM.names
 
 
+def test_failures_are_audited(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    for name, schema in INPUTS.items():
+        spark.createDataFrame([], schema).write.parquet(store.path(name))
+
+    def broken(*_):
+        raise RuntimeError("broken step")
+
+    monkeypatch.setattr(segment_load, "add_configured_scores", broken)
+    assert run_segment_load(store, RunParams(RUN, "VIP"), ticking())["status"] == "SUCCESS"
+    monkeypatch.setattr(segment_load, "load_scores", broken)
+    with pytest.raises(RuntimeError, match="broken step"):
+        run_segment_load(store, RunParams(RUN, "RETAIL", job="OTHER"), ticking())
+    assert rows(store.read("etl_job_audit"), "job_name", "status") == [("OTHER", "FAILED"), ("SEGMENT_LOAD", "SUCCESS")]
+
+
 def test_next_week_keeps_events_of_customers_staged_before(spark, tmp_path):
     store = fill(spark, tmp_path)
     week = dt.timedelta(days=7)

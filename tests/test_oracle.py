@@ -40,7 +40,7 @@ def test_staged_counts(medium):
         "WHOLESALE": 143,
     }
     assert medium.events.count() == 5067
-    assert medium.interactions.count() == 541
+    assert medium.interactions.count() == 5318
     assert medium.recent_sales().count() == 772
 
 

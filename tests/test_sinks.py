@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from clientele import schemas
 from clientele.params import RunParams, as_date
-from clientele.session import use_checkpoints
 from clientele.sinks import files, merge, versions
 from clientele.sources import tables
 from tests.helpers import RUN, rows
@@ -16,6 +15,12 @@ def kv(spark, *pairs):
     return spark.createDataFrame(list(pairs), "k int, v string")
 
 
+def test_a_merge_source_that_holds_a_key_twice_fails(spark):
+    merged = merge.upsert(kv(spark, (1, "a")), kv(spark, (1, "b"), (2, "x"), (2, "y")), ["k"], update=["v"])
+    with pytest.raises(Exception, match="occurs more than once"):
+        merged.collect()
+
+
 def test_upsert(spark):
     table, changes = kv(spark, (1, "a"), (2, "b")), kv(spark, (2, "B"), (3, None))
     assert rows(merge.upsert(table, changes, ["k"], update=["v"])) == [(1, "a"), (2, "B"), (3, None)]
@@ -158,16 +163,6 @@ def test_file_formats(spark, tmp_path):
         assert rows(tables.read_files(spark, str(tmp_path / name), schema, name)) == [(1, "a"), (2, "b")]
 
 
-def test_checkpoint_folder_comes_from_the_session(spark, tmp_path):
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
-        use_checkpoints(spark)
-        assert "shared" in context.getCheckpointDir()
-    use_checkpoints(spark)
-    assert spark.range(3).checkpoint().count() == 3
-
-
 def test_parameters():
     p = RunParams("2024-01-30", "vip", batch_sizes=(("VIP", 10),))
     assert (p.run_date, p.segment, p.batch, p.batch_number, p.as_of) == (RUN, "VIP", 10, 20240130, RUN)

@@ -191,8 +191,18 @@ TABLES: dict[str, str] = {
                CAST(1 + CAST(event_id % 91 AS DECIMAL(5,0)) * 0.1 AS DECIMAL(3,1)) AS satisfaction_score,
                event_id % 60 AS duration_minutes, CAST(NULL AS VARCHAR) AS notes, {RUN} AS load_date
         FROM events
-        WHERE event_id % 10 = 0 AND ts >= {RUN} - 30 AND ts < {RUN} + 1
+        WHERE ts >= {RUN} - 30 AND ts < {RUN} + 1
           AND user_id IN (SELECT customer_id FROM staged)""",
+    "staged_before": "SELECT * FROM people WHERE customer_id % 11 <> 0",
+    "events_of_two": f"""
+        SELECT event_id, customer_id, event_type FROM source_events JOIN campaign_rows USING (campaign_id)
+        WHERE event_date >= {RUN} - 97 AND event_date < {RUN} - 6
+          AND customer_id IN (SELECT customer_id FROM staged_before)
+        UNION SELECT event_id, customer_id, event_type FROM stg_events""",
+    "interactions_of_two": f"""
+        SELECT event_id, user_id AS customer_id FROM events
+        WHERE ts >= {RUN} - 37 AND ts < {RUN} - 6 AND user_id IN (SELECT customer_id FROM staged_before)
+        UNION SELECT interaction_id, customer_id FROM stg_interactions""",
     "priced": """
         SELECT o_custkey, CAST(o_totalprice AS DECIMAL(14,2)) AS price, CAST(o_orderdate AS DATE) + 8217 AS day
         FROM orders""",
@@ -470,6 +480,16 @@ QUERIES: dict[str, str] = {
         SELECT * REPLACE (CAST(conversion_rate AS DOUBLE) AS conversion_rate) FROM rates""",
     "customer_interactions": """
         SELECT * REPLACE (CAST(interact_score AS DOUBLE) AS interact_score) FROM contacts""",
+    "conversions_two_loads": f"""
+        SELECT customer_id, count(DISTINCT event_id) AS event_count,
+               count(DISTINCT event_id) FILTER (WHERE event_type = 'CONVERTED') AS conversion_count,
+               CAST({rounded("count(DISTINCT event_id) FILTER (WHERE event_type = 'CONVERTED')", "count(DISTINCT event_id)", 4)}
+                    AS DOUBLE) AS conversion_rate
+        FROM events_of_two GROUP BY customer_id""",
+    "interactions_two_loads": f"""
+        SELECT customer_id, count(DISTINCT event_id) AS interaction_count,
+               CAST({rounded("count(DISTINCT event_id)", "30", 4)} AS DOUBLE) AS interact_score
+        FROM interactions_of_two GROUP BY customer_id""",
     "campaign_rollup": """
         SELECT * REPLACE (CAST(total_campaign_revenue AS DOUBLE) AS total_campaign_revenue)
         FROM rollup_by_customer""",

@@ -22,6 +22,7 @@ from verification.source_tables import REPOSITORIES, RUN, SourceTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+WEEK_BEFORE = RUN - dt.timedelta(days=7)
 AUDIT_SPLIT = dt.datetime(2024, 1, 15, 12, 0, 0)
 SCORE_KEY = ["customer_id", "score_date", "segment_code", "model_version"]
 
@@ -56,6 +57,18 @@ class Inputs(SourceTables):
     def interactions(self) -> DataFrame:
         return extract.extract_interactions(self.src_interactions, self.staged, RUN)
 
+    def staged_week_before(self) -> DataFrame:
+        return extract.extract_profiles(self.src_customers, self.src_customer_segments, WEEK_BEFORE)
+
+    def events_of_two_loads(self) -> DataFrame:
+        before = self.staged_week_before()
+        earlier = extract.extract_events(self.src_campaign_events, self.src_campaigns, before, WEEK_BEFORE)
+        return earlier.unionByName(self.events)
+
+    def interactions_of_two_loads(self) -> DataFrame:
+        earlier = extract.extract_interactions(self.src_interactions, self.staged_week_before(), WEEK_BEFORE)
+        return earlier.unionByName(self.interactions)
+
     def lane(self):
         return F.col("customer_id")
 
@@ -193,6 +206,8 @@ DEFINITIONS: dict[str, Callable[[Inputs], DataFrame]] = {
     # scores
     "customer_conversion_rate": lambda t: scoring.conversion_rates(t.events, RUN),
     "customer_interactions": lambda t: scoring.interaction_counts(t.interactions, RUN),
+    "conversions_two_loads": lambda t: scoring.conversion_rates(t.events_of_two_loads(), RUN, days=180),
+    "interactions_two_loads": lambda t: scoring.interaction_counts(t.interactions_of_two_loads(), RUN, days=180),
     "campaign_rollup": lambda t: scoring.campaign_rollup(t.events),
     "scores_procedural": lambda t: t.procedural(batch_id=7),
     "scores_config": lambda t: t.configured(),
