@@ -128,7 +128,8 @@ GRANTS = columns(
 )
 LINEAGE_CHAINS = columns(
     "chain_id string, uc4_workflow string, uc4_job string, source_tables array<string>, staging_table string, "
-    "plsql_package string, target_table string, segment_code string"
+    "plsql_package string, target_table string, segment_code string, ksh_script string, sqlplus_script string, "
+    "abinitio_graph string, spark_job string, cross_repo_source string"
 )
 CRM_MICRO_SEGMENTS = columns(
     "customer_id bigint, segment_code string, micro_segment string, composite_score double, "

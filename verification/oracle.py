@@ -362,7 +362,12 @@ TABLES: dict[str, str] = {
                CASE WHEN s_suppkey % 2 = 0 THEN 'STG.T_' || s_suppkey END AS staging_table,
                CASE WHEN s_suppkey % 3 <> 0 THEN {choose("s_suppkey", OWNERS)} || '.PKG_' || (s_suppkey % 45)
                     || '.LOAD_' || s_suppkey END AS plsql_package,
-               'DW.T_' || s_suppkey AS target_table, CASE WHEN s_suppkey % 5 = 0 THEN 'VIP' END AS segment_code
+               'DW.T_' || s_suppkey AS target_table, CASE WHEN s_suppkey % 5 = 0 THEN 'VIP' END AS segment_code,
+               'load_' || (s_suppkey % 7) || '.ksh' AS ksh_script,
+               CASE WHEN s_suppkey % 2 = 0 THEN 'extract_' || (s_suppkey % 7) || '.sql' END AS sqlplus_script,
+               CASE WHEN s_suppkey % 4 = 1 THEN 'graph_' || (s_suppkey % 7) END AS abinitio_graph,
+               CASE WHEN s_suppkey % 4 = 3 THEN 'job_' || (s_suppkey % 7) END AS spark_job,
+               CASE WHEN s_suppkey % 6 = 0 THEN 'retail' END AS cross_repo_source
         FROM supplier""",
     "chain_lists": """
         SELECT c.*, COALESCE(l.page, 0) AS page,
@@ -618,7 +623,8 @@ QUERIES: dict[str, str] = {
         SELECT 'lineage_chains', CAST(json_object('chain_id', chain_id, 'uc4_workflow', uc4_workflow,
                'uc4_job', uc4_job, 'source_tables', source_tables, 'staging_table', staging_table,
                'plsql_package', plsql_package, 'target_table', target_table, 'segment_code', segment_code,
-               'page', page, 'plsql_table_refs', plsql_table_refs) AS VARCHAR) FROM chain_lists
+               'ksh_script', ksh_script, 'sqlplus_script', sqlplus_script, 'abinitio_graph', abinitio_graph,
+               'spark_job', spark_job, 'cross_repo_source', cross_repo_source, 'page', page, 'plsql_table_refs', plsql_table_refs) AS VARCHAR) FROM chain_lists
         UNION ALL
         SELECT 'cross_repo_links', CAST(json_object('source_repo', source_repo, 'source_schema', source_schema,
                'source_table', source_table, 'target_repo', target_repo, 'target_schema', target_schema,

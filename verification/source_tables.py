@@ -285,4 +285,9 @@ class SourceTables:
             f"CASE WHEN s_suppkey % 3 <> 0 THEN {package} END AS plsql_package",
             "concat('DW.T_', s_suppkey) AS target_table",
             "CASE WHEN s_suppkey % 5 = 0 THEN 'VIP' END AS segment_code",
+            "concat('load_', s_suppkey % 7, '.ksh') AS ksh_script",
+            "CASE WHEN s_suppkey % 2 = 0 THEN concat('extract_', s_suppkey % 7, '.sql') END AS sqlplus_script",
+            "CASE WHEN s_suppkey % 4 = 1 THEN concat('graph_', s_suppkey % 7) END AS abinitio_graph",
+            "CASE WHEN s_suppkey % 4 = 3 THEN concat('job_', s_suppkey % 7) END AS spark_job",
+            "CASE WHEN s_suppkey % 6 = 0 THEN 'retail' END AS cross_repo_source",
         )
