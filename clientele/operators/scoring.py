@@ -29,11 +29,12 @@ def newest_counts(staged: DataFrame, moment: str, **counts: Column) -> DataFrame
 
     A load stages whole days, and repeats days of older loads. Its window may be shorter than the one that is counted, so
     the choice is made for each customer and day. Counting per day and load first keeps it among a few rows per customer
-    instead of all staged rows.
+    instead of all staged rows; those few are dealt by customer once, which serves both later steps and the joins.
     """
     day = F.to_date(moment).alias("day")
     per_load = staged.groupBy("customer_id", day, "load_date").agg(*[c.alias(name) for name, c in counts.items()])
-    per_day = per_load.groupBy("customer_id", "day").agg(*[F.max_by(name, "load_date").alias(name) for name in counts])
+    dealt = per_load.repartition("customer_id")
+    per_day = dealt.groupBy("customer_id", "day").agg(*[F.max_by(name, "load_date").alias(name) for name in counts])
     return per_day.groupBy("customer_id").agg(*[F.sum(name).alias(name) for name in counts])
 
 

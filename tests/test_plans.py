@@ -117,7 +117,7 @@ def test_scoring_joins_need_no_shuffle_of_their_own(spark, tmp_path):
         inputs = [spark.read.parquet(str(tmp_path / name)) for name in stored]
         text = plan(scoring.scores_procedural(*inputs, RUN))
     by_customer = len(re.findall(r"Exchange hashpartitioning\(customer_id#\d+L?, \d+\)", text))
-    by_load = len(re.findall(r"Exchange hashpartitioning\(customer_id#\d+L?, load_date#\d+, \d+\)", text))
+    by_load = len(re.findall(r"Exchange hashpartitioning\(customer_id#\d+L?, \w+#\d+, load_date#\d+, \d+\)", text))
     assert (by_customer, by_load) == (4, 2)
     assert text.count("Exchange") == 6
     assert text.count("SortMergeJoin") == 3
