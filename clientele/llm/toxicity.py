@@ -5,8 +5,8 @@ how much more frequent they are in toxic texts. In the training texts that menti
 for the others of its list, and squared changes of the score are penalised, so that the terms themselves get weights
 near each other, and near that of the neutral word in the list, and clean texts that mention a group are not rejected.
 
-The classifier is fitted on a bounded sample of labelled texts: about ``POSITIVE_ROWS`` toxic and ``NEGATIVE_ROWS``
-other ones, chosen by a hash of the id; features, and the rows that the driver fits, are bounded by ``MOST_FEATURES``.
+The classifier is fitted on a bounded sample of labelled texts: at most ``POSITIVE_ROWS`` toxic and ``NEGATIVE_ROWS``
+other ones, those of smallest hash of the id; of texts that share an id one is learnt from; features, and the rows that the driver fits, are bounded by ``MOST_FEATURES``.
 Every text is scored as a whole.
 
 Nulls and edge cases: a null text counts as empty and gets the score of a text without features; a null id is never
@@ -102,21 +102,30 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         return {}, 30.0 if positive else -30.0
     share = {1: min(1.0, POSITIVE_ROWS / positive), 0: min(1.0, NEGATIVE_ROWS / negative)}
     chance = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 20)) / F.lit(1 << 20)
-    picked = marks.where(chance < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
+    picked = marks.withColumn("chance", chance).where(F.col("chance") < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]) * 1.2)
+    first = [
+        picked.where(F.col("toxic") == kind).orderBy("chance", "doc_id").limit(rows).drop("chance")
+        for kind, rows in ((1, POSITIVE_ROWS), (0, NEGATIVE_ROWS))
+    ]
+    picked = scratch.save(first[0].union(first[1]))
 
     def work(rows: pa.RecordBatch) -> pa.RecordBatch:
         hashes, features, changed = [], [], []
-        for text in utf8(rows.column(1)):
+        for text in utf8(rows.column(2)):
             words = words_of(text.decode())
             hashes.append(xxhash.xxh3_64_intdigest(text) >> 1)
             features.append(sorted({f for w in words for f in features_of(w)}))
             changed.append([[number(a), number(b)] for a, b in swaps(words)])
         lists = pa.list_(pa.list_(pa.int64()))
         columns = [pa.array(hashes, pa.int64()), pa.array(features, pa.list_(pa.int64())), pa.array(changed, lists)]
-        return pa.record_batch([rows.column(0), *columns], names=["toxic", "hash", "features", "swaps"])
-
-    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")).join(picked, "doc_id")
-    sample = map_slices(texts.select("toxic", "text"), "toxic int, hash long, features array<long>, swaps array<array<long>>", work)
+        return pa.record_batch([*rows.columns[:2], *columns], names=["doc_id", "toxic", "hash", "features", "swaps"])
+
+    # Broadcast: at most POSITIVE_ROWS + NEGATIVE_ROWS ids, so the texts are read but not shuffled.
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    texts = texts.join(F.broadcast(picked.withColumn("doc_id", F.col("doc_id").cast("long"))), "doc_id")
+    schema = "doc_id long, toxic int, hash long, features array<long>, swaps array<array<long>>"
+    sample = map_slices(texts.select("doc_id", "toxic", "text"), schema, work)
+    sample = sample.groupBy("doc_id").agg(F.min(F.struct("hash", "toxic", "features", "swaps")).alias("x")).select("x.*")
     sample = scratch.save(sample.dropDuplicates(["hash", "toxic"]))
     sizes = {row.toxic: row["count"] for row in sample.groupBy("toxic").count().collect()}
     p, n = sizes.get(1, 0), sizes.get(0, 0)
