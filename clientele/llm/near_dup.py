@@ -111,20 +111,22 @@ def sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     return map_slices(docs, "doc long, n long, d1 long, d2 long, bands array<long>", work)
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``(rep, items)`` with the packed shingle set of every wanted class."""
+def full_sets(docs: DataFrame, wanted: DataFrame, width: int, scratch: Scratch) -> DataFrame:
+    """``(rep, items)`` with the packed shingle set of every wanted class; ``many`` marks those that several rows hold."""
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         sets = [shingles(text, width) for text in utf8(batch.column(1))]
-        marks = [digest(x) for x in sets]
-        columns = [batch.column(0), *(pa.array([m[i] for m in marks], pa.int64()) for i in (0, 1))]
-        columns.append(pa.array([x.tobytes() for x in sets], pa.binary()))
-        return pa.record_batch(columns, names=["rep", "d1", "d2", "items"])
+        asked = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+        own = pa.array([digest(x) == y for x, y in zip(sets, asked, strict=True)], pa.bool_())
+        columns = [batch.column(0), batch.column(4), pa.array([x.tobytes() for x in sets], pa.binary())]
+        return pa.record_batch(columns, names=["rep", "many", "items"]).filter(own)
 
     # Never broadcast: the classes that share a bucket grow with the documents.
-    texts = docs.join(wanted.select(F.col("rep").alias("doc")).hint("merge"), "doc", "left_semi")
-    found = map_slices(texts, "rep long, d1 long, d2 long, items binary", work)
-    return found.join(wanted, ["rep", "d1", "d2"], "left_semi").select("rep", "items").dropDuplicates(["rep"])
+    texts = docs.join(wanted.withColumnRenamed("rep", "doc").hint("merge"), "doc").select("doc", "text", "d1", "d2", "many")
+    found = scratch.save(map_slices(texts, "rep long, many boolean, items binary", work))
+    # The sets of single rows, nearly all, are not shuffled again.
+    once = scratch.save(found.where("many").select("rep", "items").distinct())
+    return found.where("not many").select("rep", "items").union(once)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -230,16 +232,19 @@ def near_duplicates(
     classes = marked.where("d1 is not null").groupBy("d1", "d2").agg(F.min("doc").alias("least"), F.count("*").alias("m"))
     classes = scratch.save(classes.where("m > 1").drop("m"))
     placed = marked.join(classes, ["d1", "d2"], "left").withColumn("rep", F.when(F.col("d1").isNotNull(), F.coalesce("least", "doc")))
-    placed = scratch.save(placed.withColumn("bands", F.when(F.col("doc") == F.col("rep"), F.col("bands"))).drop("least"))
+    placed = placed.withColumns({"bands": F.when(F.col("doc") == F.col("rep"), F.col("bands")), "alone": F.col("least").isNull()})
+    placed = scratch.save(placed.drop("least"))
     scratch.drop(marked)
 
-    keys = placed.where("bands is not null").select("rep", "n", F.posexplode("bands").alias("band", "key")).distinct()
+    # Only a set that several rows hold can be described twice.
+    described = placed.where("bands is not null").select("rep", "n", "bands", "alone")
+    described = described.where("alone").union(described.where("not alone").distinct())
+    keys = described.select("rep", "n", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key")
     buckets = scratch.save(keys.join(scratch.save(shared), "key", "left_semi"))
-    wanted = scratch.save(
-        buckets.select("rep").distinct().join(placed.select("rep", "doc", "d1", "d2"), "rep").where("doc = rep").select("rep", "d1", "d2").distinct()
-    )
-    sets = scratch.save(full_sets(texts, wanted, width))
+    wanted = buckets.select("rep").distinct().join(placed.where("doc = rep").select("rep", "d1", "d2"), "rep")
+    wanted = scratch.save(wanted.groupBy("rep", "d1", "d2").agg((F.count("*") > 1).alias("many")))
+    sets = full_sets(texts, wanted, width, scratch)
     state = scratch.save(wanted.select("rep", F.col("rep").alias("comp")).distinct())
 
     def merged(links: DataFrame) -> DataFrame:
