@@ -27,12 +27,14 @@ class RunParams:
 
     ``as_of`` is the day from which recency is counted. ``batch_size`` None takes every row; with a size, each
     call stages and scores the next batch. ``batch_sizes`` may override the size for a segment. The configured scores have
-    a model version of their own, by default the first one with ``-configured``. ``workflow`` and ``job`` name the load in the audit table.
+    a model version of their own, by default the first one with ``-configured``. ``campaign`` limits the campaign figures
+    of the day to one campaign; those of the others stay. ``workflow`` and ``job`` name the load in the audit table.
     """
 
     run_date: dt.date
     segment: str = ALL
     region: str = ALL
+    campaign: str = ALL
     batch_size: int | None = None
     batch_sizes: tuple[tuple[str, int], ...] = ()
     model_version: str = fv.MODEL_VERSION

@@ -129,16 +129,20 @@ def write_scores(
 
 
 def load_campaigns(store: Store, p: RunParams) -> None:
-    """Replace the campaign figures of the run date."""
+    """Replace the campaign figures of the run date, or those of one campaign."""
     path = store.path("fact_campaign_performance")
     start = first_free(store.read("fact_campaign_performance"), "perf_key")
     events = tables.staged_events(store.read("stg_campaign_events"), p.run_date)
-    figures = facts.campaign_performance(events, p.run_date)
+    figures = facts.campaign_performance(events, p.run_date, p.campaign)
     keyed = with_sequence(figures, "perf_key", start, ["campaign_id"]).withColumns(
         {"dim_campaign_key": F.lit(None).cast("bigint"), "load_date": F.lit(p.run_date)}
     )
     rows = keyed.select(*schemas.FACT_CAMPAIGN_PERFORMANCE.names)
-    replace_partition(rows, path, {"performance_date": p.run_date})
+    day = {"performance_date": p.run_date}
+    if p.campaign == "ALL":
+        replace_partition(rows, path, day, partition_by=["campaign_id"])
+    else:
+        replace_partition(rows, path, {**day, "campaign_id": p.campaign})
 
 
 def summary_rows(figures: DataFrame, start: int, run_date: dt.date) -> DataFrame:

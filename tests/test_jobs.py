@@ -13,6 +13,7 @@ from clientele.plans.lineage_run import run_lineage
 from clientele.plans import segment_load
 from clientele.plans.segment_load import run_segment_load
 from clientele.plans.segmentation import run_segmentation
+from clientele.sinks.files import replace_partition
 from clientele.sinks.versions import write_version
 from clientele.sources.store import INPUTS, Store
 from tests.conftest import SMALL
@@ -123,6 +124,28 @@ def test_enrichment_segmentation_and_lineage(spark, loaded):
     assert snapshot.filter("section = 'summary'").count() == 1
 
 
+def test_one_campaign_leaves_the_others(spark, tmp_path):
+    store = fill(spark, tmp_path)
+    segment_load.stage(store, RunParams(RUN))
+    segment_load.load_campaigns(store, RunParams(RUN))
+    name = "fact_campaign_performance"
+    before = store.read(name).drop("perf_key")
+    known = rows(before, "campaign_id")
+    chosen = known[0][0]
+    others = rows(before.filter(F.col("campaign_id") != chosen))
+    assert len(known) > 1 and len(others) == len(known) - 1
+
+    everything = rows(before)
+    segment_load.load_campaigns(store, RunParams(RUN, campaign=chosen))
+    assert rows(store.read(name).drop("perf_key")) == everything
+    keys = store.read(name).select("perf_key")
+    assert keys.distinct().count() == keys.count() == len(known)
+
+    replace_partition(store.read("stg_campaign_events").limit(0), store.path("stg_campaign_events"), {"load_date": RUN})
+    segment_load.load_campaigns(store, RunParams(RUN, campaign=chosen))
+    assert rows(store.read(name).drop("perf_key")) == others
+
+
 def test_single_segments_make_up_the_whole(spark, tmp_path):
     store = fill(spark, tmp_path)
     for segment in ("VIP", "RETAIL", "WHOLESALE"):
