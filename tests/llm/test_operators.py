@@ -318,6 +318,26 @@ def test_line_runs(spark, odd, none):
     assert line_dedup.without_repeats(none).count() == 0
 
 
+def test_near_copies_of_repeated_rows(spark):
+    base = " ".join(f"w{i}" for i in range(40))
+    near, other = base.replace("w39", "changed"), base.replace("w", "v")
+    rows = [(5, base, "s")] * 3 + [(2, near, "s"), (7, other, "s"), (7, other, "s")]
+    found = near_dup.near_duplicates(documents(spark, rows), width=2, percent=80).collect()
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found)
+    assert got == [(2, 39, 2, True)] + [(5, 39, 2, False)] * 3 + [(7, 39, 7, True)] * 2
+
+
+def test_toxicity_learns_from_repeated_ids(spark):
+    """Ids and texts that repeat do not outweigh the others."""
+    rows = [(i, f"plain word{i} {'scumbag' if i % 3 == 0 else 'friend'}", "s") for i in range(600)]
+    marks = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    once, hot = documents(spark, rows), documents(spark, rows + [rows[3]] * 900 + [(4, "another friend text", "s")])
+    probes = documents(spark, [(1, "a scumbag", "s"), (2, "a friend", "s")])
+    for docs in (once, hot):
+        score = {r.doc_id: r.score for r in toxicity.scored(probes, toxicity.train(docs, marks)).collect()}
+        assert score[2] < 0.5 <= score[1]
+
+
 def test_toxicity_learns_and_ignores_groups(spark, none):
     rng = np.random.default_rng(6)
     plain = [f"w{i}" for i in range(300)]
