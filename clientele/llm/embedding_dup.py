@@ -1,15 +1,21 @@
 """Near copies of vectors through a pivot-permutation index.
 
-A vector is described by its ``NEAREST`` nearest pivots (reference vectors, a bounded sample). Inverted lists hold, for
-every two pivots, the vectors that have both among theirs, so vectors meet in a list if they share at least two pivots;
-the pair is counted in the list of its two smallest shared pivots and nowhere else. Vectors in one list are compared in
+Pivots are reference vectors from a bounded sample, each further from the others than the core angle (``CORE`` times the
+angle of the threshold), so a dense group has one or two. A vector within the core angle of a pivot belongs to its core.
+By the triangle inequality all its links are within the core angle and that of the threshold of the pivot, so they are
+found exactly in the pivot's ball, the list of all vectors that near to it. A pair is counted in the ball of the smaller
+of its core pivots.
+
+Vectors of no core, which are far from every pivot, are described by their ``NEAREST`` nearest pivots. Inverted lists hold,
+for every two pivots, those that have both among theirs, so they meet in a list if they share at least two pivots; the
+pair is counted in the list of its two smallest shared pivots and nowhere else. Vectors in one list are compared in
 blocks, by cosine in double precision; counts of links and a spanning set of links leave a block, never all pairs.
 
-There are as many pivots as a quarter of the root of the number of vectors (a power of two between the two bounds), so
+There are up to a quarter of the root of the number of vectors as pivots (a power of two between the two bounds), so
 lists grow with the root too. Equal vectors of a label are one class, described once; its copies add to the counts.
 
 Nulls and edge cases: a null label, a null or zero vector, or one with a null or non-finite component has no link.
-Vectors of different lengths are never linked; for a length with few pivots all vectors are one list. Repeated rows are
+Vectors of different lengths are never linked; for a length with few pivots all vectors of no core are one list. Repeated rows are
 vectors of their own in the counts. An empty table gives an empty result. Other columns are not touched.
 """
 
@@ -29,6 +35,8 @@ from clientele.llm.vectors import matrix, packed_vectors
 
 NEAREST = 7
 FEWEST_PIVOTS, MOST_PIVOTS = 16, 4096
+#: Core angle by the angle of the threshold, and sampled vectors for each pivot that is wanted.
+CORE, SAMPLED = 1.5, 4
 #: Vectors of a block, and rows of a task that takes short lists together, about.
 BLOCK_ROWS, TASK_ROWS = 256, 4096
 
@@ -37,28 +45,60 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def posted(reps: DataFrame, pivots: dict[int, np.ndarray], nearest: int) -> DataFrame:
-    """A row for every two of a vector's nearest pivots: the inverted lists."""
+def angles(threshold: float) -> tuple[float, float]:
+    """Of a core and of a ball; a little is added to the ball for rounding."""
+    own = math.acos(min(1.0, max(-1.0, threshold)))
+    return CORE * own, min(math.pi, (CORE + 1) * own + 1e-6)
+
+
+def spread(sample: list[np.ndarray], wanted: int, core: float) -> np.ndarray:
+    """The first vectors, in order, that are further than the core angle from those before."""
+    x = unit(np.stack(sample))
+    kept: list[int] = []
+    for i in range(len(x)):
+        if len(kept) < wanted and (x[kept] @ x[i] < math.cos(min(math.pi, core))).all():
+            kept.append(i)
+    return x[kept]
+
+
+def posted(reps: DataFrame, pivots: dict[int, np.ndarray], nearest: int, threshold: float) -> DataFrame:
+    """A row for every ball that a vector is in and, if it is in no core, for every two of its nearest pivots.
+
+    A ball has q = -2, and ``near`` holds the vector's core pivot there, or none.
+    """
+    core_angle, ball_angle = angles(threshold)
+    least_core, least_ball = math.cos(min(math.pi, core_angle)), math.cos(ball_angle)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         places, lists = [], []
         dims = batch.column(batch.schema.get_field_index("dim")).to_numpy()
         raw = batch.column(batch.schema.get_field_index("v"))
-        near: list[list[int]] = [[]] * len(dims)
+        marks: list[list[int]] = []
+
+        def post(i: int, p: int, q: int, mark: list[int]) -> None:
+            places.append(i)
+            lists.append((p, q))
+            marks.append(mark)
+
         for dim in np.unique(dims):
             at = np.flatnonzero(dims == dim)
             own = pivots.get(int(dim))
-            if own is None or len(own) <= nearest:
+            if own is None:
+                for i in at:
+                    post(i, -1, -1, [])
                 continue
-            order = np.argsort(-(unit(matrix(raw.take(pa.array(at)))) @ own.T), axis=1, kind="stable")[:, :nearest]
-            for i, row in zip(at, order, strict=True):
-                near[i] = sorted(row.tolist())
-        for i, own in enumerate(near):
-            for p, q in combinations(own, 2) if own else [(-1, -1)]:
-                places.append(i)
-                lists.append((p, q))
+            cosines = unit(matrix(raw.take(pa.array(at)))) @ own.T
+            order = np.argsort(-cosines, axis=1, kind="stable")[:, :nearest]
+            for i, row, near in zip(at, cosines, order, strict=True):
+                core = [int(near[0])] if row[near[0]] >= least_core else []
+                for p in np.flatnonzero(row >= least_ball):
+                    post(i, int(p), -2, core)
+                if core:
+                    continue
+                near = sorted(near.tolist()) if len(own) > nearest else []
+                for p, q in combinations(near, 2) if near else [(-1, -1)]:
+                    post(i, p, q, near)
         out = batch.take(pa.array(places, pa.int64()))
-        marks = [near[i] for i in places]
         columns = [*out.columns, pa.array(marks, pa.list_(pa.int32()))]
         columns += [pa.array([x[j] for x in lists], pa.int32()) for j in (0, 1)]
         return pa.record_batch(columns, names=[*batch.schema.names, "near", "p", "q"])
@@ -87,6 +127,9 @@ def list_links(rows: pa.Table, threshold: float) -> pa.Table:
         if not linked.any():
             continue
         p, q = keys[at[0], 2], keys[at[0], 3]
+        if q == -2:  # a pair of a core is counted in the ball of the smaller core pivot
+            core = np.array([x[0] if x else np.iinfo(np.int32).max for x in own.column("near").to_pylist()])
+            linked &= np.minimum(core[:, None], core[None, :]) == p
         if q >= 0:  # a pair that shares a smaller pivot is counted in that list
             near = np.array(own.column("near").to_pylist())
             smaller = np.unique(near[(near < q) & (near != p)])
@@ -131,11 +174,11 @@ def embedding_duplicates(
     wanted = 2 ** round(math.log2(max(1.0, math.sqrt(max(1, reps.count())) / 4)))
     wanted = min(MOST_PIVOTS, max(FEWEST_PIVOTS, wanted))
     pivots: dict[int, list[np.ndarray]] = {}
-    for row in reps.select("dim", "v", F.xxhash64("rep").alias("h")).orderBy("h").limit(wanted).collect():
+    for row in reps.select("dim", "v", F.xxhash64("rep").alias("h")).orderBy("h").limit(SAMPLED * wanted).collect():
         pivots.setdefault(row.dim, []).append(np.frombuffer(row.v, "<f8"))
-    tables = {dim: unit(np.stack(x)) for dim, x in pivots.items()}
+    tables = {dim: spread(x, wanted, angles(threshold)[0]) for dim, x in pivots.items()}
 
-    lists = scratch.save(posted(reps, tables, nearest))
+    lists = scratch.save(posted(reps, tables, nearest, threshold))
     place = ["label", "dim", "p", "q"]
     sizes = lists.groupBy(*place).agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
     sizes = scratch.save(sizes)

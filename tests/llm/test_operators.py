@@ -208,6 +208,22 @@ def test_recall_of_the_pivot_index(spark):
     assert found / 3000 >= 0.9
 
 
+@pytest.mark.parametrize("pivots", [128, 256])
+def test_recall_in_a_dense_group(spark, monkeypatch, pivots):
+    """A third of the vectors are one base with noise of their own; many pivots are forced."""
+    monkeypatch.setattr(embedding_dup, "FEWEST_PIVOTS", pivots)
+    rng = np.random.default_rng(11)
+    base = rng.standard_normal(64)
+    group = base + 0.18 * rng.standard_normal((800, 64))
+    x = np.vstack([group, rng.standard_normal((1600, 64))])
+    frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    expected = (u @ u.T >= 0.93).sum(axis=1) - 1
+    found = {r.vec_id: r.n_links for r in embedding_dup.embedding_duplicates(frame).collect()}
+    assert expected[:800].min() > 100
+    assert [found[i] for i in range(len(x))] == expected.tolist()
+
+
 def test_nearest_neighbours(spark):
     frame = vectors(spark)
     usable = {}
