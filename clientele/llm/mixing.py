@@ -31,12 +31,14 @@ def root_weights(docs: DataFrame, source_column: str = "source") -> DataFrame:
     return counts.select("source", F.sqrt("n").alias("weight"))
 
 
-def numbered(docs: DataFrame, source: Column, key: Column, scratch: Scratch) -> DataFrame:
+def numbered(docs: DataFrame, source: Column, key: Column, scratch: Scratch, text: Column | None = None) -> DataFrame:
     """Adds ``_source`` and ``_row``, the place of a row within its source, from 0.
 
     Rows are dealt to even ranges of their digests, so that no task numbers more than a few thousand rows of a source.
+    Rows that share an id are dealt by ``text`` too, where it is given.
     """
-    digest = F.md5(F.coalesce(key.cast("string"), F.lit("")))
+    parts = [key.cast("string")] if text is None else [key.cast("string"), F.sha2(text, 256)]
+    digest = F.md5(F.concat_ws(" ", *(F.coalesce(x, F.lit("")) for x in parts)))
     rows = docs.withColumns({"_source": source, "_digest": digest})
     sizes = rows.groupBy("_source").agg(F.ceil(F.count("*") / TASK_ROWS).cast("long").alias("_parts"))
     sizes = scratch.save(sizes)
@@ -126,10 +128,17 @@ def mixed(
 ) -> DataFrame:
     """The rows with ``mix_block`` (block of its source), ``mix_cycle``, ``mix_release`` and ``mix_deadline`` (slots of the
     cycle) and ``mix_position`` (block's place in the whole mix). Rows are read in the order of ``mix_position``."""
+    return in_blocks(docs, weights, block_rows, units, F.col(id_column), F.col(source_column)).drop("_row")
+
+
+def in_blocks(
+    docs: DataFrame, weights: DataFrame, block_rows: int, units: int, key: Column, source: Column, text: Column | None = None
+) -> DataFrame:
+    """The rows of ``mixed`` with ``_row``, the place of a row within its source."""
     scratch = Scratch(docs.sparkSession)
-    rows = numbered(docs, F.col(source_column), F.col(id_column), scratch)
+    rows = numbered(docs, source, key, scratch, text)
     rows = rows.withColumn("mix_block", F.floor(F.col("_row") / block_rows).cast("long"))
-    sizes = docs.groupBy(F.col(source_column).alias("key")).agg(F.count("*").alias("n"))
+    sizes = docs.groupBy(source.alias("key")).agg(F.count("*").alias("n"))
     sizes = sizes.select("key", F.ceil(F.col("n") / block_rows).cast("long").alias("blocks"))
     own = scratch.save(shares(sizes, weights, units))
     ahead = own.where(~F.col("last")).agg(F.sum("blocks")).first()[0] or 0
@@ -157,7 +166,7 @@ def mixed(
     )
     placed = scratch.save(placed)
     found = rows.join(placed, rows["_source"].eqNullSafe(placed["_key"]) & (rows["mix_block"] == placed["_block"]))
-    return found.drop("_key", "_block", "_source", "_digest", "_row")
+    return found.drop("_key", "_block", "_source", "_digest")
 
 
 def cycle_slots(own: DataFrame) -> DataFrame:
@@ -193,15 +202,18 @@ def cycle_slots(own: DataFrame) -> DataFrame:
     )
 
 
-def in_order(docs: DataFrame, weights: DataFrame, block_rows: int = BLOCK_ROWS, units: int = UNITS) -> DataFrame:
-    """The rows themselves, sorted into the order of the mix. Rows that share an id, or have none, stay together.
+def with_positions(docs: DataFrame, weights: DataFrame, block_rows: int = BLOCK_ROWS, units: int = UNITS) -> DataFrame:
+    """The rows with ``mix_position``: a place of its own for every row, also for rows that share an id or have none.
 
-    Positions are found without the texts, which move twice: to their positions, and into order.
+    Places rise in the order of the mix; some are left out after the last block of a source, which may be short. The
+    texts move twice: to be numbered, and to the places of their blocks.
     """
-    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    places = mixed(docs.select("doc_id", "source"), weights, block_rows, units)
-    places = places.groupBy(digest.alias("_digest")).agg(F.min("mix_position").alias("_position"))
-    places = Scratch(docs.sparkSession).save(places)
-    # Never broadcast: there is a position for every row.
-    found = docs.withColumn("_digest", digest).join(places.hint("merge"), "_digest")
-    return found.orderBy("_position", "_digest", F.xxhash64("text")).select(*docs.columns)
+    found = in_blocks(docs, weights, block_rows, units, F.col("doc_id"), F.col("source"), F.col("text"))
+    position = F.col("mix_position") * block_rows + F.col("_row") % block_rows
+    return found.select(*docs.columns, position.cast("long").alias("mix_position"))
+
+
+def in_order(docs: DataFrame, weights: DataFrame, block_rows: int = BLOCK_ROWS, units: int = UNITS) -> DataFrame:
+    """The rows themselves, sorted into the order of the mix. Written to several files the order is lost: see
+    ``with_positions``."""
+    return with_positions(docs, weights, block_rows, units).orderBy("mix_position").select(*docs.columns)

@@ -34,14 +34,18 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order that mixes their sources by the roots of their sizes."""
-    return mixing.in_order(docs, mixing.root_weights(docs))
+    """All documents, with their places in the order that mixes their sources by the roots of their sizes."""
+    return mixing.with_positions(docs, mixing.root_weights(docs))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of every text, packed, and their number; decoding them gives the text again."""
-    path = public_tokenizers.path(bpe.RANKS)
-    return bpe.encode_decode(docs, path).select("doc_id", "n_tokens", "token_ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    """Byte-level BPE ids of every text, packed, and their number; decoding them gives the text again.
+
+    Files are not read in the order they were written, so each row keeps ``mix_position``: the corpus is read by it.
+    """
+    rows = docs.select(F.struct("doc_id", "mix_position").alias("place"), "text")
+    found = bpe.encode_decode(rows, public_tokenizers.path(bpe.RANKS), id_column="place")
+    return found.select("place.*", "n_tokens", "token_ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

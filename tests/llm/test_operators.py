@@ -13,6 +13,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from clientele.llm import (
     bpe,
     embedding_dup,
@@ -275,6 +276,29 @@ def test_mix(spark, odd, none):
     assert mixing.mixed(none, weights).count() == 0
 
 
+def test_pipeline_keeps_the_mix(spark, tmp_path):
+    """Shares of every prefix of the final output, by mix_position, follow the weights; rows of one id have own places."""
+    rng = np.random.default_rng(2)
+    sizes = {"a": 900, "b": 400, "c": 100}
+    rows = [(s, " ".join(f"{s}{k}" for k in rng.integers(0, 10**6, 12))) for s, n in sizes.items() for _ in range(n)]
+    ids = [7 if i % 3 == 0 else None if i % 3 == 1 else i for i in range(len(rows))]
+    docs = documents(spark, [(i, t, s) for i, (s, t) in zip(ids, rows, strict=True)])
+    docs.repartition(6).write.parquet(f"{tmp_path}/in.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/in.parquet")
+    corpus_pipeline.mix(spark, docs, "").write.parquet(f"{tmp_path}/mix.parquet")
+    found = corpus_pipeline.tokens(spark, spark.read.parquet(f"{tmp_path}/mix.parquet"), "").collect()
+    places = [r.mix_position for r in found]
+    assert len(found) == len(set(places)) == len(rows)
+    assert Counter(r.doc_id for r in found) == Counter(ids)
+    source = {hashlib.sha256(t.encode()).hexdigest(): s for s, t in rows}
+    order = [source[r.decoded_sha256] for r in sorted(found, key=lambda r: r.mix_position)]
+    total, seen = sum(math.sqrt(n) for n in sizes.values()), Counter()
+    for n, s in enumerate(order[:500], 1):  # no source has run out yet
+        seen[s] += 1
+        for k, size in sizes.items():
+            assert abs(seen[k] - n * math.sqrt(size) / total) <= 3 * mixing.BLOCK_ROWS  # open block, window, rounding
+
+
 def test_merkle_audit(spark):
     rows = [(i, f"http://x/{i % 7}", None if i % 50 == 3 else "p" * (i % 90)) for i in range(600)] + [(None, None, "q"), (5, "u", "r")]
     pages_ = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("file", F.lit("x"))
