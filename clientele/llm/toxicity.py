@@ -2,8 +2,9 @@
 
 A logistic regression on the words of a text and their beginnings (a text has a feature or not). Features are chosen by
 how much more frequent they are in toxic texts. In the training texts that mention an identity term, the term is swapped
-for the others of its list, and squared changes of the score are penalised, so that the terms themselves get weights
-near each other, and near that of the neutral word in the list, and clean texts that mention a group are not rejected.
+for the others of its list, and squared changes of the score are penalised, over all features that the swap takes from
+the text or brings into it, beginnings too. So the terms get weights near each other, and near that of the neutral word
+in the list, and clean texts that mention a group are not rejected.
 
 The classifier is fitted on a bounded sample of labelled texts: at most ``POSITIVE_ROWS`` toxic and ``NEGATIVE_ROWS``
 other ones, those of smallest hash of the id; of texts that share an id one is learnt from; features, and the rows that the driver fits, are bounded by ``MOST_FEATURES``.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,16 @@ IDENTITY_TERMS = (
     ("believers", "christians", "muslims", "jews", "hindus", "buddhists", "catholics", "atheists"),
     ("persons", "blacks", "whites", "asians", "latinos", "africans", "arabs", "immigrants", "refugees", "foreigners"),
     ("adults", "elderly", "teenagers", "disabled", "blind", "deaf"),
+    ("person", "woman", "man", "girl", "boy", "gay", "lesbian", "straight", "trans", "homosexual", "female", "male"),
+    ("believer", "christian", "muslim", "jew", "hindu", "buddhist", "catholic", "atheist"),
+    ("religious", "jewish", "islamic", "christian", "muslim", "hindu", "buddhist", "catholic", "atheist"),
+    ("person", "black", "white", "asian", "latino", "latina", "african", "arab", "immigrant", "refugee", "foreigner"),
+    ("local", "foreign", "arabic", "mexican", "chinese", "indian", "turkish", "american", "european"),
+    ("adult", "teenager", "old", "young"),
+    ("mensch", "frau", "mann", "jude", "christ", "muslim", "ausländer", "flüchtling", "schwuler", "lesbe"),
+    ("religiös", "jüdisch", "christlich", "muslimisch", "ausländisch", "schwul", "lesbisch"),
+    ("personne", "femme", "homme", "juif", "juive", "chrétien", "musulman", "étranger", "réfugié", "noir", "blanc"),
+    ("persona", "mujer", "hombre", "judío", "cristiano", "musulmán", "extranjero", "refugiado", "negro", "blanco"),
     ("menschen", "frauen", "männer", "juden", "christen", "muslime", "ausländer", "flüchtlinge", "schwule", "lesben"),
     ("personnes", "femmes", "hommes", "juifs", "chrétiens", "musulmans", "étrangers", "réfugiés", "noirs", "blancs"),
     ("personas", "mujeres", "hombres", "judíos", "cristianos", "musulmanes", "extranjeros", "refugiados", "negros"),
@@ -72,6 +84,17 @@ def swaps(words: set[str]) -> list[tuple[str, str]]:
     return [(x, y) for terms in IDENTITY_TERMS for x in terms if x in words for y in terms if y != x]
 
 
+def differences(words: set[str]) -> list[list[int]]:
+    """For every swap the features that it takes from the text, as ``-1 - f``, and those that it brings."""
+    held = Counter(f for w in words for f in set(features_of(w)))
+    found = []
+    for a, b in swaps(words):
+        old, new = set(features_of(a)), set(features_of(b))
+        lost = {f for f in old - new if held[f] == 1}  # no other word has it
+        found.append([-1 - f for f in sorted(lost)] + sorted(f for f in new - old if not held[f]))
+    return found
+
+
 def fitted(x: np.ndarray, y: np.ndarray, weight: np.ndarray, changes: np.ndarray) -> np.ndarray:
     """Coefficients, the constant last, by Newton steps; ``changes`` is the mean outer product of swapped features."""
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -115,7 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
             words = words_of(text.decode())
             hashes.append(xxhash.xxh3_64_intdigest(text) >> 1)
             features.append(sorted({f for w in words for f in features_of(w)}))
-            changed.append([[number(a), number(b)] for a, b in swaps(words)])
+            changed.append(differences(words))
         lists = pa.list_(pa.list_(pa.int64()))
         columns = [pa.array(hashes, pa.int64()), pa.array(features, pa.list_(pa.int64())), pa.array(changed, lists)]
         return pa.record_batch([*rows.columns[:2], *columns], names=["doc_id", "toxic", "hash", "features", "swaps"])
@@ -145,12 +168,10 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     changes, mentions = np.zeros((len(names), len(names))), 0
     for i, row in enumerate(rows):
         x[i, [place[f] for f in row.own]] = 1
-        for a, b in row.swaps:
-            i_a, i_b = place[a], place[b]
-            changes[i_a, i_a] += 1
-            changes[i_b, i_b] += 1
-            changes[i_a, i_b] -= 1
-            changes[i_b, i_a] -= 1
+        for own in row.swaps:
+            signs = [(place[f], 1) if f >= 0 else (place[-1 - f], -1) for f in own if (f if f >= 0 else -1 - f) in place]
+            at, sign = [i for i, _ in signs], np.array([k for _, k in signs], float)
+            changes[np.ix_(at, at)] += np.outer(sign, sign)
             mentions += 1
     weight = np.where(y == 1, positive / p, negative / n)
     w = fitted(x, y, weight / weight.mean(), changes / max(1, mentions) * len(rows) / 100)

@@ -407,6 +407,32 @@ def test_toxicity_learns_and_ignores_groups(spark, none):
     assert all(r.score < 0.5 for r in toxicity.scored(probes, nothing).collect())
 
 
+def test_toxicity_penalises_beginnings(spark):
+    """Half of the toxic texts hold a term, and a part of them no insult; a clean mention is not toxic."""
+    rng = np.random.default_rng(9)
+    plain = [f"w{i}" for i in range(300)]
+    rows, labels = [], []
+    for i in range(4000):
+        words, toxic = list(rng.choice(plain, 20)), int(i % 3 == 0)
+        words += ["scumbag"] * (toxic and rng.random() < 0.6) + ["immigrants"] * (rng.random() < (0.5 if toxic else 0.02))
+        rows.append((i, " ".join(words), "s"))
+        labels.append((i, 1, toxic))
+    for i in range(4000, 12000):  # a toxic rate of about 0.1
+        rows.append((i, " ".join([*rng.choice(plain, 20), *["immigrants"] * (rng.random() < 0.02)]), "s"))
+        labels.append((i, 1, 0))
+    model = toxicity.train(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    probes = [(1, "w1 w2 immigrants w3", "s"), (2, "w1 w2 persons w3", "s"), (3, "w1 scumbag w3", "s")]
+    score = {r.doc_id: r.score for r in toxicity.scored(documents(spark, probes), model).collect()}
+    assert score[1] < 0.5 <= score[3] and abs(score[1] - score[2]) < 0.1, score
+
+
+def test_swaps_keep_features_of_other_words():
+    words = {"immigrants", "immigration"}
+    own = next(x for x in toxicity.differences(words) if toxicity.number("refugees") in x)
+    assert -1 - toxicity.number("immigrants") in own and -1 - toxicity.number("immi*") not in own
+    assert toxicity.number("refu*") in own
+
+
 def test_main_text(spark):
     page = (
         "<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a='</p><p>no';</script></head><body class='has-sidebar'>"
