@@ -1,13 +1,16 @@
 """Mixing sources to target weights by Pfair scheduling. DataFrame operations only.
 
-A source's rows, in the order of a hash of their ids, are cut into blocks. The target weight of a source is a number of
-blocks in each cycle (``units`` blocks in all). Within a cycle of n blocks, block i of a source with m blocks is released
-at slot ``floor(i * n / m)`` and has the deadline ``ceil((i + 1) * n / m)``; in each slot, of the released blocks the one
-of earliest deadline goes first. So at every slot a source is less than one block away from its share of the cycle. When
+A source's rows, in the order of a hash of their ids, are cut into blocks. A cycle stands for ``units`` blocks in all, of
+which a source of share w has ``w * units``; by the end of cycle c it has placed ``floor((c + 1) * w * units + offset)``
+blocks. Weights are whole numbers (twelve digits for the largest), so shares are kept exactly over the cycles, also those
+of less than a block a cycle. Offsets, from 0 to 1, are spread evenly over sources of like weight, so that small sources
+do not all come in the same cycle. Within a cycle of n blocks, block i of a source with m blocks is released at slot
+``floor(i * n / m)`` and has the deadline ``ceil((i + 1) * n / m)``; in each slot, of the released blocks the one of
+earliest deadline goes first. So at every slot a source is less than one block away from its share of the cycle. When
 a source runs out, the others go on in their proportions; every row is placed, none is repeated.
 
-Cycles with the same counts have the same schedule. There are at most two different cycles for each source (with its last,
-smaller count, and after it), so only those are worked out, by a fold over the slots, and joined to the blocks.
+Cycles are worked out side by side, each by a fold over its slots; a cycle has about ``units`` blocks however many sources
+there are.
 
 Nulls and edge cases: a null source is a source of its own; its rows, like rows with a null id, are placed like others.
 Repeated rows are placed one after another. A source of weight zero or without a weight goes to the end, after all others,
@@ -16,6 +19,8 @@ as if a cycle had one block of each. An empty table gives an empty result. Other
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +28,8 @@ from clientele.llm.common import Scratch, hex_share
 
 #: Rows of a block, blocks of a full cycle, and rows numbered in one task, about.
 BLOCK_ROWS, UNITS, TASK_ROWS = 8, 100, 2048
+#: Blocks of which one task works out the cycles, about.
+TASK_BLOCKS = 5000
 
 
 def root_weights(docs: DataFrame, source_column: str = "source") -> DataFrame:
@@ -56,19 +63,25 @@ def numbered(docs: DataFrame, source: Column, key: Column, scratch: Scratch, tex
 
 
 def shares(sizes: DataFrame, weights: DataFrame, units: int) -> DataFrame:
-    """``(source, blocks, quota, last)``: whole blocks in a cycle, by largest remainders, at least one; ``last`` marks
-    sources without a weight, which form a second mix after the first."""
+    """``(key, blocks, last, w, total, offset, units)``: whole weights, their sum, and the offset in parts of the sum;
+    ``last`` marks sources without a weight, which form a second mix after the first."""
     joined = sizes.join(weights.groupBy("source").agg(F.sum("weight").alias("weight")), sizes["key"].eqNullSafe(F.col("source")), "left")
     weight = F.coalesce(F.greatest("weight", F.lit(0.0)), F.lit(0.0))
     joined = joined.select("key", "blocks", weight.alias("weight"), (weight <= 0).alias("last"))
-    every = Window.partitionBy(F.lit(1))
-    exact = F.when(F.col("last"), 1.0).otherwise(F.col("weight") / F.sum("weight").over(every) * units)
-    joined = joined.withColumn("exact", exact).withColumn("whole", F.floor("exact").cast("long"))
-    spare = F.lit(units) - F.sum(F.when(~F.col("last"), F.col("whole")).otherwise(0)).over(every)
-    order = Window.partitionBy("last").orderBy((F.col("exact") - F.col("whole")).desc(), F.col("key"))
-    more = (~F.col("last") & (F.row_number().over(order) <= F.col("spare"))).cast("long")
-    quota = F.greatest(F.col("whole") + more, F.lit(1))
-    return joined.withColumn("spare", spare).select("key", "blocks", "last", quota.alias("quota"))
+    group = Window.partitionBy("last")
+    whole = F.greatest(F.round(F.col("weight") / F.max("weight").over(group) * 1e12).cast("long"), F.lit(1))
+    joined = joined.withColumn("w", F.when(F.col("last"), F.lit(1)).otherwise(whole).cast("long"))
+    turn = F.row_number().over(group.orderBy("weight", "key")) * ((math.sqrt(5) - 1) / 2)
+    joined = joined.withColumn("total", F.sum("w").over(group)).withColumn("turn", turn - F.floor(turn))
+    return joined.select(
+        "key",
+        "blocks",
+        "last",
+        "w",
+        "total",
+        F.least(F.floor(F.col("turn") * F.col("total")), F.col("total") - 1).cast("long").alias("offset"),
+        F.when(F.col("last"), F.count("*").over(group)).otherwise(F.lit(units)).cast("long").alias("units"),
+    )
 
 
 def schedule(counts: Column) -> Column:
@@ -141,64 +154,39 @@ def in_blocks(
     sizes = docs.groupBy(source.alias("key")).agg(F.count("*").alias("n"))
     sizes = sizes.select("key", F.ceil(F.col("n") / block_rows).cast("long").alias("blocks"))
     own = scratch.save(shares(sizes, weights, units))
-    ahead = own.where(~F.col("last")).agg(F.sum("blocks")).first()[0] or 0
-
-    slots = scratch.save(cycle_slots(own))
-    # A row for every block: its cycle and place there, the schedule that holds for the cycle, and its slot.
-    blocks = own.withColumn("mix_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    blocks = blocks.withColumn("mix_cycle", F.floor(F.col("mix_block") / F.col("quota")).cast("long"))
-    blocks = blocks.withColumn("item", F.col("mix_block") % F.col("quota"))
-    same = (
-        blocks["key"].eqNullSafe(slots["key"])
-        & (blocks["item"] == slots["item"])
-        & (blocks["last"] == slots["last"])
-        & (blocks["mix_cycle"] >= slots["cycle"])
-        & (slots["until"].isNull() | (blocks["mix_cycle"] < slots["until"]))
-    )
-    at = F.col("begin") + (F.col("mix_cycle") - F.col("cycle")) * F.col("length") + F.col("slot")
-    placed = blocks.join(slots, same).select(
-        blocks["key"].alias("_key"),
-        F.col("mix_block").alias("_block"),
-        "mix_cycle",
-        "mix_release",
-        "mix_deadline",
-        (F.when(slots["last"], F.lit(ahead)).otherwise(F.lit(0)) + at).cast("long").alias("mix_position"),
-    )
-    placed = scratch.save(placed)
+    placed = scratch.save(cycle_slots(own, scratch))
     found = rows.join(placed, rows["_source"].eqNullSafe(placed["_key"]) & (rows["mix_block"] == placed["_block"]))
     return found.drop("_key", "_block", "_source", "_digest")
 
 
-def cycle_slots(own: DataFrame) -> DataFrame:
-    """The slots of every cycle that differs from the one before, with the cycle from which another schedule holds."""
-    quota, blocks = F.col("quota"), F.col("blocks")
-    changes = F.array(F.lit(0).cast("long"), F.floor(blocks / quota).cast("long"), F.ceil(blocks / quota).cast("long"))
-    cycles = own.select("last", F.explode(changes).alias("cycle")).distinct()
-    parts = cycles.join(own, "last").select(
-        "last",
-        "cycle",
-        "key",
-        F.greatest(F.least(quota, blocks - F.col("cycle") * quota), F.lit(0)).cast("long").alias("n"),
-        F.least(blocks, F.col("cycle") * quota).alias("done"),
+def cycle_slots(own: DataFrame, scratch: Scratch) -> DataFrame:
+    """A row for every block: its cycle and place there, and its place in the whole mix."""
+    counts = {row.last: row.blocks for row in own.groupBy("last").agg(F.sum("blocks").alias("blocks")).collect()}
+    tasks = 1 + sum(counts.values()) // TASK_BLOCKS
+    blocks = own.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    whole = {x: F.col(x).cast("decimal(19,0)") for x in ("w", "total", "offset", "units")}
+    blocks = blocks.withColumns(
+        {"_x": (F.col("block") + 1).cast("decimal(19,0)") * whole["total"] - whole["offset"], "_y": whole["units"] * whole["w"]}
     )
-    members = F.sort_array(F.collect_list(F.when(F.col("n") > 0, F.struct("key", "n")))).alias("members")
-    patterns = parts.groupBy("last", "cycle").agg(members, F.sum("done").alias("begin")).where(F.size("members") > 0)
-    # After the last of these cycles nothing is left, so it need not end.
-    until = F.lead("cycle").over(Window.partitionBy("last").orderBy("cycle"))
-    counts = F.transform("members", lambda x: x["n"])
-    patterns = patterns.withColumns({"until": until, "counts": counts})
-    slots = patterns.select("*", F.posexplode(schedule(F.col("counts"))).alias("slot", "x"))
+    # The first cycle by whose end the block is placed.
+    blocks = blocks.withColumn("mix_cycle", F.expr("(_x + _y - 1) div _y") - 1)
+    parts = blocks.groupBy("last", "mix_cycle", "key").agg(F.count("*").alias("n"), F.min("block").alias("first"))
+    members = F.sort_array(F.collect_list(F.struct("key", "n", "first"))).alias("members")
+    patterns = scratch.save(parts.groupBy("last", "mix_cycle").agg(members, F.sum("n").alias("length")))
+    before = Window.partitionBy("last").orderBy("mix_cycle").rowsBetween(Window.unboundedPreceding, -1)
+    begins = patterns.select("last", "mix_cycle", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("begin"))
+    patterns = patterns.join(begins, ["last", "mix_cycle"]).withColumn("counts", F.transform("members", lambda x: x["n"]))
+    slots = patterns.repartition(tasks, "last", "mix_cycle")
+    slots = slots.select("*", F.posexplode(schedule(F.col("counts"))).alias("slot", "x"))
+    member = F.element_at("members", F.col("x.member") + 1)
+    ahead = F.when(F.col("last"), F.lit(counts.get(False, 0))).otherwise(F.lit(0))
     return slots.select(
-        "last",
-        "cycle",
-        "until",
-        "begin",
-        "slot",
-        F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b).alias("length"),
-        F.element_at("members", F.col("x.member") + 1)["key"].alias("key"),
-        F.col("x.item").alias("item"),
+        member["key"].alias("_key"),
+        (member["first"] + F.col("x.item")).alias("_block"),
+        "mix_cycle",
         F.col("x.release").alias("mix_release"),
         F.col("x.deadline").alias("mix_deadline"),
+        (ahead + F.col("begin") + F.col("slot")).cast("long").alias("mix_position"),
     )
 
 

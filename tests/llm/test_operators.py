@@ -276,6 +276,25 @@ def test_mix(spark, odd, none):
     assert mixing.mixed(none, weights).count() == 0
 
 
+def test_mix_of_many_sources(spark):
+    """One source has half of the weight, 999 have the rest unevenly: every prefix follows the weights."""
+    sizes = {0: 600, **dict.fromkeys(range(1, 1000), 3)}
+    share = {0: 0.5, **{k: 0.5 * (1 + k % 3) / sum(1 + j % 3 for j in range(1, 1000)) for k in range(1, 1000)}}
+    rows = [(k * 1000 + i, "t", str(k)) for k, n in sizes.items() for i in range(n)]
+    weights = spark.createDataFrame([(str(k), x) for k, x in share.items()], "source string, weight double")
+    found = mixing.mixed(documents(spark, rows), weights, block_rows=1).select("source", "mix_position").collect()
+    order = [int(r.source) for r in sorted(found, key=lambda r: r.mix_position)]
+    assert sorted(r.mix_position for r in found) == list(range(len(rows)))
+    seen, thirds = Counter(), Counter()
+    for n, k in enumerate(order[:1000], 1):
+        seen[k] += 1
+        thirds[k % 3 if k else "first"] += 1
+        assert abs(seen[0] - n / 2) < 4
+        assert k == 0 or abs(seen[k] - n * share[k]) < 2
+    for kind in range(3):
+        assert abs(thirds[kind] - 1000 * sum(x for k, x in share.items() if k and k % 3 == kind)) < 12
+
+
 def test_pipeline_keeps_the_mix(spark, tmp_path):
     """Shares of every prefix of the final output, by mix_position, follow the weights; rows of one id have own places."""
     rng = np.random.default_rng(2)
