@@ -40,6 +40,8 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 APART = set(
     "nav footer aside form menu dialog select button template svg canvas video audio object head datalist fieldset".split()
 )
+#: Class names that say what a page has or has not, not what an element is.
+STATE = re.compile(r"(?:has|have|no|not|with|without|hide|show)[-_]")
 #: Words in class, id or role that name a part outside the main text.
 NAMED = re.compile(
     r"(?<![a-z])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|comments?|repl(?:y|ies)|respond|disqus|side-?bar|widget|menu"
@@ -88,6 +90,14 @@ LABELLED = (
     (7, 0.0, 40, 0.0, 60, 0.0, 0, 0, 0, 1),
     (5, 0.0, 70, 0.0, 35, 0.1, 0, 0, 0, 1),
     (8, 0.0, 3, 1.0, 80, 0.0, 0, 0, 0, 1),
+    (2, 0.0, 3, 1.0, 60, 0.0, 0, 0, 0, 1),
+    (1, 0.0, 0, 0.0, 90, 0.0, 0, 0, 0, 1),
+    (3, 0.0, 80, 0.0, 45, 0.0, 0, 0, 0, 1),
+    (2, 0.0, 40, 0.0, 30, 0.0, 0, 0, 0, 1),
+    (4, 0.0, 30, 0.0, 40, 0.0, 0, 0, 0, 1),
+    (9, 0.0, 70, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (30, 0.5, 40, 0.0, 50, 0.0, 0, 0, 0, 1),
+    (25, 0.45, 60, 0.0, 0, 0.0, 0, 0, 0, 1),
     (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0),
     (3, 1.0, 2, 1.0, 20, 0.0, 0, 0, 0, 0),
     (6, 0.8, 50, 0.0, 5, 0.9, 0, 0, 0, 0),
@@ -136,30 +146,47 @@ def is_main(features: tuple) -> bool:
     return node == 1
 
 
-def apart(name: str, attributes: str, in_article: bool) -> bool:
-    """Does an element stand outside the main text?"""
+def apart(name: str, attributes: str, in_article: bool) -> int:
+    """Does an element stand outside the main text? 2 by its kind or as it is hidden, 1 by its names only."""
     if name in APART or name == "header" and not in_article:
-        return True
+        return 2
     if not attributes or name in ("html", "body", "article", "main"):
-        return False
+        return 0
     if HIDDEN.search(attributes):
-        return True
-    return any(NAMED.search(x.lower().replace("_", " ")) for x in MARKS.findall(attributes))
+        return 2
+    names = (y for x in MARKS.findall(attributes) for y in x.lower().strip("\"'").split())
+    return int(any(NAMED.search(x.replace("_", " ")) for x in names if not STATE.match(x)))
 
 
 def blocks(page: str) -> list[list]:
-    """``[text, words, linked words, in an article, apart]`` of every block with words, in page order."""
+    """``[text, words, linked words, in an article, apart]`` of every block with words, in page order.
+
+    An element that only its names set apart is not apart if it holds an article that has most words of the page.
+    """
     found: list[list] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, opens an article, stands apart
-    articles = aside = link = position = 0
+    stack: list[tuple[str, bool, int]] = []  # open elements: name, opens an article, stands apart
+    articles: list[int] = []  # open ones, by number
+    named: list[int] = []  # open elements that only their names set apart, by number
+    around: list[tuple[int, ...]] = []  # by article: the named elements that it is in
+    aside = link = position = names = 0
+
+    def close_last() -> str:
+        nonlocal aside
+        last, opened, outside = stack.pop()
+        if opened:
+            articles.pop()
+        if outside == 1:
+            named.pop()
+        aside -= outside == 2
+        return last
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             inside = len(html.unescape(" ".join(linked)).split())
-            found.append([text, text.count(" ") + 1, inside, articles > 0, aside > 0])
+            found.append([text, text.count(" ") + 1, inside, tuple(articles), aside > 0, tuple(named)])
         parts.clear()
         linked.clear()
 
@@ -191,37 +218,55 @@ def blocks(page: str) -> list[list]:
         if closing:
             if any(x[0] == name for x in stack):
                 while True:
-                    last, opened, outside = stack.pop()
-                    articles -= opened
-                    aside -= outside
-                    if last == name:
+                    if close_last() == name:
                         break
         elif name in RAW:
             close = re.compile(f"</{name}(?=[\\s/>])", re.IGNORECASE).search(page, position)
             position = close.start() if close else len(page)
-        elif name not in INLINE or apart(name, attributes, articles > 0):
+        elif name not in INLINE or apart(name, attributes, bool(articles)):
             if name == "p" and stack and stack[-1][0] == "p":  # a paragraph ends at the next one
-                _, opened, outside = stack.pop()
-                articles -= opened
-                aside -= outside
-            opens, outside = name in ("article", "main"), apart(name, attributes, articles > 0)
+                close_last()
+            opens, outside = name in ("article", "main"), apart(name, attributes, bool(articles))
             stack.append((name, opens, outside))
-            articles += opens
-            aside += outside
+            if opens:
+                articles.append(len(around))
+                around.append(tuple(named))
+            if outside == 1:
+                named.append(names)
+                names += 1
+            aside += outside == 2
     flush()
-    return found
+    held = main_wrappers(found, around)
+    return [[*x[:3], bool(x[3]), x[4] or any(k not in held for k in x[5])] for x in found]
+
+
+def main_wrappers(found: list[list], around: list[tuple[int, ...]]) -> set[int]:
+    """Named elements around the longest article, if it has most of the words that do not stand apart without their names."""
+    words = [0] * len(around)
+    for _, n, _, articles, hard, named in found:
+        for k in articles:
+            if not hard and named == around[k]:
+                words[k] += n
+    if not any(words):
+        return set()
+    longest = max(range(len(words)), key=words.__getitem__)
+    held = set(around[longest])
+    total = sum(n for _, n, _, _, hard, named in found if not hard and held.issuperset(named))
+    return held if 2 * words[longest] > total else set()
 
 
 def main_text(page: str) -> str:
     """The blocks that the tree takes for main text, joined by one space."""
     found = blocks(page)
     shares = [linked / words for _, words, linked, _, _ in found]
-    has_article = any(article for _, _, _, article, _ in found)
+    # Articles count if they have most of the words that do not stand apart.
+    main = [(words, article) for _, words, _, article, outside in found if not outside]
+    has_article = 2 * sum(words for words, article in main if article) > sum(words for words, _ in main)
     kept = []
     for i, (text, words, _, article, outside) in enumerate(found):
         before = (found[i - 1][1], shares[i - 1]) if i else (0, 0.0)
         after = (found[i + 1][1], shares[i + 1]) if i + 1 < len(found) else (0, 0.0)
-        if is_main((words, shares[i], *before, *after, article, has_article, outside)):
+        if is_main((words, shares[i], *before, *after, article and has_article, has_article, outside)):
             kept.append(text)
     return " ".join(kept)
 

@@ -471,6 +471,30 @@ def test_main_text(spark):
     assert pages.main_texts(frame.limit(0)).count() == 0
 
 
+LONG_PART = "It was a long day and many people came to the square to hear the band play its old songs again. " * 4
+
+
+@pytest.mark.parametrize("apart", ["<aside><article>Read this too</article></aside>", "<article>Read this too</article>"])
+def test_teasers_do_not_hide_the_main_text(apart):
+    page = f"<body><div><p>{LONG_PART}</p><p>{LONG_PART}</p></div>{apart}</body>"
+    assert pages.main_text(page).count(LONG_PART.strip()) == 2
+    teaser = f"<body><div><p>{LONG_PART}</p><p>{LONG_PART}</p></div><div class=related><article>Read this too</article></div></body>"
+    assert pages.main_text(teaser) == " ".join([LONG_PART.strip()] * 2)
+
+
+@pytest.mark.parametrize("mark", ["class='page has-sidebar'", "class=no-comments", "class='social page'", "id=search"])
+def test_wrappers_of_the_main_article_stay(mark):
+    page = f"<div {mark}><article><h1>Head</h1><p>{LONG_PART}</p><div class=comments>First!</div></article></div><div class=sidebar>Beside</div>"
+    assert pages.main_text(page) == f"Head {LONG_PART.strip()}"
+
+
+@pytest.mark.parametrize("part", ["<h2>Second part</h2>", "<p>So it went.</p>", "<p>See <a href=x>the old song book</a> of the band for all</p>"])
+def test_short_parts_without_an_article(part):
+    page = f"<ul><li><a href=/>Home</a></ul><div><h1>Head</h1><p>{LONG_PART}</p>{part}<p>{LONG_PART}</p></div>"
+    text = " ".join(pages.re.sub("<[^>]*>", "", part).split())
+    assert pages.main_text(page) == f"Head {LONG_PART.strip()} {text} {LONG_PART.strip()}"
+
+
 def test_tree_knows_its_table():
     for row in pages.LABELLED:
         assert pages.is_main(row[:-1]) == row[-1]
