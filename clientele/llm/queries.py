@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm import (
+    alignment,
     bpe,
     embedding_dup,
     fixity,
@@ -16,6 +17,7 @@ from clientele.llm import (
     mixing,
     near_dup,
     pages,
+    periodic_runs,
     token_counts,
     toxicity,
     vector_search,
@@ -110,5 +112,44 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return pages.main_texts(table(spark, folder, "pages"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents of which a tenth, by a hash of the id, repeats a part of itself to its end."""
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    hashed = docs.withColumn("h", F.crc32(F.col("doc_id").cast("string")))
+    cut = hashed.select("doc_id", "text", "h", F.when(F.col("h") % 10 == 0, words).alias("words"), F.floor(F.col("h") / 10).alias("g"))
+    cut = cut.withColumn("n", F.size("words").cast("long"))
+    places = cut.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    places = places.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    rest = (F.col("n") - F.col("a")).cast("int")
+    part = F.slice("words", (F.col("a") + 1).cast("int"), F.col("p").cast("int"))
+    copies = F.flatten(F.array_repeat(part, F.ceil(rest / F.col("p")).cast("int")))
+    planted = F.concat(F.slice("words", F.lit(1), F.col("a").cast("int")), F.slice(copies, F.lit(1), rest))
+    return places.select("doc_id", F.when(F.col("n") > 0, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of six words and four periods or more, in texts of which a tenth is made periodic."""
+    found = periodic_runs.periodic_runs(with_planted_runs(table(spark, folder, "documents")), 6, 4)
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.start.alias("start"),
+        best.length.alias("length"),
+        best.period.alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.encode(F.array_join(line, ""), "UTF-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of the byte-level and the piece tokenizer over every text."""
+    docs = table(spark, folder, "documents")
+    paths = public_tokenizers.path(alignment.BYTE_LEVEL), public_tokenizers.path(alignment.PIECES)
+    return alignment.alignment(docs, *paths)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
