@@ -18,6 +18,7 @@ from clientele.llm import (
     near_dup,
     pages,
     periodic_runs,
+    suffix_tree,
     token_counts,
     toxicity,
     vector_search,
@@ -144,6 +145,12 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text scored by a suffix tree of the texts that a hash of the id does not hold out."""
+    docs = table(spark, folder, "documents")
+    return suffix_tree.scored(docs, F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """Groups and links of the byte-level and the piece tokenizer over every text."""
     docs = table(spark, folder, "documents")
