@@ -1,8 +1,8 @@
 """Alignment of two tokenizers: where their tokens of one text end at the same byte, and how often ids end together.
 
 Both id lists of a text get their cumulative byte ends in a dictionary from end to index. The intersection of the keys,
-sorted, slices both lists into groups; a link is an occurrence of an A and a B token in a slice whose byte ranges end
-together. Encoding is done by chunk, between places where both tokenizers are known to begin anew, so every chunk border
+sorted, slices both lists into groups; a link is an occurrence of an A and a B token whose byte ranges end together. No
+token is empty, so each slice has one, its last tokens. Encoding is done by chunk, between places where both tokenizers are known to begin anew, so every chunk border
 is a common end, and the groups of a text are those of its chunks one after the other. A worker keeps the groups of
 short chunks that it has met.
 
@@ -21,6 +21,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +41,13 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Entries of a worker's memory of chunks, after which it starts anew, and the longest chunk that it keeps.
-CACHE_CHUNKS, CACHE_CHARS = 200_000, 48
+CACHE_CHUNKS, CACHE_CHARS = 300_000, 48
+#: Chunks encoded together.
+TOGETHER = 1000
 #: White space that ends in a blank goes with the word after it. Other white space before a word loses its last
 #: character to a chunk of its own, as in the pattern of the byte-level tokenizer.
 CHUNKS = re.compile(f"[{WHITE}]* [^{WHITE}]+|[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+WORDS = re.compile(f"[{WHITE}].*[^{WHITE}]", re.DOTALL)
 BLANK = "\u2581"
 
 
@@ -71,12 +75,12 @@ class ByteLevelSide:
         for text, number in self.own.get_vocab().items():
             self.token[number] = b"" if text in special else bytes(letters[x] for x in text)
 
-    def ids(self, chunks: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.own.encode_batch_fast(chunks, add_special_tokens=False)]
+    def ids(self, text: str) -> list[int]:
+        return self.own.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
 
 class PieceSide:
-    """The piece tokenizer, which puts a blank before a text; ``ids`` takes chunks that have theirs already."""
+    """The piece tokenizer, which puts a blank before a text; ``ids`` takes texts that have theirs already."""
 
     def __init__(self, path: str) -> None:
         self.own = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -99,8 +103,8 @@ class PieceSide:
         if "\n" in self.joined or self.own.encode("\nx")[: len(self.lead)] != self.lead:
             raise ValueError(f"{path}: a line feed must stand alone")
 
-    def ids(self, chunks: list[str]) -> list[list[int]]:
-        return [x[len(self.lead) :] for x in self.own.encode(["\n" + x for x in chunks], num_threads=1)]
+    def ids(self, text: str) -> list[int]:
+        return self.own.encode("\n" + text)[len(self.lead) :]
 
 
 @lru_cache(maxsize=1)
@@ -138,70 +142,64 @@ def pair_table(a_path: str, b_path: str) -> np.ndarray:
     return np.array(sorted(pairs), np.int64)
 
 
-Group = tuple[list[int], list[int]]
-
-
-def groups_of(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> tuple[list[Group], list[Group]]:
-    """The groups between common ends, and for each the tokens of either side that end where it ends."""
-
-    def ends(ids: list[int], tokens: list[bytes]) -> list[int]:
-        found, at = [], 0
-        for x in ids:
-            at += len(tokens[x])
-            found.append(at)
-        return found
-
-    a_ends, b_ends = ends(a, a_bytes), ends(b, b_bytes)
-    a_index = {end: i for i, end in enumerate(a_ends, 1)}
-    b_index = {end: i for i, end in enumerate(b_ends, 1)}
-    groups, last, i, j = [], [], 0, 0
-    for end in sorted(a_index.keys() & b_index.keys()):
-        to_i, to_j = a_index[end], b_index[end]
-        groups.append((a[i:to_i], b[j:to_j]))
-        last.append(
-            ([a[x] for x in range(i, to_i) if a_ends[x] == end], [b[x] for x in range(j, to_j) if b_ends[x] == end])
-        )
-        i, j = to_i, to_j
-    return groups, last
-
-
-def written(groups: list[Group]) -> str:
-    """Groups as text: ids by commas, both sides by a bar, groups by semicolons."""
-    return ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
-
-
 #: Numbers of A and B tokens, of groups, the groups as text, the places of the linked pairs in the pair table.
 Chunk = tuple[int, int, int, str, tuple[int, ...]]
 
 
 class Aligner:
-    """Chunks with their groups: this worker's memory, then the tokenizers."""
+    """Chunks with their groups: this worker's memory, then the tokenizers.
+
+    Chunks from white space to the end of a word begin anew after one another too, so new ones are encoded together.
+    """
 
     def __init__(self, a_path: str, b_path: str) -> None:
         self.a, self.b = sides(a_path, b_path)
         self.pairs = pair_table(a_path, b_path)
+        self.a_names, self.b_names = ([str(i) for i in range(len(x.token))] for x in (self.a, self.b))
         self.cache: dict[str, Chunk | None] = {}
         self.whole = re.compile("[" + "".join(map(re.escape, sorted(self.b.joined))) + "]") if self.b.joined else None
 
     def aligned(self, chunks: list[str]) -> list[Chunk | None]:
-        """The groups of each chunk; None where a side's bytes are not those of the chunk."""
-        found = []
-        for chunk, a, b in zip(chunks, self.a.ids(chunks), self.b.ids(chunks), strict=True):
-            given = chunk.encode()
-            if b"".join([self.a.token[x] for x in a]) != given or b"".join([self.b.token[x] for x in b]) != given:
-                found.append(None)
-                continue
-            groups, last = groups_of(a, b, self.a.token, self.b.token)
-            links = [x * len(self.b.token) + y for xs, ys in last for x in xs for y in ys]
-            places = np.searchsorted(self.pairs, links)
-            found.append((len(a), len(b), len(groups), written(groups), tuple(places.tolist())))
-        return found
+        """The groups of chunks that follow one another; None for a chunk of which a side does not give back the bytes."""
+        text = "".join(chunks)
+        a, b = self.a.ids(text), self.b.ids(text)
+        a_bytes, b_bytes = [self.a.token[x] for x in a], [self.b.token[x] for x in b]
+        if not b"".join(a_bytes) == b"".join(b_bytes) == text.encode():
+            half = len(chunks) // 2
+            return [None] if not half else self.aligned(chunks[:half]) + self.aligned(chunks[half:])
+        a_index = dict(zip(accumulate(map(len, a_bytes)), count(1)))
+        b_index = dict(zip(accumulate(map(len, b_bytes)), count(1)))
+        a_names, b_names, size = self.a_names, self.b_names, len(self.b.token)
+        bounds = accumulate(len(x.encode()) for x in chunks)
+        bound, i, j, first_i, first_j, first = next(bounds), 0, 0, 0, 0, 0
+        groups, links, cut = [], [], []
+        for end in sorted(a_index.keys() & b_index.keys()):
+            to_i, to_j = a_index[end], b_index[end]
+            if to_i == i + 1 and to_j == j + 1:
+                groups.append(f"{a_names[a[i]]}|{b_names[b[j]]}")
+            else:
+                groups.append(f"{','.join([a_names[x] for x in a[i:to_i]])}|{','.join([b_names[x] for x in b[j:to_j]])}")
+            i, j = to_i, to_j
+            links.append(a[i - 1] * size + b[j - 1])
+            if end == bound:
+                cut.append((i - first_i, j - first_j, first, len(groups)))
+                bound, first_i, first_j, first = next(bounds, 0), i, j, len(groups)
+        places = np.searchsorted(self.pairs, links).tolist()
+        return [
+            (n_a, n_b, last - first, ";".join(groups[first:last]), tuple(places[first:last]))
+            for n_a, n_b, first, last in cut
+        ]
 
     def known(self, chunks: set[str]) -> dict[str, Chunk | None]:
         if len(self.cache) > CACHE_CHUNKS:
             self.cache = {}
         missing = [x for x in chunks if x not in self.cache]
-        fresh = dict(zip(missing, self.aligned(missing), strict=True)) if missing else {}
+        words = [x for x in missing if WORDS.fullmatch(x)]
+        fresh = {}
+        for begin in range(0, len(words), TOGETHER):
+            some = words[begin : begin + TOGETHER]
+            fresh.update(zip(some, self.aligned(some), strict=True))
+        fresh.update((x, self.aligned([x])[0]) for x in missing if x not in fresh)
         long = {k: v for k, v in fresh.items() if len(k) > CACHE_CHARS}
         self.cache.update(fresh if not long else {k: v for k, v in fresh.items() if k not in long})
         return {**self.cache, **long} if long else self.cache
@@ -248,7 +246,8 @@ def aligned_texts(
         aligner = worker_aligner(a_path, b_path)
         texts = [own or [] for own in aligner.of([x.decode() for x in utf8(rows.column(1))])]
         linked = [
-            np.unique(np.fromiter((p for x in own for p in x[4]), np.int32), return_counts=True) for own in texts
+            np.unique(np.array(list(chain.from_iterable([x[4] for x in own])), np.int32), return_counts=True)
+            for own in texts
         ]
         offsets = np.cumsum([0, *[len(x) for x, _ in linked]]).astype(np.int32)
         columns = [pa.array([sum([x[i] for x in own]) for own in texts], pa.int64()) for i in range(3)]
