@@ -17,6 +17,7 @@ empty result; other columns of the input are not touched.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from collections.abc import Iterator
@@ -40,14 +41,20 @@ from clientele.llm.token_counts import WHITE
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
-#: Entries of a worker's memory of chunks, after which it starts anew, and the longest chunk that it keeps.
-CACHE_CHUNKS, CACHE_CHARS = 300_000, 48
+#: New entries of a worker's memory of chunks after which those not met again since the last time are forgotten, and the
+#: longest chunk that it keeps.
+CACHE_CHUNKS, CACHE_CHARS = 200_000, 48
 #: Chunks encoded together.
 TOGETHER = 1000
 #: White space that ends in a blank goes with the word after it. Other white space before a word loses its last
 #: character to a chunk of its own, as in the pattern of the byte-level tokenizer.
 CHUNKS = re.compile(f"[{WHITE}]* [^{WHITE}]+|[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+#: Where no piece joins ASCII letters with punctuation after them, the letters that a word starts with are a chunk as well:
+#: the byte-level tokenizer always begins anew at punctuation after a letter.
+SIGN = r"[!-/:-@\[-`{-~]"
+FINE_CHUNKS = re.compile(f"[{WHITE}]* [A-Za-z]+(?={SIGN})|[A-Za-z]+(?={SIGN})|{CHUNKS.pattern}")
 WORDS = re.compile(f"[{WHITE}].*[^{WHITE}]", re.DOTALL)
+LINES = re.compile(f"[^{WHITE}]+")
 BLANK = "\u2581"
 
 
@@ -98,6 +105,8 @@ class PieceSide:
         white = re.compile(f"[{WHITE}]")
         #: White space that pieces join with other characters; a text that holds it is one chunk.
         self.joined = {c for x in pieces if len(x) > 1 for c in white.findall(x)}
+        plain = [x for i, x in enumerate(pieces) if not (self.own.is_control(i) or self.own.is_unknown(i) or self.own.is_byte(i))]
+        self.chunks = CHUNKS if any(re.search(f"[A-Za-z]{SIGN}", x) for x in plain) else FINE_CHUNKS
         # No piece joins a line feed, so a chunk after one is encoded as in the middle of a text.
         self.lead = self.own.encode("\n")
         if "\n" in self.joined or self.own.encode("\nx")[: len(self.lead)] != self.lead:
@@ -149,7 +158,8 @@ Chunk = tuple[int, int, int, str, tuple[int, ...]]
 class Aligner:
     """Chunks with their groups: this worker's memory, then the tokenizers.
 
-    Chunks from white space to the end of a word begin anew after one another too, so new ones are encoded together.
+    Chunks from white space to the end of a word begin anew after one another too, and so do those without white space after
+    a line feed, so new ones are encoded together.
     """
 
     def __init__(self, a_path: str, b_path: str) -> None:
@@ -157,6 +167,7 @@ class Aligner:
         self.pairs = pair_table(a_path, b_path)
         self.a_names, self.b_names = ([str(i) for i in range(len(x.token))] for x in (self.a, self.b))
         self.cache: dict[str, Chunk | None] = {}
+        self.older: dict[str, Chunk | None] = {}
         self.whole = re.compile("[" + "".join(map(re.escape, sorted(self.b.joined))) + "]") if self.b.joined else None
 
     def aligned(self, chunks: list[str]) -> list[Chunk | None]:
@@ -191,15 +202,20 @@ class Aligner:
         ]
 
     def known(self, chunks: set[str]) -> dict[str, Chunk | None]:
+        """A table that holds all of these chunks."""
         if len(self.cache) > CACHE_CHUNKS:
-            self.cache = {}
-        missing = [x for x in chunks if x not in self.cache]
+            self.older, self.cache = self.cache, {}
+        unseen = [x for x in chunks if x not in self.cache]
+        fresh = {x: self.older[x] for x in unseen if x in self.older}
+        missing = [x for x in unseen if x not in fresh]
         words = [x for x in missing if WORDS.fullmatch(x)]
-        fresh = {}
-        for begin in range(0, len(words), TOGETHER):
-            some = words[begin : begin + TOGETHER]
-            fresh.update(zip(some, self.aligned(some), strict=True))
-        fresh.update((x, self.aligned([x])[0]) for x in missing if x not in fresh)
+        # Chunks without white space stand after a line feed.
+        lines = [x for word in missing if LINES.fullmatch(word) for x in ("\n", word)]
+        for together in (words, lines):
+            for begin in range(0, len(together), TOGETHER):
+                some = together[begin : begin + TOGETHER]
+                fresh.update(zip(some, self.aligned(some), strict=True))
+        fresh.update([(x, self.aligned([x])[0]) for x in missing if x not in fresh])
         long = {k: v for k, v in fresh.items() if len(k) > CACHE_CHARS}
         self.cache.update(fresh if not long else {k: v for k, v in fresh.items() if k not in long})
         return {**self.cache, **long} if long else self.cache
@@ -208,13 +224,13 @@ class Aligner:
         if not text:
             return []
         whole = self.whole is not None and self.whole.search(text)
-        return [f" {text}"] if whole else CHUNKS.findall(f" {text}")
+        return [f" {text}"] if whole else self.b.chunks.findall(f" {text}")
 
     def of(self, texts: list[str]) -> list[list[Chunk] | None]:
         cut = [self.chunks(x) for x in texts]
-        table = self.known({x for own in cut for x in own})
-        found = [[table[x] for x in own] for own in cut]
-        return [own if own and None not in own else None for own in found]
+        table = self.known(set(chain.from_iterable(cut)))
+        found = [list(map(table.__getitem__, own)) for own in cut]
+        return [own if own and all(own) else None for own in found]
 
 
 _WORKER: list[tuple[str, str, Aligner]] = []
@@ -244,15 +260,15 @@ def aligned_texts(
 
     def work(rows: pa.RecordBatch) -> pa.RecordBatch:
         aligner = worker_aligner(a_path, b_path)
-        texts = [own or [] for own in aligner.of([x.decode() for x in utf8(rows.column(1))])]
-        linked = [
-            np.unique(np.array(list(chain.from_iterable([x[4] for x in own])), np.int32), return_counts=True)
-            for own in texts
-        ]
+        gc.disable()  # the many small objects of the memory hold no cycles
+        found = aligner.of([x.decode() for x in utf8(rows.column(1))])
+        gc.enable()
+        texts = [tuple(zip(*own, strict=True)) if own else ((),) * 5 for own in found]
+        linked = [np.unique(np.array([*chain.from_iterable(own[4])], np.int32), return_counts=True) for own in texts]
         offsets = np.cumsum([0, *[len(x) for x, _ in linked]]).astype(np.int32)
-        columns = [pa.array([sum([x[i] for x in own]) for own in texts], pa.int64()) for i in range(3)]
+        columns = [pa.array([sum(own[i]) for own in texts], pa.int64()) for i in range(3)]
         columns.append(pa.array([int(times.sum()) for _, times in linked], pa.int64()))
-        columns.append(pa.array([";".join([x[3] for x in own]) for own in texts], pa.string()))
+        columns.append(pa.array([";".join(own[3]) for own in texts], pa.string()))
         for part in (0, 1):
             values = np.concatenate([np.zeros(0, np.int32), *[x[part].astype(np.int32) for x in linked]])
             columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32())))
