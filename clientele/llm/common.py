@@ -65,7 +65,10 @@ class Scratch:
 
     def drop(self, saved: DataFrame) -> None:
         """Delete a table that nothing reads any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(saved._scratch_path)
+        self.remove(saved._scratch_path)
+
+    def remove(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -11,9 +11,10 @@ a text, and one class of all other words, within which the root's distribution d
 How it runs. Texts are cut once into blocks of about ``BLOCK_TOKENS`` tokens, written to the shared folder, bucketed by block.
 What a block needs from the whole corpus it asks in rounds: it sends its distinct keys (words; then contexts with next
 symbol, one length a round; then contexts with their divergence) with its own counts, packed, to parts by a hash of the key;
-a part adds up and sends the totals back to the blocks. A key is sent once per block, so no key is hot, and contexts are
-lengthened only where the shorter one is frequent. Counts, and the divergence in units of 2**-20, are whole numbers, so the
-result does not depend on how rows are dealt. The blocks themselves are never shuffled.
+a part adds up and sends back to the blocks what other blocks add. A key is sent once per block, so no key is hot, and
+contexts are lengthened only where the shorter one is frequent. Answers are bucketed as the blocks are, and kept: neither
+is shuffled again for a later round. Counts, and the divergence in units of 2**-10 nats, are whole numbers, so the
+result does not depend on how rows are dealt.
 
 Nulls and edge cases: a null or empty text is one end token; a null id is kept; rows whose ``held_out`` is null train;
 repeated rows count each; without training texts every score is 0; an empty table gives an empty result; other columns of
@@ -30,6 +31,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -39,16 +41,16 @@ from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, Stru
 from clientele.llm.common import Scratch, ship, utf8
 
 #: Tokens of a block (a longer text is a block of its own), and bytes of text for each part and bucket.
-BLOCK_TOKENS, SHARE_BYTES = 1 << 21, 16 << 20
+BLOCK_TOKENS, SHARE_BYTES = 1 << 20, 16 << 20
 #: Spark's own limit of buckets.
 MOST_BUCKETS = 100_000
 #: Numbers of symbols that are not frequent words: any other word, the end, the start (in contexts only).
 OTHER, END, START, WORDS = 0, 1, 2, 3
 #: Divergence is added up in whole units of this share of a nat.
-UNIT = 1 << 20
+UNIT = 1 << 10
 
 WORD_KEYS, GRAM_KEYS, CONTEXT_KEYS = 0, 1, 2
-SENT = "part int, block long, kind int, a binary, b binary, c binary, d binary"
+SENT = "part int, block long, kind int, a binary, b binary, c binary"
 RETURNED = "block long, step int, kind int, part int, a binary, b binary, c binary, seen long, rare long, rare_tokens long"
 
 
@@ -104,6 +106,16 @@ class Dealt:
             own = self.order[self.bounds[part] : self.bounds[part + 1]]
             yield part, [x[own] for x in columns]
 
+    def numbers(
+        self, returned: dict[int, bytes], frequent: np.ndarray, first: int, read: Callable[[bytes], np.ndarray]
+    ) -> np.ndarray:
+        """The numbers that the parts gave to frequent keys; -1 for the others."""
+        values = np.full(len(self.order), -1)
+        for part, packed in returned.items():
+            own = self.order[self.bounds[part] : self.bounds[part + 1]]
+            values[own[frequent[own]]] = read(packed) * (len(self.bounds) - 1) + part + first
+        return values
+
     def back(self, returned: dict[int, bytes]) -> np.ndarray:
         """Returned values in the order of the keys."""
         values = np.empty(len(self.order), np.int64)
@@ -112,17 +124,49 @@ class Dealt:
 
 
 def ascending(keys: np.ndarray) -> bytes:
+    """Ascending numbers, by their gaps; back by ``gaps``."""
     return pack(np.diff(keys, prepend=0))
 
 
+def gaps(packed: bytes | None) -> np.ndarray:
+    return np.cumsum(unpack(packed))
+
+
+def distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct code, and the number of its code for each place. Sorts codes and places as one number."""
+    bits = len(codes).bit_length()
+    if int(codes.max(initial=0)).bit_length() + bits < 63:
+        both = np.sort((codes << bits) | np.arange(len(codes)))
+        places, codes = both & ((1 << bits) - 1), both >> bits
+    else:
+        places = np.argsort(codes, kind="stable")
+        codes = codes[places]
+    fresh = np.ones(len(codes), bool)
+    fresh[1:] = codes[1:] != codes[:-1]
+    number = np.empty(len(codes), np.int64)
+    number[places] = np.cumsum(fresh) - 1
+    return places[fresh], number
+
+
 class Level:
-    """Contexts of one length at the places of a block, with next symbols."""
+    """Contexts of one length at the places of a block, with next symbols.
+
+    ``context`` and ``symbol`` are the numbers that hold for all blocks, the codes shorter ones that hold in this block.
+    """
 
-    def __init__(self, context: np.ndarray, symbol: np.ndarray, weight: np.ndarray, parts: int) -> None:
+    def __init__(
+        self, context: np.ndarray, context_code: np.ndarray, symbol: np.ndarray, symbol_code: np.ndarray,
+        weight: np.ndarray, parts: int
+    ) -> None:
         self.at = np.flatnonzero(context >= 0)
-        keys = (context[self.at] << 32) | symbol[self.at]
-        self.keys, first, self.inverse = np.unique(keys, return_index=True, return_inverse=True)
-        self.example = self.at[first]
+        codes = context_code[self.at] * (int(symbol_code.max()) + 1) + symbol_code[self.at]
+        example, inverse = distinct(codes)
+        example = self.at[example]
+        keys = (context[example] << 32) | symbol[example]
+        order = np.argsort(keys)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.keys, self.example, self.inverse = keys[order], example[order], rank[inverse]
         self.counts = np.bincount(self.inverse, weight[self.at], len(self.keys)).astype(np.int64)
         self.dealt = Dealt(spread(self.keys, parts), parts)
         self.contexts, self.context_of = np.unique(self.keys >> 32, return_inverse=True)
@@ -156,83 +200,92 @@ class Block:
         return zstandard.decompress(self.rows.column("words")[0].as_py()).split(b" ")
 
     def know_words(self) -> None:
-        """Symbols of all tokens, and the root."""
+        """Symbols of all tokens, and how often they occur."""
         words = self.words()
         dealt = Dealt(word_parts(words, self.parts), self.parts)
-        totals, numbers = (dealt.back(self.returned[0, WORD_KEYS, x]) for x in "ab")
+        totals = dealt.back(self.returned[0, WORD_KEYS, "a"])
+        totals += np.bincount(self.tokens, self.weight, len(words)).astype(np.int64)
         end = words.index(b"")
-        symbols = np.where(numbers > 0, numbers - 1, OTHER)
+        frequent = totals >= self.figures["least_count"]
+        frequent[end] = False
+        symbols = np.maximum(dealt.numbers(self.returned[0, WORD_KEYS, "b"], frequent, WORDS, unpack), OTHER)
         symbols[end] = END
         self.total, self.symbol = totals[self.tokens], symbols[self.tokens]
-        other = self.symbol == OTHER
-        self.counted = [np.where(other, self.figures["rare_tokens"], self.total)]
+        self.code = np.unique(symbols, return_inverse=True)[1][self.tokens]
+        self.counted = [np.where(self.symbol == OTHER, self.figures["rare_tokens"], self.total)]
         self.occurs = [np.full(len(self.tokens), self.figures["tokens"])]
-        slots = self.figures["tokens"] + self.figures["seen"] + 1
-        own = (self.total + 1) / slots
-        all_other = (self.figures["rare_tokens"] + self.figures["rare"] + 1) / slots
-        self.base = np.log10(own)
-        self.root = np.where(other, all_other, own)
-        self.within = np.where(other, self.base - math.log10(all_other), 0.0)
 
     def lengthen(self) -> Level:
         """The contexts that are longer by one word than the last."""
-        before = np.full(len(self.tokens), -1)
-        occurs = np.zeros(len(self.tokens), np.int64)
+        size = len(self.tokens)
+        before, code, occurs = np.full(size, -1), np.zeros(size, np.int64), np.zeros(size, np.int64)
         if not self.levels:
             before[1:] = np.where(self.symbol[:-1] >= WORDS, self.symbol[:-1], -1)
             before[self.starts] = START if self.figures["docs"] >= self.figures["least_count"] else -1
+            code[1:] = self.code[:-1] + 1
+            code[self.starts] = 0
             occurs[1:] = self.total[:-1]
             occurs[self.starts] = self.figures["docs"]
         else:
             last = self.levels[-1]
-            before[1:] = last.placed(last.fresh, len(before), 0)[:-1] - 1
-            occurs[1:] = self.counted[-1][:-1]
+            before[1:] = last.placed(last.fresh, size, -1)[:-1]
             before[self.starts] = -1
+            code[1:] = last.placed(np.arange(len(last.keys)), size, 0)[:-1]
+            occurs[1:] = self.counted[-1][:-1]
         self.occurs.append(occurs)
-        self.levels.append(Level(before, self.symbol, self.weight, self.parts))
+        self.levels.append(Level(before, code, self.symbol, self.code, self.weight, self.parts))
         return self.levels[-1]
 
-    def know_grams(self, step: int) -> None:
+    def know_grams(self, step: int, lengthened: bool) -> None:
         level = self.levels[-1]
-        level.totals, level.fresh, level.owned = (level.dealt.back(self.returned[step, GRAM_KEYS, x]) for x in "abc")
+        level.totals = level.dealt.back(self.returned[step, GRAM_KEYS, "a"]) + level.counts
+        level.owned = level.dealt.back(self.returned[step, GRAM_KEYS, "c"])
+        if lengthened:
+            frequent = (level.totals >= self.figures["least_count"]) & ((level.keys & 0xFFFFFFFF) >= WORDS)
+            level.fresh = level.dealt.numbers(self.returned[step, GRAM_KEYS, "b"], frequent, 0, gaps)
         self.counted.append(level.placed(level.totals, len(self.tokens), 0))
 
     def grams(self) -> list[tuple]:
         level = self.levels[-1]
         packets = level.dealt.packets(level.keys, level.counts)
-        return [(part, GRAM_KEYS, ascending(keys), pack(counts), None, None) for part, (keys, counts) in packets]
+        return [(part, GRAM_KEYS, ascending(keys), pack(counts), None) for part, (keys, counts) in packets]
 
-    def divergences(self, length: int) -> list[tuple]:
-        """Per context of a length: its divergence and followers, as far as this block's own occurrences go."""
-        level, at = self.levels[length - 1], self.levels[length - 1].example
+    def divergences(self, length: int, least: float) -> list[tuple]:
+        """Per context of a length: how far it diverges above the least, and its followers, as far as this block's own
+        occurrences go. A follower counts in one block only."""
+        level = self.levels[length - 1]
         held = level.counts > 0
+        x = level.example[held]
         ratio = np.zeros(len(level.keys))
-        x = at[held]
         ratio[held] = np.log(
             level.totals[held] / self.occurs[length][x] * (self.occurs[length - 1][x] / self.counted[length - 1][x])
         )
-        units = np.rint(ratio * UNIT) * level.counts
+        units = (np.rint(ratio * UNIT) - round(least * UNIT)) * level.counts - UNIT // 2 * level.owned
         size = len(level.contexts)
-        gain = np.rint(np.bincount(level.context_of, units, size)).astype(np.int64)
+        excess = np.rint(np.bincount(level.context_of, units, size)).astype(np.int64)
         followers = np.bincount(level.context_of, level.owned, size).astype(np.int64)
-        occurs = np.zeros(size, np.int64)
-        occurs[level.context_of] = self.occurs[length][at]
+        packets = level.dealt_contexts.packets(level.contexts, excess, followers)
         return [
-            (part, CONTEXT_KEYS, ascending(keys), pack(signed(own)), pack(count), pack(n))
-            for part, (keys, own, count, n) in level.dealt_contexts.packets(level.contexts, gain, followers, occurs)
+            (part, CONTEXT_KEYS, ascending(keys), pack(signed(own)), pack(count)) for part, (keys, own, count) in packets
         ]
 
     def scores(self, depth: int) -> pa.Table:
-        p = self.root
+        """The root's probability of each token, smoothed into that of ever longer contexts that are states."""
+        slots = self.figures["tokens"] + self.figures["seen"] + 1
+        own, other = (self.total + 1) / slots, self.symbol == OTHER
+        all_other = (self.figures["rare_tokens"] + self.figures["rare"] + 1) / slots
+        p = np.where(other, all_other, own)
+        base = np.log10(own)
         for length in range(1, depth + 1):
             level = self.levels[length - 1]
             followers = level.dealt_contexts.back(self.returned[length + 1, CONTEXT_KEYS, "a"])
             k = level.placed(followers[level.context_of], len(p), 0)
             smoothed = (self.counted[length] + k * p) / np.maximum(self.occurs[length] + k, 1)
             p = np.where(k > 0, smoothed, p)
+        within = np.where(other, base - math.log10(all_other), 0.0)
         sums = [
             pa.array(np.add.reduceat(x, self.starts))
-            for x in ((self.total > 0).astype(np.int64), self.base, np.log10(p) + self.within)
+            for x in ((self.total > 0).astype(np.int64), base, np.log10(p) + within)
         ]
         ids, held = self.rows.column("ids")[0].values, pa.array(~self.trains)
         n = len(self.sizes)
@@ -280,10 +333,11 @@ def blocks(batches: Iterator[pa.RecordBatch], schema: pa.Schema, block_tokens: i
 
 
 def sent_table(block: int, packets: list[tuple]) -> pa.Table:
-    columns = list(zip(*packets, strict=True)) if packets else [[]] * 6
-    types = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
+    columns = list(zip(*packets, strict=True)) if packets else [[]] * 5
+    types = [pa.int32(), pa.int32(), *[pa.binary()] * 3]
     part, kind, *values = [pa.array(x, t) for x, t in zip(columns, types, strict=True)]
-    return pa.table([part, pa.array([block] * len(packets), pa.int64()), kind, *values], names=["part", "block", "kind", *"abcd"])
+    names = ["part", "block", "kind", *"abc"]
+    return pa.table([part, pa.array([block] * len(packets), pa.int64()), kind, *values], names=names)
 
 
 def word_packets(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
@@ -296,7 +350,7 @@ def word_packets(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.R
             counts = np.bincount(own.tokens, own.weight, len(words)).astype(np.int64)
             dealt = Dealt(word_parts(words, parts), parts)
             packets = [
-                (part, WORD_KEYS, zstandard.compress(b" ".join([words[x] for x in places.tolist()]), 3), pack(n), None, None)
+                (part, WORD_KEYS, zstandard.compress(b" ".join([words[x] for x in places.tolist()]), 3), pack(n), None)
                 for part, (places, n) in dealt.packets(np.arange(len(words)), counts)
             ]
             yield from sent_table(batch.column("block")[i].as_py(), packets).to_batches()
@@ -305,7 +359,7 @@ def word_packets(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.R
 EMPTY = pa.table({x: [] for x in ("step", "kind", "part", "a", "b", "c")})
 
 
-def block_round(step: int, depth: int, parts: int, figures: dict[str, int]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def block_round(step: int, depth: int, parts: int, divergence: float, figures: dict[str, int]) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """What a block does with the answers to all rounds before ``step``: ask the next questions, or score."""
 
     def work(rows: pa.Table, returned: pa.Table) -> pa.Table:
@@ -314,79 +368,80 @@ def block_round(step: int, depth: int, parts: int, figures: dict[str, int]) -> C
         for length in range(1, min(step, depth) + 1):
             block.lengthen()
             if length < step:
-                block.know_grams(length)
+                block.know_grams(length, length < depth)
         if step > depth + 1:
             return block.scores(depth)
         packets = block.grams() if step <= depth else []
-        packets += block.divergences(step - 1) if step > 1 else []
+        packets += block.divergences(step - 1, divergence) if step > 1 else []
         return sent_table(rows.column("block")[0].as_py(), packets)
 
     return work
 
 
-def part_round(step: int, parts: int, least_count: int, divergence: float) -> Callable[[pa.Table], pa.Table]:
-    """A part adds up what the blocks sent for its keys, and answers each packet in the order of its keys."""
+def part_round(step: int, depth: int, parts: int, least_count: int) -> Callable[[pa.Table], pa.Table]:
+    """A part adds up what the blocks sent for its keys, and answers each packet in the order of its keys.
+
+    Words and contexts with next symbol are answered with what other blocks add to the count (a), the numbers of the
+    frequent ones (b), and whether the block is the first that holds the key (c); contexts with the number of their
+    followers, 0 where they are no states (a).
+    """
 
-    def added(keys: list[np.ndarray], *values: list[np.ndarray]) -> tuple:
-        distinct, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        sums = []
-        for own in values:
-            total = np.zeros(len(distinct), np.int64)
-            np.add.at(total, inverse, np.concatenate(own))
-            sums.append(total)
-        return distinct, first, inverse, sums
+    def summed(values: list[np.ndarray], inverse: np.ndarray, size: int) -> np.ndarray:
+        total = np.zeros(size, np.int64)
+        np.add.at(total, inverse, np.concatenate(values))
+        return total
+
+    def of_kind(kind: int, part: int, a: list[bytes], b: list[bytes], c: list[bytes]) -> tuple:
+        seen = rare = rare_tokens = 0
+        if kind == WORD_KEYS:
+            number: dict[bytes, int] = defaultdict()
+            number.default_factory = number.__len__
+            keys = [np.fromiter(map(number.__getitem__, zstandard.decompress(x).split(b" ")), np.int64) for x in a]
+        else:
+            keys = [gaps(x) for x in a]
+        own = [unpack(x) for x in b]
+        every, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        ends = np.cumsum([len(x) for x in keys])[:-1]
+        if kind == CONTEXT_KEYS:
+            excess = summed([unsigned(x) for x in own], inverse, len(every))
+            followers = summed([unpack(x) for x in c], inverse, len(every))
+            state = np.where(excess + UNIT // 2 >= 0, followers, 0)
+            return [pack(x) for x in np.split(state[inverse], ends)], None, None, (0, 0, 0)
+        totals = summed(own, inverse, len(every))
+        frequent = totals >= least_count
+        if kind == WORD_KEYS:
+            word = np.array([bool(x) for x in number])
+            seen, rare = int((totals > 0).sum()), int((word & ~frequent & (totals > 0)).sum())
+            rare_tokens = int(totals[word & ~frequent].sum())
+            frequent &= word
+        else:
+            frequent &= (every & 0xFFFFFFFF) >= WORDS
+        if frequent.sum() * parts + WORDS >= 1 << 31:
+            raise OverflowError("more contexts than 31 bits can number")
+        number_of = np.where(frequent, np.cumsum(frequent) - 1, -1)[inverse]
+        owner = np.zeros(len(inverse), np.int64)
+        owner[first] = totals > 0
+        added = [pack(x) for x in np.split(totals[inverse] - np.concatenate(own), ends)]
+        numbers = None
+        if kind == WORD_KEYS or step < depth:
+            numbers = [pack(x[x >= 0]) for x in np.split(number_of, ends)]
+            if kind == GRAM_KEYS:
+                numbers = [ascending(x[x >= 0]) for x in np.split(number_of, ends)]
+        owners = [pack(x) for x in np.split(owner, ends)] if kind == GRAM_KEYS else None
+        return added, numbers, owners, (seen, rare, rare_tokens)
 
     def work(sent: pa.Table) -> pa.Table:
         part = sent.column("part")[0].as_py()
         rows = []
         for kind in (WORD_KEYS, GRAM_KEYS, CONTEXT_KEYS):
-            own = sent.filter(pa.compute.equal(sent.column("kind"), kind)).sort_by("block")
+            own = sent.filter(pc.equal(sent.column("kind"), kind)).sort_by("block")
             if not own.num_rows:
                 continue
-            block, a, b, c, d = (own.column(x).to_pylist() for x in ("block", *"abcd"))
-            seen = rare = rare_tokens = 0
-            if kind == WORD_KEYS:
-                number: dict[bytes, int] = defaultdict()
-                number.default_factory = number.__len__
-                keys = [
-                    np.fromiter(map(number.__getitem__, zstandard.decompress(x).split(b" ")), np.int64) for x in a
-                ]
-            else:
-                keys = [np.cumsum(unpack(x)) for x in a]
-            distinct, first, inverse, (totals, *more) = added(
-                keys,
-                [unsigned(unpack(x)) if kind == CONTEXT_KEYS else unpack(x) for x in b],
-                *([[unpack(x) for x in c]] if kind == CONTEXT_KEYS else []),
-            )
-            if kind == CONTEXT_KEYS:
-                followers = more[0]
-                occurs = np.concatenate([unpack(x) for x in d])[first]
-                excess = totals / UNIT - (followers - 1) / 2 - divergence * occurs
-                answers = [np.where(excess >= 0, followers, 0)[inverse]]
-            else:
-                frequent = totals >= least_count
-                if kind == WORD_KEYS:
-                    word = np.array([bool(x) for x in number])
-                    seen = int((totals > 0).sum())
-                    rare = int((word & ~frequent & (totals > 0)).sum())
-                    rare_tokens = int(totals[word & ~frequent].sum())
-                    frequent &= word
-                    offset = WORDS + 1
-                else:
-                    frequent &= (distinct & 0xFFFFFFFF) >= WORDS
-                    offset = 1
-                fresh = np.where(frequent, (np.cumsum(frequent) - 1) * parts + part + offset, 0)
-                if fresh.max(initial=0) >= 1 << 31:
-                    raise OverflowError("more contexts than 31 bits can number")
-                owner = np.zeros(len(inverse), np.int64)
-                owner[first] = totals > 0
-                answers = [totals[inverse], fresh[inverse]] + ([owner] if kind == GRAM_KEYS else [])
-            ends = np.cumsum([len(x) for x in keys])[:-1]
-            cut = [[pack(x) for x in np.split(values, ends)] for values in answers]
-            cut += [[None] * len(block)] * (3 - len(cut))
-            for i, values in enumerate(zip(block, *cut, strict=True)):
-                figures = (seen, rare, rare_tokens) if i == 0 else (0, 0, 0)
-                rows.append((values[0], step, kind, part, *values[1:], *figures))
+            block, *packed = (own.column(x).to_pylist() for x in ("block", *"abc"))
+            *answers, figures = of_kind(kind, part, *packed)
+            answers = [x or [None] * len(block) for x in answers]
+            for i, values in enumerate(zip(block, *answers, strict=True)):
+                rows.append((values[0], step, kind, part, *values[1:], *(figures if i == 0 else (0, 0, 0))))
         types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 3, *[pa.int64()] * 3]
         names = [x.split()[0] for x in RETURNED.split(", ")]
         return pa.table([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
@@ -423,19 +478,25 @@ def scored(
         ]
     )
     arrow = spark.createDataFrame([], shape).toArrow().schema
-    table = f"clientele_{uuid.uuid4().hex}"
-    cut = rows.mapInArrow(lambda batches: blocks(batches, arrow, block_tokens), shape)
-    writer = cut.write.bucketBy(min(parts, MOST_BUCKETS), "block").option("path", f"{scratch.folder}/blocks")
-    writer.saveAsTable(table)
-    texts = spark.table(table)
+    run, buckets = f"clientele_{uuid.uuid4().hex}", min(parts, MOST_BUCKETS)
+
+    def bucketed(frame: DataFrame, name: str) -> DataFrame:
+        """The rows added to a table of this run."""
+        writer = frame.write.mode("append").bucketBy(buckets, "block").option("path", f"{scratch.folder}/{name}")
+        writer.saveAsTable(f"{run}_{name}")
+        return spark.table(f"{run}_{name}")
+
+    texts = bucketed(rows.mapInArrow(lambda batches: blocks(batches, arrow, block_tokens), shape), "blocks")
 
     def answered(sent: DataFrame, step: int) -> DataFrame:
-        return scratch.save(sent.groupBy("part").applyInArrow(part_round(step, parts, least_count, divergence), RETURNED))
+        """All answers so far."""
+        answers = sent.groupBy("part").applyInArrow(part_round(step, depth, parts, least_count), RETURNED)
+        return bucketed(answers.repartition(buckets, "block"), "answers")
 
     first = texts.mapInArrow(lambda batches: word_packets(batches, parts), SENT)
-    returned = [answered(first, 0)]
+    known = answered(first, 0)
     own = texts.agg(F.sum("own").alias("tokens"), F.sum("docs").alias("docs")).first()
-    told = returned[0].agg(*[F.sum(x).alias(x) for x in ("seen", "rare", "rare_tokens")]).first()
+    told = known.agg(*[F.sum(x).alias(x) for x in ("seen", "rare", "rare_tokens")]).first()
     figures = {k: v or 0 for k, v in {**own.asDict(), **told.asDict()}.items()} | {"least_count": least_count}
     result = StructType(
         [
@@ -446,16 +507,13 @@ def scored(
         ]
     )
     for step in range(1, depth + 3):
-        known = returned[0]
-        for more in returned[1:]:
-            known = known.union(more)
         pairs = texts.groupBy("block").cogroup(known.groupBy("block"))
-        work = block_round(step, depth, parts, figures)
+        work = block_round(step, depth, parts, divergence, figures)
         if step <= depth + 1:
-            returned.append(answered(pairs.applyInArrow(work, SENT), step))
+            known = answered(pairs.applyInArrow(work, SENT), step)
         else:
             found = scratch.save(pairs.applyInArrow(work, result))
-    for each in returned:
-        scratch.drop(each)
-    spark.sql(f"DROP TABLE {table}")
+    for name in ("blocks", "answers"):
+        spark.sql(f"DROP TABLE {run}_{name}")
+        scratch.remove(f"{scratch.folder}/{name}")
     return found.withColumnRenamed("id", id_column)

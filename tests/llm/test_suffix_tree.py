@@ -64,8 +64,8 @@ def plain_scores(rows, depth, least, divergence):
         n, shorter = sum(after.values()), following[context[1:]]
         if context and n >= least:
             total = sum(shorter.values())
-            gain = sum(k * math.log(k * total / (n * shorter[x])) for x, k in after.items())
-            if gain - (len(after) - 1) / 2 >= divergence * n:
+            gain = sum(k * round(1024 * math.log(k * total / (n * shorter[x]))) for x, k in after.items())
+            if gain - 512 * (len(after) - 1) >= round(divergence * 1024) * n:
                 states[context] = (n, len(after), after)
     found = []
     for key, tokens in texts:
