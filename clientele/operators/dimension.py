@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clientele import schemas
 from clientele.functions import fixed_values as fv
-from clientele.functions.keys import LANES, next_key, with_sequence
+from clientele.functions.keys import next_key, single, with_sequence
 from clientele.functions.predicates import differs
 
 # Only these columns open a new version; a new phone or region alone does not.
@@ -40,8 +40,8 @@ def current_dimension(dimension: DataFrame) -> DataFrame:
 
 
 def incoming(staged: DataFrame) -> DataFrame:
-    """Staged rows in the shape of the dimension."""
-    named = staged.withColumn("full_name", full_name(F.col("first_name"), F.col("last_name")))
+    """Staged rows in the shape of the dimension; the job fails on a customer that is null or staged twice."""
+    named = single(staged, ["customer_id"], "staged profiles").withColumn("full_name", full_name(F.col("first_name"), F.col("last_name")))
     return named.select("customer_id", *CARRIED)
 
 
@@ -73,12 +73,13 @@ def close(rows: DataFrame, run_date: dt.date) -> DataFrame:
 
 
 def scd2_inserted(
-    dimension: DataFrame, staged: DataFrame, run_date: dt.date, lane: Column | None = None, lanes: int = LANES
+    dimension: DataFrame, staged: DataFrame, run_date: dt.date, start: Column | int | None = None
 ) -> DataFrame:
     """New current rows: for customers without a current row, and for those whose row has just been closed.
 
     A current row carries the newest version number of its customer. History is looked up for staged customers only, and
-    counts for those without a current row; the rest of it is not shuffled.
+    counts for those without a current row; the rest of it is not shuffled. Surrogate keys follow the order of customers
+    from ``start`` on, by default the first that the dimension has free.
     """
     standing = current_dimension(dimension).select("customer_id", *TRACKED, "version_num", F.lit(True).alias("stands"))
     past = dimension.filter(~F.col("is_current").eqNullSafe(F.lit("Y"))).select("customer_id", "version_num")
@@ -93,9 +94,8 @@ def scd2_inserted(
         .join(versions, "customer_id", "left")
         .withColumn("last_version", F.coalesce("version_num", "past_version"))
     )
-    numbered = with_sequence(
-        opened, "dim_crm_customer_key", next_key(dimension, "dim_crm_customer_key"), ["customer_id"], lane, lanes
-    )
+    first = next_key(dimension, "dim_crm_customer_key") if start is None else start
+    numbered = with_sequence(opened, "dim_crm_customer_key", first, ["customer_id"], F.col("customer_id"))
     return numbered.select(
         "dim_crm_customer_key",
         "customer_id",
@@ -110,7 +110,7 @@ def scd2_inserted(
 
 
 def scd2_step(
-    dimension: DataFrame, staged: DataFrame, run_date: dt.date, lane: Column | None = None, lanes: int = LANES
+    dimension: DataFrame, staged: DataFrame, run_date: dt.date, start: Column | int | None = None
 ) -> DataFrame:
     """The rows a run writes: every row that was current before, kept or closed, and the newly opened ones.
 
@@ -132,16 +132,16 @@ def scd2_step(
             "updated_date": F.when(F.col("replaced"), F.lit(run_date)).otherwise(F.col("updated_date")),
         }
     )
-    inserted = scd2_inserted(dimension, staged, run_date, lane, lanes)
+    inserted = scd2_inserted(dimension, staged, run_date, start)
     return after.select(*columns).unionByName(inserted.select(*columns))
 
 
 def scd2_merge(
-    dimension: DataFrame, staged: DataFrame, run_date: dt.date, lane: Column | None = None, lanes: int = LANES
+    dimension: DataFrame, staged: DataFrame, run_date: dt.date, start: Column | int | None = None
 ) -> DataFrame:
     """The whole dimension after the run. ``staged`` must hold each customer once."""
     history = dimension.filter(~F.col("is_current").eqNullSafe(F.lit("Y")))
-    step = scd2_step(dimension, staged, run_date, lane, lanes)
+    step = scd2_step(dimension, staged, run_date, start)
     return history.select(*schemas.DIM_CUSTOMER_CRM.names).unionByName(step)
 
 

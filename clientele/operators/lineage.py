@@ -1,7 +1,7 @@
 """Lineage tables: object dependencies, grant links, chains, and the snapshot document.
 
 A snapshot of a large catalog does not fit one document, so every part stays a table, and the document is written as
-lines: one header, one line per chain, link, dependency list and log entry, and one summary.
+lines: one header, one line per chain and table, link, dependency and log entry, and one summary.
 """
 
 from __future__ import annotations
@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from clientele.functions import fixed_values as fv
 from clientele.functions.joins import lookup_join
 
-PAGE_SIZE = 1000
-
 
 def dependency_map(edges: DataFrame) -> DataFrame:
     """Each object with each table it refers to, and how many catalog rows say so."""
@@ -27,29 +25,13 @@ def dependency_map(edges: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("edge_count"))
 
 
-def page_of(ref: Column, pages: Column) -> Column:
-    """A page number that depends only on the reference and the number of pages."""
-    number = F.conv(F.substring(F.md5(ref), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(number, pages).cast("int")
-
-
-def dependency_lists(mapped: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """The references of each object as sorted lists.
+def dependency_lists(mapped: DataFrame) -> DataFrame:
+    """Each table that an object refers to, as a row of its own, with the number of tables that the object has.
 
-    An object with up to ``page_size`` references has one list. A larger one is split over as many pages as it
-    needs, so that no list and no task grows with the busiest object.
+    The lists stay flat at every size: neither a row nor a task grows with the busiest object.
     """
-    sizes = mapped.groupBy("object_name").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(page_size)).cast("bigint").alias("pages")
-    )
-    return (
-        lookup_join(mapped, sizes, "object_name", "inner", spread_by="table_ref")
-        .groupBy("object_name", page_of(F.col("table_ref"), F.col("pages")).alias("page"))
-        .agg(
-            F.sort_array(F.collect_list("table_ref")).alias("table_refs"),
-            F.sum("edge_count").alias("edge_count"),
-        )
-    )
+    sizes = mapped.groupBy("object_name").agg(F.count(F.lit(1)).alias("table_count"))
+    return lookup_join(mapped, sizes, "object_name", "inner", spread_by="table_ref")
 
 
 def repository_of(schema: Column, repositories: Mapping[str, str]) -> Column:
@@ -73,25 +55,17 @@ def grant_links(grants: DataFrame, repositories: Mapping[str, str]) -> DataFrame
     )
 
 
-def chain_refs(chains: DataFrame, lists: DataFrame) -> DataFrame:
-    """Chains with the tables their package refers to.
+def chain_refs(chains: DataFrame, mapped: DataFrame) -> DataFrame:
+    """Chains with the tables their package refers to, a row for each.
 
-    The package is known by the first two parts of its name. A chain whose package has no known references gets an
-    empty list, one without a package gets none at all; a package with several list pages gives a row for each.
+    The package is known by the first two parts of its name. ``has_table_refs`` says whether it has references: a chain
+    without any has one row and no table, and one without a package a null there as well.
     """
     package = F.substring_index("plsql_package", ".", 2)
-    known = lists.select(F.col("object_name").alias("package"), "page", "table_refs")
+    known = mapped.select(F.col("object_name").alias("package"), F.col("table_ref").alias("plsql_table_ref"))
     with_package = F.col("plsql_package").isNotNull() & (F.col("plsql_package") != "")
-    return (
-        chains.withColumn("package", package)
-        .join(known, "package", "left")
-        .withColumn("page", F.coalesce("page", F.lit(0)))
-        .withColumn(
-            "plsql_table_refs",
-            F.when(with_package, F.coalesce("table_refs", F.array().cast("array<string>"))),
-        )
-        .drop("package", "table_refs")
-    )
+    found = chains.withColumn("package", package).join(known, "package", "left").drop("package")
+    return found.withColumn("has_table_refs", F.when(with_package, F.col("plsql_table_ref").isNotNull()))
 
 
 def as_lines(section: str, rows: DataFrame) -> DataFrame:
@@ -109,10 +83,8 @@ def lineage_snapshot(
     log: DataFrame,
     schemas: Sequence[str] = fv.TRACED_SCHEMAS,
     repositories: Mapping[str, str] | None = None,
-    page_size: int = PAGE_SIZE,
 ) -> DataFrame:
     """The snapshot as JSON lines by section: header, chains, links, dependency lists, log, summary."""
-    lists = dependency_lists(mapped, page_size)
     spark = chains.sparkSession
     header = spark.range(1).select(
         F.lit(str(run_date)).alias("run_date"),
@@ -128,9 +100,9 @@ def lineage_snapshot(
         F.array(*[F.lit(r) for r in (repositories or {}).values()]).cast("array<string>").alias("repos_involved"),
     )
     sections = (
-        ("lineage_chains", chain_refs(chains, lists)),
+        ("lineage_chains", chain_refs(chains, mapped)),
         ("cross_repo_links", links),
-        ("dependency_map", lists.drop("edge_count")),
+        ("dependency_map", mapped.drop("edge_count")),
         ("etl_execution_log", log),
         ("summary", summary),
     )

@@ -27,7 +27,7 @@ def run_enrichment(store: Store, p: RunParams, status: str | None = None, model:
     try:
         path = store.path("fact_customer_scores")
         start = first_free(store.read("fact_customer_scores"), "score_key")
-        rows = scoring.graph_facts(scored, store.dimension(), p.run_date, model, p.batch_number)
+        rows = scoring.graph_facts(scored, store.standing("dim_customer_crm"), p.run_date, model, p.batch_number)
         write_scores(store, rows, p.run_date, p.segment, model, start, path)
         totals = facts.segment_rollup(scored, p.run_date)
         place = {"summary_date": p.run_date}

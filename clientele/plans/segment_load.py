@@ -6,19 +6,20 @@ import datetime as dt
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clientele import schemas
 from clientele.functions import fixed_values as fv
-from clientele.functions.keys import require_unique, with_sequence
+from clientele.functions.keys import with_sequence
 from clientele.operators import audit, dimension, extract, facts, scoring
+from clientele.operators.audit import AUDIT_KEY
 from clientele.params import RunParams
 from clientele.sinks.files import append, replace_partition
 from clientele.sinks.merge import replace_slice, upsert
-from clientele.sinks.versions import write_version
+from clientele.sinks.versions import newest, read_newest, retried, touched_buckets, write_version
 from clientele.sources import config, tables
-from clientele.sources.store import Store
+from clientele.sources.store import Store, not_current
 
 log = logging.getLogger(__name__)
 
@@ -34,8 +35,15 @@ def log_status(store: Store, p: RunParams, status: str, rows: int, at: dt.dateti
     message = store.spark.createDataFrame(
         [(p.workflow, p.job, p.run_date, status, rows, at)], schemas.AUDIT_MESSAGES
     )
-    path = store.path("etl_job_audit")
-    write_version(store.spark, audit.audit_upsert(store.read("etl_job_audit"), message), path)
+    name = "etl_job_audit"
+
+    def change() -> None:
+        version = store.version(name)
+        touched = touched_buckets(message, AUDIT_KEY, version)
+        changed = audit.audit_upsert(store.standing(name, version, touched), message)
+        store.write_buckets(name, changed, version, touched)
+
+    retried(change)
 
 
 def stage(store: Store, p: RunParams) -> None:
@@ -48,11 +56,10 @@ def stage(store: Store, p: RunParams) -> None:
         p.region,
         p.batch,
     )
-    day = store.profiles(p.run_date)
     pending = F.col("etl_status") == fv.PENDING
     if p.segment != "ALL":
         pending = pending & (F.col("customer_segment") == p.segment)
-    write_version(store.spark, replace_slice(day, fresh, pending), store.profiles_path(p.run_date))
+    change_profiles(store, p, lambda day: replace_slice(day, fresh, pending))
 
     staged = store.profiles(p.run_date)
     events = extract.extract_events(
@@ -63,32 +70,74 @@ def stage(store: Store, p: RunParams) -> None:
     replace_partition(interactions, store.path("stg_customer_interactions"), {"load_date": p.run_date})
 
 
+def change_profiles(store: Store, p: RunParams, change: Callable[[DataFrame], DataFrame]) -> None:
+    """Write the staged profiles of the day as ``change`` makes them from the newest version."""
+    path = store.profiles_path(p.run_date)
+
+    def write() -> None:
+        version = newest(store.spark, path)
+        write_version(store.spark, change(store.profiles(p.run_date, version)), path, based_on=version)
+
+    retried(write)
+
+
+def change_summary(store: Store, change: Callable[[DataFrame], DataFrame]) -> None:
+    path = store.path("fact_customer_segment_summary")
+
+    def write() -> None:
+        version = newest(store.spark, path)
+        table = read_newest(store.spark, path, schemas.FACT_CUSTOMER_SEGMENT_SUMMARY, version)
+        write_version(store.spark, change(table), path, based_on=version)
+
+    retried(write)
+
+
 def load_dimension(store: Store, p: RunParams) -> int:
     """Merge the pending rows into the dimension and mark them loaded; the number of rows opened and closed."""
     scope = tables.staged_profiles(store.profiles(p.run_date), p.run_date, p.segment, p.region)
-    require_unique(scope, ["customer_id"], "staged profiles")
-    before = store.dimension()
-    current_before = dimension.current_dimension(before).count()
-    path = store.path("dim_customer_crm")
-    version = write_version(
-        store.spark, dimension.scd2_step(before, scope, p.run_date), path, partition_by=["is_current"]
-    )
-    written = store.spark.read.schema(schemas.DIM_CUSTOMER_CRM).parquet(f"{path}/data/version={version}")
-    closed = written.filter(F.col("is_current") == "N").count()
-    opened = written.filter(F.col("is_current") == "Y").count() - (current_before - closed)
+    rows = retried(lambda: merge_dimension(store, scope, p.run_date))
     mark_loaded(store, p)
-    return opened + closed
+    return rows
+
+
+def merge_dimension(store: Store, scope: DataFrame, run_date: dt.date) -> int:
+    """Merge staged rows into the buckets of the dimension that hold their customers; the number of rows opened and closed.
+
+    Neither current rows nor history of other buckets are read. The first free key is kept with the version, and rows are
+    counted while they are written.
+    """
+    name, key = "dim_customer_crm", "dim_crm_customer_key"
+    version = store.version(name)
+    start = version.next_key
+    if start is None:
+        start = first_free(store.dimension(version), key)
+    touched = touched_buckets(scope, ["customer_id"], version)
+    if not touched:
+        return 0
+    step = dimension.scd2_step(store.dimension(version, touched), scope, run_date, start)
+    counts = Observation()
+    observed = step.observe(
+        counts,
+        F.count(F.when(F.col(key) >= start, 1)).alias("opened"),
+        F.count(F.when(not_current(), 1)).alias("closed"),
+    )
+    store.write_buckets(
+        name, observed, version, touched, closed=not_current(), next_key=lambda: start + counts.get["opened"]
+    )
+    return counts.get["opened"] + counts.get["closed"]
 
 
 def mark_loaded(store: Store, p: RunParams) -> None:
     """Turn the pending rows of the run to loaded; a customer loaded before on the day keeps the newer row only."""
-    day = store.profiles(p.run_date)
-    arriving = tables.staged_profiles(day, p.run_date, p.segment, p.region).select(
-        "customer_id", F.lit(fv.LOADED).alias("etl_status")
-    )
-    superseded = day.join(arriving, ["customer_id", "etl_status"], "left_anti").select(*day.columns)
-    after = dimension.mark_loaded(superseded, p.run_date, p.segment, p.region)
-    write_version(store.spark, after, store.profiles_path(p.run_date))
+
+    def marked(day: DataFrame) -> DataFrame:
+        arriving = tables.staged_profiles(day, p.run_date, p.segment, p.region).select(
+            "customer_id", F.lit(fv.LOADED).alias("etl_status")
+        )
+        superseded = day.join(arriving, ["customer_id", "etl_status"], "left_anti").select(*day.columns)
+        return dimension.mark_loaded(superseded, p.run_date, p.segment, p.region)
+
+    change_profiles(store, p, marked)
 
 
 def staged_since(store: Store, name: str, run_date: dt.date, days: int) -> DataFrame:
@@ -100,7 +149,7 @@ def score_inputs(
     store: Store, p: RunParams, camp_days: int = fv.EVENT_DAYS, inter_days: int = fv.INTERACTION_DAYS
 ) -> tuple[DataFrame, ...]:
     return (
-        store.dimension(),
+        store.standing("dim_customer_crm"),
         store.read("stg_customer_sales"),
         staged_since(store, "stg_campaign_events", p.run_date, camp_days),
         staged_since(store, "stg_customer_interactions", p.run_date, inter_days),
@@ -158,10 +207,9 @@ def scores_of(store: Store, model: str) -> DataFrame:
 
 def load_summary(store: Store, p: RunParams) -> None:
     """Replace the summary of the date and region."""
-    table = store.read("fact_customer_segment_summary")
     figures = facts.segment_summary(
         scores_of(store, p.model_version),
-        store.dimension(),
+        store.standing("dim_customer_crm"),
         store.read("fact_regional_summary"),
         p.run_date,
         p.region,
@@ -170,9 +218,11 @@ def load_summary(store: Store, p: RunParams) -> None:
     replaced = F.col("summary_date") == F.lit(p.run_date)
     if p.region != "ALL":
         replaced = replaced & (F.col("region_code") == p.region)
-    rows = summary_rows(figures, first_free(table, "segment_summary_key"), p.run_date)
-    path = store.path("fact_customer_segment_summary")
-    write_version(store.spark, replace_slice(table, rows, replaced), path)
+
+    def change(table: DataFrame) -> DataFrame:
+        return replace_slice(table, summary_rows(figures, first_free(table, "segment_summary_key"), p.run_date), replaced)
+
+    change_summary(store, change)
 
 
 def add_configured_scores(store: Store, p: RunParams) -> None:
@@ -200,23 +250,25 @@ def add_configured_scores(store: Store, p: RunParams) -> None:
 
 def merge_summary(store: Store, p: RunParams) -> None:
     """Update or add the summary rows of the configured model."""
-    table = store.read("fact_customer_segment_summary")
     figures = facts.segment_summary_named(
         scores_of(store, p.config_model_version),
-        store.dimension(),
+        store.standing("dim_customer_crm"),
         store.read("fact_regional_summary"),
         p.run_date,
         p.segment,
         p.region,
         p.spend_rule,
     )
-    rows = summary_rows(figures, first_free(table, "segment_summary_key"), p.run_date)
-    merged = upsert(table, rows, facts.SUMMARY_KEYS, update=[*facts.SUMMARY_FIGURES, "load_date"])
-    write_version(store.spark, merged, store.path("fact_customer_segment_summary"))
+
+    def change(table: DataFrame) -> DataFrame:
+        rows = summary_rows(figures, first_free(table, "segment_summary_key"), p.run_date)
+        return upsert(table, rows, facts.SUMMARY_KEYS, update=[*facts.SUMMARY_FIGURES, "load_date"])
+
+    change_summary(store, change)
 
 
 def run_segment_load(store: Store, p: RunParams, clock: Callable[[], dt.datetime]) -> dict[str, int | str]:
-    """One load from source tables to facts. One load at a time.
+    """One load from source tables to facts. Loads of different segments may run side by side.
 
     Without a batch size a repeated run leaves the same content; with one, it adds the next batch of configured scores.
     A step that fails leaves FAILED in the audit and raises; configured scores that fail leave a warning only.

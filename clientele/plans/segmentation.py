@@ -15,7 +15,7 @@ from clientele.sources.store import Store
 def run_segmentation(store: Store, run_date: dt.date, model_version: str | None = None) -> None:
     """Write the three tables made from segmented customers; micro-segments and snapshot keep one slice per run."""
     scores = tables.current_scores(
-        store.read("fact_customer_scores"), store.dimension(), run_date, model_version
+        store.read("fact_customer_scores"), store.standing("dim_customer_crm"), run_date, model_version
     )
     retail = tables.retail_spend(store.read("stg_customer_sales"))
     segmented = segments.segmented_customers(scores, retail).persist(StorageLevel.MEMORY_AND_DISK)

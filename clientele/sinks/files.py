@@ -9,6 +9,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clientele.sinks.folders import replace_folder
+
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
@@ -32,7 +34,7 @@ def replace_partition(
 
     ``slice_values`` are the leading partition columns with their values, in order; ``partition_by`` the partition
     columns below them. Other partitions are not read or written, and a second run gives the same files' content. A row
-    that belongs to another slice fails the job. The old content goes before the new one is written.
+    that belongs to another slice fails the job; a job that fails, then or later, leaves the old content.
     """
     folder = partition_folder(path, slice_values)
     same = F.lit(True)
@@ -42,7 +44,8 @@ def replace_partition(
     checked = df.withColumn("_checked", F.assert_true(same, F.lit(f"a row does not belong to {dict(slice_values)}")))
     # The check's null result is used, so that it stays in the plan.
     df = checked.where(F.col("_checked").isNull()).drop("_checked")
-    df.drop(*slice_values).write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
+    writer = df.drop(*slice_values).write.partitionBy(*partition_by)
+    replace_folder(df.sparkSession, path, folder, writer.parquet)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **options: str) -> None:
@@ -58,8 +61,8 @@ def write_at_risk(df: DataFrame, path: str, run_date: dt.date, segment: str = "A
     place, below = {"run_date": run_date}, ["customer_segment"]
     if segment != "ALL":
         place, below = {**place, "customer_segment": segment}, []
-    writer = df.drop(*place).write.mode("overwrite").option("sep", "|").option("header", True)
-    writer.partitionBy(*below).csv(partition_folder(path, place))
+    writer = df.drop(*place).write.option("sep", "|").option("header", True).partitionBy(*below)
+    replace_folder(df.sparkSession, path, partition_folder(path, place), writer.csv)
 
 
 def write_count(df: DataFrame, path: str, run_date: dt.date) -> None:
@@ -71,6 +74,5 @@ def write_count(df: DataFrame, path: str, run_date: dt.date) -> None:
 def write_snapshot(lines: DataFrame, path: str, workflow: str, run_date: dt.date) -> None:
     """Snapshot lines as text, one folder per section, replacing an earlier snapshot of the run."""
     folder = f"{path.rstrip('/')}/lineage_{workflow}_{run_date:%Y%m%d}"
-    lines.select("section", F.col("document").alias("value")).write.mode("overwrite").partitionBy("section").text(
-        folder
-    )
+    writer = lines.select("section", F.col("document").alias("value")).write.partitionBy("section")
+    replace_folder(lines.sparkSession, path, folder, writer.text)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clientele.functions.keys import single
+
 
 def upsert(
     table: DataFrame,
@@ -18,14 +20,12 @@ def upsert(
     """``table`` after matched rows took the ``update`` columns of ``changes`` and unmatched rows were added.
 
     A new row takes every column of the same name from ``changes`` and null elsewhere; ``insert`` overrides single
-    columns of new rows with expressions over ``new``. A key that ``changes`` holds twice fails the job; the check shares
-    the shuffle of the join. ``changes`` must hold no null in a key.
+    columns of new rows with expressions over ``new``. A key that ``changes`` holds twice, or with a null, fails the job;
+    the check shares the shuffle of the join.
     """
     insert = insert or {}
     old = table.withColumn("__in_table", F.lit(True)).alias("old")
-    single = F.count(F.lit(1)).over(Window.partitionBy(*keys)) == 1
-    checked = F.assert_true(single, F.lit(f"a key {list(keys)} occurs more than once")).isNull()
-    new = changes.withColumn("__in_changes", F.when(checked, F.lit(True))).alias("new")
+    new = single(changes, keys, f"changes by {list(keys)}").withColumn("__in_changes", F.lit(True)).alias("new")
     same = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
     held, arrives = F.col("old.__in_table").isNotNull(), F.col("new.__in_changes").isNotNull()
 

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clientele import schemas
-from clientele.sinks.versions import read_history, read_newest
+from clientele.operators.audit import AUDIT_KEY
+from clientele.sinks import versions
+from clientele.sinks.versions import Version, read_newest
 from clientele.sources.tables import read_if_present
 
 # Source and shared tables, written by others.
@@ -34,7 +39,11 @@ PARTITIONED = {
 # Tables rewritten from their own content.
 VERSIONED = {
     "fact_customer_segment_summary": schemas.FACT_CUSTOMER_SEGMENT_SUMMARY,
-    "etl_job_audit": schemas.ETL_JOB_AUDIT,
+}
+# Tables of which a load rewrites the buckets that it touches.
+BUCKETED = {
+    "etl_job_audit": (schemas.ETL_JOB_AUDIT, AUDIT_KEY),
+    "dim_customer_crm": (schemas.DIM_CUSTOMER_CRM, ["customer_id"]),
 }
 
 
@@ -48,7 +57,20 @@ class Store:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def version(self, name: str) -> Version:
+        return versions.newest(self.spark, self.path(name))
+
+    def standing(self, name: str, version: Version | None = None, only: Sequence[int] | None = None) -> DataFrame:
+        """The rows of a bucketed table that are not closed, of all its buckets or of some."""
+        version = version or self.version(name)
+        return versions.read_standing(self.spark, self.path(name), BUCKETED[name][0], version, only)
+
+    def write_buckets(self, name: str, rows: DataFrame, based_on: Version, *more, **options) -> Version:
+        return versions.write_buckets(self.spark, rows, self.path(name), BUCKETED[name][1], based_on, *more, **options)
+
     def read(self, name: str) -> DataFrame:
+        if name in BUCKETED:
+            return self.standing(name)
         if name in VERSIONED:
             return read_newest(self.spark, self.path(name), VERSIONED[name])
         return read_if_present(self.spark, self.path(name), {**INPUTS, **PARTITIONED}[name])
@@ -57,8 +79,16 @@ class Store:
         """Staged profiles are kept per load date, so that no run touches another day."""
         return f"{self.path('stg_customer_profile')}/{run_date}"
 
-    def profiles(self, run_date) -> DataFrame:
-        return read_newest(self.spark, self.profiles_path(run_date), schemas.STG_CUSTOMER_PROFILE)
+    def profiles(self, run_date, version: Version | None = None) -> DataFrame:
+        return read_newest(self.spark, self.profiles_path(run_date), schemas.STG_CUSTOMER_PROFILE, version)
+
+    def dimension(self, version: Version | None = None, only: Sequence[int] | None = None) -> DataFrame:
+        """Current and closed rows, of all customers or of those in some buckets."""
+        name = "dim_customer_crm"
+        version = version or self.version(name)
+        closed = versions.read_closed(self.spark, self.path(name), BUCKETED[name][0], version, only)
+        return self.standing(name, version, only).unionByName(closed)
+
 
-    def dimension(self) -> DataFrame:
-        return read_history(self.spark, self.path("dim_customer_crm"), schemas.DIM_CUSTOMER_CRM)
+def not_current() -> Column:
+    return ~F.col("is_current").eqNullSafe(F.lit("Y"))

@@ -239,9 +239,10 @@ def test_lineage(spark):
     )
     mapped = lineage.dependency_map(catalog.dependencies(edges))
     lists = lineage.dependency_lists(mapped)
-    assert by_key(lists, "object_name", "page", "table_refs") == {
-        "CRM_SCHEMA.P": (0, ["DW_OWNER.T1", "DW_OWNER.T2"])
-    }
+    assert rows(lists, "object_name", "table_ref", "edge_count", "table_count") == [
+        ("CRM_SCHEMA.P", "DW_OWNER.T1", 1, 2),
+        ("CRM_SCHEMA.P", "DW_OWNER.T2", 1, 2),
+    ]
     assert lineage.dependency_map(catalog.dependencies(edges, full_catalog=False)).count() == 4
     chains = frame(
         spark,
@@ -250,11 +251,12 @@ def test_lineage(spark):
         {"chain_id": "2", "plsql_package": "CRM_SCHEMA.NONE.LOAD"},
         {"chain_id": "3"},
     )
-    assert by_key(lineage.chain_refs(chains, lists), "chain_id", "plsql_table_refs") == {
-        "1": ["DW_OWNER.T1", "DW_OWNER.T2"],
-        "2": [],
-        "3": None,
-    }
+    assert rows(lineage.chain_refs(chains, mapped), "chain_id", "plsql_table_ref", "has_table_refs") == [
+        ("1", "DW_OWNER.T1", True),
+        ("1", "DW_OWNER.T2", True),
+        ("2", None, False),
+        ("3", None, None),
+    ]
     grants = frame(
         spark,
         schemas.GRANTS,

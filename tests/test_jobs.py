@@ -14,8 +14,8 @@ from clientele.plans import segment_load
 from clientele.plans.segment_load import run_segment_load
 from clientele.plans.segmentation import run_segmentation
 from clientele.sinks.files import replace_partition
-from clientele.sinks.versions import write_version
-from clientele.sources.store import INPUTS, Store
+from clientele.sinks import versions
+from clientele.sources.store import INPUTS, Store, not_current
 from tests.conftest import SMALL
 from tests.helpers import rows
 from verification.queries import Inputs
@@ -26,7 +26,7 @@ def fill(spark, root):
     store, given = Store(spark, str(root)), Inputs(spark, SMALL)
     for name, schema in INPUTS.items():
         getattr(given, name).select(*schema.names).write.parquet(store.path(name))
-    write_version(spark, given.dim_customer_crm, store.path("dim_customer_crm"), ["is_current"])
+    store.write_buckets("dim_customer_crm", given.dim_customer_crm, versions.Version(), closed=not_current())
     return store
 
 
@@ -207,3 +207,69 @@ def test_next_week_keeps_events_of_customers_staged_before(spark, tmp_path):
     assert kept.count() == only_before.count() > 0
     assert kept.filter("propensity_buy_score = 0").count() == 0
     assert store.dimension().filter("is_current = 'Y'").groupBy("customer_id").count().filter("count > 1").count() == 0
+
+
+def test_small_load_writes_few_buckets(spark, tmp_path):
+    """A load of a few customers writes no more buckets than customers, and reads no history of others."""
+    store = fill(spark, tmp_path)
+    name = "dim_customer_crm"
+    before, table = store.version(name), rows(store.dimension())
+    some = Inputs(spark, SMALL).staged.filter("customer_id % 25 = 3").withColumn("email", F.lit("moved@example.com"))
+    staged = spark.createDataFrame(some.limit(5).collect(), some.schema)
+    count = staged.count()
+    assert segment_load.merge_dimension(store, staged, RUN) >= count
+    after = store.version(name)
+    folder = f"{store.path(name)}/data/{next(x for x in after.standing.values() if x not in before.standing.values())}"
+    written = [x for x in versions.folders.names(spark, f"{folder}/closed_row=N") if x.startswith("key_bucket")]
+    assert 0 < len(written) <= count < len(before.standing)
+    kept = {r[1] for r in staged.select("load_date", "customer_id").collect()}
+    untouched = [r for r in table if r[1] not in kept]
+    assert set(untouched) <= set(rows(store.dimension()))
+    merged = rows(segment_load.dimension.scd2_merge(
+        spark.createDataFrame(table, store.dimension().schema), staged, RUN, before.next_key
+    ))
+    assert rows(store.dimension()) == merged
+    keys = store.dimension().agg(F.max("dim_crm_customer_key")).first()[0]
+    assert after.next_key == keys + 1
+    again = store.version(name)
+    assert segment_load.merge_dimension(store, staged, RUN) == 0
+    assert store.version(name).next_key == again.next_key
+
+
+def test_two_loads_side_by_side(spark, tmp_path, monkeypatch):
+    """A load that another one overtakes between its read and its write starts again from the other's result."""
+    store = fill(spark, tmp_path)
+    staged = Inputs(spark, SMALL).staged
+    vip, rest = staged.filter("customer_segment = 'VIP'"), staged.filter("customer_segment <> 'VIP'")
+    step, overtaken = segment_load.dimension.scd2_step, []
+
+    def overtaking(*arguments):
+        if not overtaken:
+            overtaken.append(True)
+            assert segment_load.merge_dimension(store, rest, RUN) > 0
+        return step(*arguments)
+
+    monkeypatch.setattr(segment_load.dimension, "scd2_step", overtaking)
+    assert versions.retried(lambda: segment_load.merge_dimension(store, vip, RUN)) > 0
+    monkeypatch.undo()
+    merged = Inputs(spark, SMALL).merged_dimension()
+    tracked = [c for c in merged.columns if c != "dim_crm_customer_key"]
+    assert rows(store.dimension(), *tracked) == rows(merged, *tracked)
+    keys = store.dimension().select("dim_crm_customer_key")
+    assert keys.distinct().count() == keys.count()
+    assert store.version("dim_customer_crm").number == 3
+
+
+def test_status_messages_write_one_bucket(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    clock = ticking()
+    for job in ("A", "B", "A", "C"):
+        segment_load.log_status(store, RunParams(RUN, job=job), "RUNNING", 1, clock())
+    last = store.version("etl_job_audit")
+    assert last.number == 4 and len(last.standing) <= 3
+    path = f"{store.path('etl_job_audit')}/data"
+    for folder in versions.folders.names(spark, path):
+        assert len([x for x in versions.folders.names(spark, f"{path}/{folder}/closed_row=N") if "=" in x]) == 1
+    assert rows(store.read("etl_job_audit"), "job_name", "updated_date") == [
+        ("A", dt.datetime(2024, 1, 30, 4, 2)), ("B", None), ("C", None)
+    ]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clientele import schemas
 from clientele.params import RunParams, as_date
-from clientele.sinks import files, merge, versions
+from clientele.sinks import files, folders, merge, versions
 from clientele.sources import tables
 from tests.helpers import RUN, rows
 
@@ -128,7 +128,7 @@ def test_versions(spark, tmp_path):
 def test_unfinished_version_is_not_seen_and_is_overwritten(spark, tmp_path):
     path, schema = str(tmp_path / "t"), schemas.columns("k int, v string")
     versions.write_version(spark, kv(spark, (1, "a")), path)
-    kv(spark, (99, "half")).write.parquet(f"{path}/data/version=2")
+    kv(spark, (99, "half")).write.parquet(f"{path}/data/000000000002-half")
     assert rows(versions.read_newest(spark, path, schema)) == [(1, "a")]
     versions.write_version(spark, kv(spark, (2, "b")), path)
     assert rows(versions.read_newest(spark, path, schema)) == [(2, "b")]
@@ -143,17 +143,68 @@ def test_failed_write_leaves_the_table(spark, tmp_path):
     assert rows(versions.read_newest(spark, path, schema)) == [(1, "a")]
 
 
+def test_one_of_two_writes_from_one_version_fails(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), schemas.columns("k int, v string")
+    versions.write_version(spark, kv(spark, (1, "a")), path)
+    base = versions.newest(spark, path)
+    versions.write_version(spark, kv(spark, (1, "a"), (2, "b")), path, based_on=base)
+    with pytest.raises(versions.ConflictError):
+        versions.write_version(spark, kv(spark, (1, "a"), (3, "c")), path, based_on=base)
+    assert rows(versions.read_newest(spark, path, schema)) == [(1, "a"), (2, "b")]
+    tries = []
+
+    def change():
+        version = versions.newest(spark, path)
+        table = versions.read_newest(spark, path, schema, version)
+        if not tries:
+            versions.write_version(spark, table.unionByName(kv(spark, (4, "d"))), path, based_on=version)
+        tries.append(version.number)
+        versions.write_version(spark, table.unionByName(kv(spark, (3, "c"))), path, based_on=version)
+
+    versions.retried(change)
+    assert tries == [2, 3]
+    assert rows(versions.read_newest(spark, path, schema), "k") == [(1,), (2,), (3,), (4,)]
+
+
 def test_history_is_written_once(spark, tmp_path):
     path, schema = str(tmp_path / "t"), schemas.columns("k int, is_current string")
+    closed = F.col("is_current") == "N"
+
+    def put(based_on, touched, *pairs):
+        given = spark.createDataFrame(list(pairs), schema)
+        return versions.write_buckets(spark, given, path, ["k"], based_on, touched, closed)
+
+    first = put(versions.Version(buckets=4), None, *[(k, "Y") for k in range(20)])
+    assert len(first.standing) == 4 and not first.closed
+    five = spark.createDataFrame([(5, "Y")], schema)
+    touched = versions.touched_buckets(five, ["k"], first)
+    same = [r[0] for r in versions.read_standing(spark, path, schema, first, touched).collect()]
+    second = put(first, touched, (5, "N"), *[(k, "Y") for k in same])
+    third = put(second, touched, (5, "N"), *[(k, "Y") for k in same if k != 5])
+    assert versions.newest(spark, path) == third
+    assert len(touched) == 1 and len(set(third.standing.values())) == 2
+    assert rows(versions.read_closed(spark, path, schema, third)) == [(5, "N")] * 2
+    other = [b for b in range(4) if b not in touched]
+    assert versions.read_closed(spark, path, schema, third, other).count() == 0
+    assert [r[0] for r in rows(versions.read_standing(spark, path, schema, third))] == [
+        k for k in sorted(range(20), key=lambda k: repr((k, "Y"))) if k != 5
+    ]
+    emptied = put(third, touched)
+    assert str(touched[0]) not in emptied.standing
+    assert rows(versions.read_closed(spark, path, schema, emptied)) == [(5, "N")] * 2
 
-    def put(*pairs):
-        versions.write_version(spark, spark.createDataFrame(list(pairs), schema), path, ["is_current"])
 
-    put((1, "Y"), (2, "Y"))
-    put((1, "N"), (11, "Y"), (2, "Y"))
-    put((11, "N"), (12, "Y"), (2, "Y"))
-    spark.createDataFrame([(5, "N")], schema).write.partitionBy("is_current").parquet(f"{path}/data/version=4")
-    assert rows(versions.read_history(spark, path, schema)) == [(1, "N"), (11, "N"), (12, "Y"), (2, "Y")]
+def test_old_versions_are_removed(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), schemas.columns("k int, v string")
+    for number in range(4):
+        versions.write_version(spark, kv(spark, (number, "x")), path)
+    kv(spark, (9, "x")).write.parquet(f"{path}/data/000000000002-failed")
+    kv(spark, (9, "x")).write.parquet(f"{path}/data/000000000005-running")
+    gone = versions.remove_old(spark, path, keep=2)
+    assert sorted(x[:12] for x in gone) == ["000000000001", "000000000002", "000000000002"]
+    assert rows(versions.read_newest(spark, path, schema)) == [(3, "x")]
+    assert f"{path}/data/000000000005-running".split("/")[-1] in folders.names(spark, f"{path}/data")
+    assert versions.write_version(spark, kv(spark, (7, "x")), path) == 5
 
 
 def test_file_formats(spark, tmp_path):
@@ -185,3 +236,14 @@ def test_replace_partition_refuses_rows_of_another_slice(spark, tmp_path):
     foreign = spark.createDataFrame([(3, "RETAIL")], "id int, segment string")
     with pytest.raises(Exception, match="does not belong"):
         files.replace_partition(foreign, path, {"segment": "VIP"})
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2]
+    failing = spark.range(4, numPartitions=4).selectExpr("CAST(id AS int) id", "'VIP' segment").withColumn(
+        "id", F.when(F.col("id") == 3, F.raise_error(F.lit("lost midway")).cast("int")).otherwise(F.col("id"))
+    )
+    with pytest.raises(Exception, match="lost midway"):
+        files.replace_partition(failing, path, {"segment": "VIP"})
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2]
+    assert folders.names(spark, path) == ["segment=VIP"]
+    own = spark.read.parquet(path).filter("segment = 'VIP' AND id = 2")
+    files.replace_partition(own, path, {"segment": "VIP"})
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(2, "VIP")]

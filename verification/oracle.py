@@ -247,8 +247,7 @@ TABLES: dict[str, str] = {
         SELECT * REPLACE ({RUN} - 1 AS valid_to, 'N' AS is_current, {RUN} AS updated_date) FROM to_close""",
     "inserted": f"""
         SELECT (SELECT max(dim_crm_customer_key) + 1 FROM dim)
-               + (row_number() OVER (PARTITION BY n.customer_id % 499 ORDER BY n.customer_id) - 1) * 499
-               + n.customer_id % 499 AS dim_crm_customer_key,
+               + row_number() OVER (ORDER BY n.customer_id) - 1 AS dim_crm_customer_key,
                n.customer_id, n.customer_code, n.full_name, n.email, n.phone, n.date_of_birth, n.postcode,
                n.region_code, n.customer_segment, n.acquisition_channel, n.is_opted_in_email,
                {RUN} AS valid_from, DATE '9999-12-31' AS valid_to, 'Y' AS is_current,
@@ -333,15 +332,6 @@ TABLES: dict[str, str] = {
         SELECT object_name, table_ref, count(*) AS edge_count FROM edges
         WHERE object_owner IN {THREE} AND ref_owner IN {THREE} AND object_type IN ('PACKAGE BODY', 'PROCEDURE')
         GROUP BY object_name, table_ref""",
-    "paged": """
-        SELECT object_name, table_ref, edge_count,
-               CAST(CAST('0x' || substr(md5(table_ref), 1, 8) AS BIGINT)
-                    % ((count(*) OVER (PARTITION BY object_name) + 199) // 200) AS INTEGER) AS page
-        FROM mapped""",
-    "lists": """
-        SELECT object_name, page, list(table_ref ORDER BY table_ref) AS table_refs,
-               CAST(sum(edge_count) AS BIGINT) AS edge_count
-        FROM paged GROUP BY object_name, page""",
     "grant_rows": f"""
         SELECT DISTINCT {choose("l_suppkey", OWNERS)} AS source_schema, 'TAB_' || (l_partkey % 200) AS source_table,
                {choose("l_linenumber", OWNERS)} AS target_schema, {choose("l_quantity", PRIVILEGES)} AS privilege
@@ -370,11 +360,10 @@ TABLES: dict[str, str] = {
                CASE WHEN s_suppkey % 6 = 0 THEN 'retail' END AS cross_repo_source
         FROM supplier""",
     "chain_lists": """
-        SELECT c.*, COALESCE(l.page, 0) AS page,
-               CASE WHEN c.plsql_package IS NOT NULL
-                    THEN COALESCE(l.table_refs, CAST([] AS VARCHAR[])) END AS plsql_table_refs
+        SELECT c.*, l.table_ref AS plsql_table_ref,
+               CASE WHEN c.plsql_package IS NOT NULL THEN l.table_ref IS NOT NULL END AS has_table_refs
         FROM chains c
-        LEFT JOIN lists l
+        LEFT JOIN mapped l
           ON l.object_name = split_part(c.plsql_package, '.', 1) || '.' || split_part(c.plsql_package, '.', 2)""",
 }
 
@@ -610,11 +599,10 @@ QUERIES: dict[str, str] = {
         WHERE object_owner IN {THREE} GROUP BY object_name, table_ref""",
     "dependency_map": "SELECT * FROM mapped",
     "dependency_lists": """
-        SELECT object_name, page, array_to_string(table_refs, ',') AS table_refs, edge_count FROM lists""",
+        SELECT object_name, table_ref, edge_count, count(*) OVER (PARTITION BY object_name) AS table_count FROM mapped""",
     "grant_links": "SELECT * FROM links",
     "chain_refs": """
-        SELECT * REPLACE (array_to_string(source_tables, ',') AS source_tables,
-                          array_to_string(plsql_table_refs, ',') AS plsql_table_refs) FROM chain_lists""",
+        SELECT * REPLACE (array_to_string(source_tables, ',') AS source_tables) FROM chain_lists""",
     "lineage_snapshot": f"""
         SELECT 'lineage_snapshot' AS section, CAST(json_object('run_date', '2024-01-30', 'workflow', 'WEEKLY',
                'generated_at', '2024-01-30T04:00:00', 'schema_scope',
@@ -624,14 +612,15 @@ QUERIES: dict[str, str] = {
                'uc4_job', uc4_job, 'source_tables', source_tables, 'staging_table', staging_table,
                'plsql_package', plsql_package, 'target_table', target_table, 'segment_code', segment_code,
                'ksh_script', ksh_script, 'sqlplus_script', sqlplus_script, 'abinitio_graph', abinitio_graph,
-               'spark_job', spark_job, 'cross_repo_source', cross_repo_source, 'page', page, 'plsql_table_refs', plsql_table_refs) AS VARCHAR) FROM chain_lists
+               'spark_job', spark_job, 'cross_repo_source', cross_repo_source, 'plsql_table_ref', plsql_table_ref,
+               'has_table_refs', has_table_refs) AS VARCHAR) FROM chain_lists
         UNION ALL
         SELECT 'cross_repo_links', CAST(json_object('source_repo', source_repo, 'source_schema', source_schema,
                'source_table', source_table, 'target_repo', target_repo, 'target_schema', target_schema,
                'access_type', access_type, 'link_type', link_type) AS VARCHAR) FROM links
         UNION ALL
-        SELECT 'dependency_map', CAST(json_object('object_name', object_name, 'page', page,
-               'table_refs', table_refs) AS VARCHAR) FROM lists
+        SELECT 'dependency_map', CAST(json_object('object_name', object_name, 'table_ref', table_ref) AS VARCHAR)
+        FROM mapped
         UNION ALL
         SELECT 'etl_execution_log', CAST(json_object('workflow_name', workflow_name, 'job_name', job_name,
                'run_date', strftime(run_date, '%Y-%m-%d'), 'status', status, 'rows_processed', rows_processed,

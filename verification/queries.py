@@ -69,11 +69,8 @@ class Inputs(SourceTables):
         earlier = extract.extract_interactions(self.src_interactions, self.staged_week_before(), WEEK_BEFORE)
         return earlier.unionByName(self.interactions)
 
-    def lane(self):
-        return F.col("customer_id")
-
     def merged_dimension(self) -> DataFrame:
-        return dimension.scd2_merge(self.dim_customer_crm, self.staged, RUN, self.lane())
+        return dimension.scd2_merge(self.dim_customer_crm, self.staged, RUN)
 
     def scores(self, variant: Callable[..., DataFrame], **options) -> DataFrame:
         dim = options.pop("dim", None)
@@ -176,7 +173,6 @@ def snapshot(t: Inputs) -> DataFrame:
         t.mapped(),
         catalog.execution_log(t.audit(), RUN),
         repositories=REPOSITORIES,
-        page_size=200,
     )
 
 
@@ -199,7 +195,7 @@ DEFINITIONS: dict[str, Callable[[Inputs], DataFrame]] = {
     "regional_revenue_30d": lambda t: tables.regional_revenue(t.fact_regional_summary, RUN),
     # dimension
     "scd2_closed": lambda t: dimension.scd2_closed(t.dim_customer_crm, t.staged, RUN),
-    "scd2_inserted": lambda t: dimension.scd2_inserted(t.dim_customer_crm, t.staged, RUN, t.lane()),
+    "scd2_inserted": lambda t: dimension.scd2_inserted(t.dim_customer_crm, t.staged, RUN),
     "scd2_merge": lambda t: t.merged_dimension(),
     "current_dimension": lambda t: dimension.current_dimension(t.merged_dimension()),
     "mark_loaded": lambda t: dimension.mark_loaded(t.staged, RUN, segment="RETAIL"),
@@ -255,11 +251,9 @@ DEFINITIONS: dict[str, Callable[[Inputs], DataFrame]] = {
         catalog.dependencies(t.dependency_edges, full_catalog=False)
     ),
     "dependency_map": lambda t: t.mapped(),
-    "dependency_lists": lambda t: lineage.dependency_lists(t.mapped(), page_size=200),
+    "dependency_lists": lambda t: lineage.dependency_lists(t.mapped()),
     "grant_links": lambda t: t.links(),
-    "chain_refs": lambda t: lineage.chain_refs(
-        t.lineage_chains, lineage.dependency_lists(t.mapped(), page_size=200)
-    ),
+    "chain_refs": lambda t: lineage.chain_refs(t.lineage_chains, t.mapped()),
     "lineage_snapshot": snapshot,
 }
 
