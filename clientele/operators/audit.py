@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions import fixed_values as fv
+from clientele.functions.selection import newest_rows
 from clientele.sinks.merge import upsert
 
 AUDIT_KEY = ["workflow_name", "job_name", "run_date"]
@@ -19,22 +20,21 @@ def fold_messages(messages: DataFrame) -> DataFrame:
     The first message creates the row; later ones set status, row count and update time, so a job with a single
     message has no update time.
     """
-    newest = F.max(F.struct("message_ts", "rows_processed", "status"))
-    return (
-        messages.groupBy(*AUDIT_KEY)
-        .agg(
-            newest.alias("newest"),
-            F.min("message_ts").alias("created_date"),
-            F.count(F.lit(1)).alias("message_count"),
-        )
-        .select(
-            *AUDIT_KEY,
-            "newest.status",
-            "newest.rows_processed",
-            "created_date",
-            F.when(F.col("message_count") > 1, F.col("newest.message_ts")).alias("updated_date"),
-            F.col("newest.message_ts").alias("last_message"),
-        )
+    last = newest_rows(
+        messages,
+        AUDIT_KEY,
+        F.col("message_ts"),
+        ["rows_processed", "status"],
+        created_date=F.min("message_ts"),
+        message_count=F.count(F.lit(1)),
+    )
+    return last.select(
+        *AUDIT_KEY,
+        "status",
+        "rows_processed",
+        "created_date",
+        F.when(F.col("message_count") > 1, F.col("message_ts")).alias("updated_date"),
+        F.col("message_ts").alias("last_message"),
     )
 
 

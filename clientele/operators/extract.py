@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clientele.functions import fixed_values as fv
 from clientele.functions.joins import lookup_join
 from clientele.functions.predicates import only, since_days, within_days
+from clientele.functions.selection import newest_days_rows
 
 
 def profile_columns(segment_code: Column, run_date: dt.date) -> list[Column]:
@@ -65,7 +66,7 @@ def extract_profiles(
     staged = profiles_of(only(changed, "region_code", region), segments, run_date)
     staged = only(staged, "customer_segment", segment)
     if batch_size is not None:
-        staged = staged.orderBy(F.desc("last_modified_date"), "customer_id").limit(batch_size)
+        staged = newest_days_rows(staged, batch_size, "last_modified_date", "customer_id")
     return staged.drop("last_modified_date")
 
 

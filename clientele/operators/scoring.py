@@ -18,6 +18,7 @@ from clientele import schemas
 from clientele.functions import fixed_values as fv
 from clientele.functions import ladders
 from clientele.functions.predicates import only, since_days
+from clientele.functions.selection import first_rows
 from clientele.operators.dimension import current_dimension, full_name
 from clientele.sources.tables import latest_sales
 
@@ -172,7 +173,7 @@ def scores_config(
     if already is not None:
         wanted = unscored(current_dimension(wanted), already, run_date, model_version)
     if batch_size is not None:
-        wanted = current_dimension(wanted).orderBy("customer_id").limit(batch_size)
+        wanted = first_rows(current_dimension(wanted), batch_size, "customer_id")
     base = scored_base(wanted, sales, events, interactions, run_date, camp_days, inter_days)
     interactions_seen = zero_if_null("interaction_count", "bigint")
     return base.select(

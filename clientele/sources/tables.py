@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from clientele.functions import fixed_values as fv
 from clientele.functions.predicates import only, since_days
+from clientele.functions.selection import days_key, days_of, newest_rows
 
 JDBC_FETCH_SIZE = 10000
 
@@ -109,14 +110,20 @@ def latest_sales(sales: DataFrame, columns: Sequence[str] = SALES_ORDER) -> Data
     """One retail row per customer, so that a join on the customer never multiplies rows.
 
     The latest load wins, then the later purchase, and so on along ``SALES_ORDER``; asking for the leading columns
-    only gives the same values and reads less.
+    only gives the same values and reads less. Both dates are compared as one number, and dates and values are found by hash
+    aggregation; where texts are asked for, they are fetched for the newest rows.
     """
-    used = SALES_ORDER[: max(SALES_ORDER.index(c) for c in columns) + 1]
-    return (
-        sales.groupBy("customer_id")
-        .agg(F.max(F.struct(*used)).alias("newest"))
-        .select("customer_id", *[f"newest.{c}" for c in columns])
-    )
+    days = days_key(F.col("load_date"), F.col("last_purchase_date"))
+    if max(SALES_ORDER.index(c) for c in columns) <= SALES_ORDER.index("lifetime_value"):
+        by_days = sales.groupBy("customer_id", days.alias("days")).agg(F.max("lifetime_value").alias("value"))
+        newest = by_days.groupBy("customer_id").agg(
+            F.max("days").alias("days"), F.max_by("value", "days").alias("lifetime_value")
+        )
+        load, purchase = days_of(F.col("days"))
+        found = newest.withColumns({"load_date": load, "last_purchase_date": purchase})
+    else:
+        found = newest_rows(sales, ["customer_id"], days, SALES_ORDER[2:])
+    return found.select("customer_id", *columns)
 
 
 def recent_spend(sales: DataFrame, run_date: dt.date, days: int = fv.SPEND_DAYS) -> DataFrame:

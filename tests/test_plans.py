@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from clientele import schemas
 from clientele.functions.joins import COPIES, lookup_join
 from clientele.functions.keys import next_key, with_sequence
+from clientele.functions.selection import first_rows, newest_days_rows
 from clientele.operators import extract, lineage, scoring
 from clientele.sinks.files import replace_partition
 from clientele.sinks import versions
@@ -66,6 +67,33 @@ def test_no_cross_join_and_no_python(spark, name):
         assert "Exchange SinglePartition" not in text
 
 
+@pytest.mark.parametrize("name", ["retail_spend", "audit_fold", "scores_procedural", "scores_config_batch"])
+def test_newest_rows_need_no_sorting_aggregate(spark, name):
+    text = plan(queries.all_queries()[name](spark, SMALL))
+    assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+@pytest.mark.parametrize("name", ["extract_profiles_batch", "scores_config_batch"])
+def test_batches_do_not_end_in_one_task(spark, name):
+    text = plan(queries.all_queries()[name](spark, SMALL))
+    for operator in ("TakeOrderedAndProject", "GlobalLimit", "CollectLimit", "Exchange SinglePartition"):
+        assert operator not in text
+
+
+def test_half_of_a_table_is_chosen_in_many_tasks(spark):
+    """The rows that are chosen come from many tasks, none of which holds much more than its share."""
+    given = spark.range(0, 400_000, 1, 8).select(
+        (F.col("id") * 7).alias("k"), F.date_add(F.lit(RUN), -(F.col("id") % 3).cast("int")).alias("day")
+    )
+    with no_broadcast(spark, spark__sql__shuffle__partitions=32, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        for chosen in (first_rows(given, 200_000, "k"), newest_days_rows(given, 200_000, "day", "k")):
+            assert chosen.count() == 200_000
+            largest = chosen.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+            assert largest < 200_000 / 2
+        lowest = first_rows(given, 200_000, "k").agg(F.max("k")).first()[0]
+        assert lowest == 7 * (200_000 - 1)
+
+
 def test_event_filters_reach_the_scan(spark):
     given = queries.Inputs(spark, SMALL)
     text = plan(given.events)
