@@ -10,6 +10,7 @@ The variants share the churn ladder and differ in the rest:
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,39 +26,52 @@ from clientele.sources.tables import latest_sales
 SCORE_COLUMNS = [name for name in schemas.FACT_CUSTOMER_SCORES.names if name != "score_key"]
 
 
-def newest_counts(staged: DataFrame, moment: str, **counts: Column) -> DataFrame:
-    """Counts per customer over all loads, each day taken from the newest load that holds it.
+def daily_counts(staged: DataFrame, moment: str, **counts: Column) -> DataFrame:
+    """Counts per customer, day and load. A load stages whole days."""
+    day = F.to_date(moment).alias("day")
+    return staged.groupBy("customer_id", day, "load_date").agg(*[c.alias(name) for name, c in counts.items()])
+
+
+def daily_events(events: DataFrame) -> DataFrame:
+    """Staged events as counts per customer, day and load: what a load stores for the scores of later ones."""
+    converted = ladders.count_if(F.col("event_type") == fv.CONVERTED)
+    return daily_counts(events, "event_date", event_count=F.count(F.lit(1)), conversion_count=converted)
+
+
+def daily_interactions(interactions: DataFrame) -> DataFrame:
+    return daily_counts(interactions, "interaction_date", interaction_count=F.count(F.lit(1)))
+
+
+def newest_counts(daily: DataFrame, run_date: dt.date, days: int, names: Sequence[str]) -> DataFrame:
+    """Counts per customer since ``days`` before the run, each day taken from the newest load that holds it.
 
-    A load stages whole days, and repeats days of older loads. Its window may be shorter than the one that is counted, so
-    the choice is made for each customer and day. Counting per day and load first keeps it among a few rows per customer
-    instead of all staged rows; those few are dealt by customer once, which serves both later steps and the joins.
+    Loads repeat days of older loads, and a load's window may be shorter than the one that is counted, so the choice is made
+    for each customer and day. The few rows per customer are dealt by customer once, which serves both steps and the joins.
     """
-    day = F.to_date(moment).alias("day")
-    per_load = staged.groupBy("customer_id", day, "load_date").agg(*[c.alias(name) for name, c in counts.items()])
-    dealt = per_load.repartition("customer_id")
-    per_day = dealt.groupBy("customer_id", "day").agg(*[F.max_by(name, "load_date").alias(name) for name in counts])
-    return per_day.groupBy("customer_id").agg(*[F.sum(name).alias(name) for name in counts])
-
-
-def conversion_rates(events: DataFrame, run_date: dt.date, days: int = fv.EVENT_DAYS) -> DataFrame:
-    """Per customer: events, conversions and their ratio in the window."""
-    recent = events.filter(since_days("event_date", run_date, days))
-    counted = newest_counts(
-        recent,
-        "event_date",
-        event_count=F.count(F.lit(1)),
-        conversion_count=ladders.count_if(F.col("event_type") == fv.CONVERTED),
-    )
+    dealt = daily.filter(since_days("day", run_date, days)).repartition("customer_id")
+    per_day = dealt.groupBy("customer_id", "day").agg(*[F.max_by(name, "load_date").alias(name) for name in names])
+    return per_day.groupBy("customer_id").agg(*[F.sum(name).alias(name) for name in names])
+
+
+def conversion_rates(
+    events: DataFrame, run_date: dt.date, days: int = fv.EVENT_DAYS, counted: bool = False
+) -> DataFrame:
+    """Per customer: events, conversions and their ratio in the window. ``counted``: from stored daily counts."""
+    daily = events if counted else daily_events(events.filter(since_days("event_date", run_date, days)))
+    found = newest_counts(daily, run_date, days, ["event_count", "conversion_count"])
     rate = ladders.ratio(F.col("conversion_count"), F.col("event_count"), 4).cast(ladders.SCORE)
-    return counted.withColumn("conversion_rate", rate)
+    return found.withColumn("conversion_rate", rate)
 
 
-def interaction_counts(interactions: DataFrame, run_date: dt.date, days: int = fv.INTERACTION_DAYS) -> DataFrame:
+def interaction_counts(
+    interactions: DataFrame, run_date: dt.date, days: int = fv.INTERACTION_DAYS, counted: bool = False
+) -> DataFrame:
     """Per customer: interactions in the window, and their number per day of a 30-day month."""
-    recent = interactions.filter(since_days("interaction_date", run_date, days))
-    counted = newest_counts(recent, "interaction_date", interaction_count=F.count(F.lit(1)))
+    recent = interactions if counted else interactions.filter(since_days("interaction_date", run_date, days))
+    daily = recent if counted else daily_interactions(recent)
+    found = newest_counts(daily, run_date, days, ["interaction_count"])
     score = ladders.ratio(F.col("interaction_count"), F.lit(30), 4).cast(ladders.WIDE_SCORE)
-    return counted.withColumn("interact_score", score)
+    return found.withColumn("interact_score", score)
 
 
 def campaign_rollup(events: DataFrame) -> DataFrame:
@@ -76,9 +90,12 @@ def scored_base(
     run_date: dt.date,
     camp_days: int = fv.EVENT_DAYS,
     inter_days: int = fv.INTERACTION_DAYS,
+    counted: bool = False,
 ) -> DataFrame:
     """Current customers with spend, conversion and interaction figures.
 
+    With ``counted``, events and interactions are stored daily counts instead of staged rows.
+
     Every input is reduced to one row per customer and hashed by customer before the three joins, which then need no
     further shuffle.
     """
@@ -87,8 +104,8 @@ def scored_base(
         current_dimension(dimension)
         .select("customer_id", "dim_crm_customer_key", "customer_segment", "region_code")
         .join(spend, "customer_id", "left")
-        .join(conversion_rates(events, run_date, camp_days), "customer_id", "left")
-        .join(interaction_counts(interactions, run_date, inter_days), "customer_id", "left")
+        .join(conversion_rates(events, run_date, camp_days, counted), "customer_id", "left")
+        .join(interaction_counts(interactions, run_date, inter_days, counted), "customer_id", "left")
     )
 
 
@@ -132,9 +149,11 @@ def scores_procedural(
     model_version: str = fv.MODEL_VERSION,
     batch_id: int = fv.FIRST_BATCH,
     as_of: dt.date | None = None,
+    counted: bool = False,
 ) -> DataFrame:
     """Scores of the current customers of a segment."""
-    base = scored_base(only(dimension, "customer_segment", segment), sales, events, interactions, run_date)
+    wanted = only(dimension, "customer_segment", segment)
+    base = scored_base(wanted, sales, events, interactions, run_date, counted=counted)
     return base.select(
         *fact_row(
             run_date,
@@ -164,6 +183,7 @@ def scores_config(
     inter_days: int = fv.DEFAULT_INTERACTION_WINDOW,
     already: DataFrame | None = None,
     as_of: dt.date | None = None,
+    counted: bool = False,
 ) -> DataFrame:
     """Scores with capped value and stepped engagement, only for customers that ``already`` does not hold.
 
@@ -174,7 +194,7 @@ def scores_config(
         wanted = unscored(current_dimension(wanted), already, run_date, model_version)
     if batch_size is not None:
         wanted = first_rows(current_dimension(wanted), batch_size, "customer_id")
-    base = scored_base(wanted, sales, events, interactions, run_date, camp_days, inter_days)
+    base = scored_base(wanted, sales, events, interactions, run_date, camp_days, inter_days, counted)
     interactions_seen = zero_if_null("interaction_count", "bigint")
     return base.select(
         *fact_row(

@@ -68,6 +68,17 @@ def stage(store: Store, p: RunParams) -> None:
     replace_partition(events, store.path("stg_campaign_events"), {"load_date": p.run_date})
     interactions = extract.extract_interactions(store.read("src_interactions"), staged, p.run_date)
     replace_partition(interactions, store.path("stg_customer_interactions"), {"load_date": p.run_date})
+    store_daily_counts(store, p.run_date)
+
+
+def store_daily_counts(store: Store, run_date: dt.date) -> None:
+    """Count the load's events and interactions by customer and day, once, for all scores that count these days."""
+    for staged, daily, count in (
+        ("stg_campaign_events", "daily_events", scoring.daily_events),
+        ("stg_customer_interactions", "daily_interactions", scoring.daily_interactions),
+    ):
+        rows = store.read(staged).filter(F.col("load_date") == F.lit(run_date))
+        replace_partition(count(rows), store.path(daily), {"load_date": run_date})
 
 
 def change_profiles(store: Store, p: RunParams, change: Callable[[DataFrame], DataFrame]) -> None:
@@ -151,8 +162,8 @@ def score_inputs(
     return (
         store.standing("dim_customer_crm"),
         store.read("stg_customer_sales"),
-        staged_since(store, "stg_campaign_events", p.run_date, camp_days),
-        staged_since(store, "stg_customer_interactions", p.run_date, inter_days),
+        staged_since(store, "daily_events", p.run_date, camp_days),
+        staged_since(store, "daily_interactions", p.run_date, inter_days),
     )
 
 
@@ -161,7 +172,7 @@ def load_scores(store: Store, p: RunParams) -> None:
     path = store.path("fact_customer_scores")
     start = first_free(store.read("fact_customer_scores"), "score_key")
     scores = scoring.scores_procedural(
-        *score_inputs(store, p), p.run_date, p.segment, p.model_version, p.batch_number, p.as_of
+        *score_inputs(store, p), p.run_date, p.segment, p.model_version, p.batch_number, p.as_of, True
     )
     write_scores(store, scores, p.run_date, p.segment, p.model_version, start, path)
 
@@ -242,6 +253,7 @@ def add_configured_scores(store: Store, p: RunParams) -> None:
         *windows,
         already,
         p.as_of,
+        counted=True,
     )
     keyed = with_sequence(scores, "score_key", first_free(already, "score_key"), ["customer_id"])
     rows = keyed.select(*schemas.FACT_CUSTOMER_SCORES.names)  # scores_config leaves out those that are there

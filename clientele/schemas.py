@@ -131,6 +131,8 @@ LINEAGE_CHAINS = columns(
     "plsql_package string, target_table string, segment_code string, ksh_script string, sqlplus_script string, "
     "abinitio_graph string, spark_job string, cross_repo_source string"
 )
+DAILY_EVENTS = columns("customer_id bigint, day date, load_date date, event_count bigint, conversion_count bigint")
+DAILY_INTERACTIONS = columns("customer_id bigint, day date, load_date date, interaction_count bigint")
 CRM_MICRO_SEGMENTS = columns(
     "customer_id bigint, segment_code string, micro_segment string, composite_score double, "
     "churn_risk_score decimal(5,4), clv_score decimal(12,4), engagement_score decimal(9,4), "

@@ -33,6 +33,8 @@ INPUTS = {
 PARTITIONED = {
     "stg_campaign_events": schemas.STG_CAMPAIGN_EVENTS,
     "stg_customer_interactions": schemas.STG_CUSTOMER_INTERACTIONS,
+    "daily_events": schemas.DAILY_EVENTS,
+    "daily_interactions": schemas.DAILY_INTERACTIONS,
     "fact_customer_scores": schemas.FACT_CUSTOMER_SCORES,
     "fact_campaign_performance": schemas.FACT_CAMPAIGN_PERFORMANCE,
 }

@@ -49,6 +49,8 @@ def state(store):
         "dimension": rows(store.dimension()),
         "events": rows(store.read("stg_campaign_events")),
         "interactions": rows(store.read("stg_customer_interactions")),
+        "daily events": rows(store.read("daily_events")),
+        "daily interactions": rows(store.read("daily_interactions")),
         "scores": rows(store.read("fact_customer_scores").drop("score_key")),
         "campaigns": rows(store.read("fact_campaign_performance").drop("perf_key")),
         "summary": rows(store.read("fact_customer_segment_summary").drop("segment_summary_key")),
@@ -203,6 +205,10 @@ def test_next_week_keeps_events_of_customers_staged_before(spark, tmp_path):
         .join(second, "customer_id", "left_anti")
         .join(first, "customer_id", "left_semi")
     )
+    staged = store.read("stg_campaign_events"), store.read("daily_events")
+    assert staged[1].count() < staged[0].count()
+    again = [segment_load.scoring.conversion_rates(x, RUN, 90, counted) for x, counted in zip(staged, (False, True))]
+    assert rows(again[0]) == rows(again[1])
     kept = scored.join(only_before, "customer_id", "left_semi")
     assert kept.count() == only_before.count() > 0
     assert kept.filter("propensity_buy_score = 0").count() == 0

@@ -202,8 +202,12 @@ DEFINITIONS: dict[str, Callable[[Inputs], DataFrame]] = {
     # scores
     "customer_conversion_rate": lambda t: scoring.conversion_rates(t.events, RUN),
     "customer_interactions": lambda t: scoring.interaction_counts(t.interactions, RUN),
-    "conversions_two_loads": lambda t: scoring.conversion_rates(t.events_of_two_loads(), RUN, days=180),
-    "interactions_two_loads": lambda t: scoring.interaction_counts(t.interactions_of_two_loads(), RUN, days=180),
+    "conversions_two_loads": lambda t: scoring.conversion_rates(
+        scoring.daily_events(t.events_of_two_loads()), RUN, days=180, counted=True
+    ),
+    "interactions_two_loads": lambda t: scoring.interaction_counts(
+        scoring.daily_interactions(t.interactions_of_two_loads()), RUN, days=180, counted=True
+    ),
     "campaign_rollup": lambda t: scoring.campaign_rollup(t.events),
     "scores_procedural": lambda t: t.procedural(batch_id=7),
     "scores_config": lambda t: t.configured(),
