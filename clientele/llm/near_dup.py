@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clientele.functions.keys import with_sequence
 from clientele.llm.common import Scratch, map_slices, ship, utf8
 from clientele.llm.components import components
 
@@ -276,15 +277,39 @@ def near_duplicates(
     )
 
 
+def own_ids(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows with an id, with ``_node``: the id, but where rows of one id differ in text, a free number for all texts of it
+    but the one of least digest."""
+    rows = docs.where("_given.doc_id is not null").select("_given", "_given.doc_id", F.col("_given.text").alias("text"))
+    rows = rows.withColumn("_digest", F.sha2(F.coalesce("text", F.lit("")), 256))
+    pairs = rows.select("doc_id", "_digest").distinct()
+    texts = pairs.groupBy("doc_id").agg(F.min("_digest").alias("_first"), F.count("*").alias("_texts")).where("_texts > 1")
+    others = pairs.join(texts.drop("_texts"), "doc_id").where("_digest <> _first").select("doc_id", "_digest")
+    free = docs.agg((F.coalesce(F.max("_given.doc_id"), F.lit(0)) + 1).alias("free")).first().free
+    # Read once more for every row, so written; a table of a few rows is broadcast by its size.
+    others = scratch.save(with_sequence(scratch.save(others), "_own", free, ["doc_id", "_digest"]))
+    found = rows.join(others, ["doc_id", "_digest"], "left")
+    return found.select("_given", "text", F.coalesce("_own", "doc_id").alias("_node"))
+
+
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents without near copies: of each component the row of smallest id stays, once.
 
-    Rows without an id cannot be told apart and stay.
+    Rows that share an id and a text are one document; rows that share an id and differ in text are documents of their own,
+    of which all but the one of least digest come after all ids. So the result does not depend on how rows are dealt, and
+    no text without a near copy goes. Rows without an id cannot be told apart and stay. Other columns may have any names.
     """
-    kept = near_duplicates(docs, width, percent).where("kept").groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    kept = Scratch(docs.sparkSession).save(kept)
+    scratch, columns = Scratch(docs.sparkSession), docs.columns
+    packed = docs.select(F.struct(*columns).alias("_given"))
+    rows = own_ids(packed, scratch)
+    nodes = rows.select(F.col("_node").alias("doc_id"), "text")
+    kept = near_duplicates(nodes, width, percent).where("kept").groupBy("doc_id").agg(F.count("*").alias("_rows"))
+    kept = scratch.save(kept.withColumnRenamed("doc_id", "_node"))
     # Never broadcast: most ids are kept.
-    single = docs.join(kept.where("_rows = 1").hint("merge"), "doc_id")
-    several = docs.join(kept.where("_rows > 1").hint("merge"), "doc_id").dropDuplicates(["doc_id"])
-    columns = docs.columns
-    return single.select(columns).union(several.select(columns)).union(docs.where("doc_id is null").select(columns))
+    rows = rows.drop("text")
+    single = rows.join(kept.where("_rows = 1").hint("merge"), "_node")
+    several = rows.join(kept.where("_rows > 1").hint("merge"), "_node")
+    # Rows of one text that differ in other columns: the one whose columns, as JSON, come first.
+    several = several.groupBy("_node").agg(F.min_by("_given", F.to_json("_given")).alias("_given"))
+    given = single.select("_given").union(several.select("_given"))
+    return given.union(packed.where("_given.doc_id is null").select("_given")).select("_given.*")

@@ -153,6 +153,23 @@ def test_one_of_each(spark, odd):
     assert sorted((r.doc_id for r in found.collect()), key=str) == [*range(9), None]
 
 
+def test_one_of_each_of_rows_that_share_an_id(spark):
+    """No text without a near copy goes, whatever its id and however the rows are dealt; columns may have any names."""
+    words = [f"w{i}" for i in range(400)]
+    texts = {name: " ".join(words[at : at + 30]) for at, name in zip(range(0, 400, 40), "abcdefgh", strict=False)}
+    rows = [(1, "a"), (2, "b"), (2, "c"), (2, "c"), (3, "c"), (4, "d"), (4, "a"), (5, "e"), (5, "f"), (5, "g"), (6, "g"), (None, "h")]
+    schema = "doc_id long, text string, _rows int, _node string, _given string, _digest string, _own int"
+    given = spark.createDataFrame([(k, texts[x], 1, "n", "g", "d", 2) for k, x in rows], schema)
+    results = []
+    for docs in (given.coalesce(1), given.repartition(5), given.orderBy("text").repartition(3)):
+        found = near_dup.one_of_each(docs)
+        assert found.columns == given.columns
+        results.append(sorted(((r.doc_id, r.text) for r in found.collect()), key=str))
+    assert results[0] == results[1] == results[2]
+    assert sorted(x for _, x in results[0]) == sorted(texts.values())
+    assert {k for k, x in results[0] if x == texts["a"]} == {1}
+
+
 def vectors(spark):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((120, 16))
@@ -295,6 +312,45 @@ def test_mix_of_many_sources(spark):
         assert abs(thirds[kind] - 1000 * sum(x for k, x in share.items() if k and k % 3 == kind)) < 12
 
 
+def test_pipeline_with_columns_of_any_name(spark):
+    """Stages take documents whose columns bear the names that the stages use, and give those columns back as they were."""
+    names = ["score", "toxicity_score", "n_lines", "n_deleted", "kept_text", "_doc", "_print", "_gone", "_rows", "_node"]
+    names += ["_given", "given", "_source", "_row", "_digest", "_part", "mix_block", "_", "lines", "doc", "line"]
+    shared = " ".join(f"s{i}" for i in range(60))
+    texts = ["\n".join([" ".join(f"d{k}w{i}" for i in range(20)), shared if k < 3 else f"own {k}"]) for k in range(12)]
+    rows = [(k, t, "en", "ab"[k % 2], len(t or ""), *[f"{x}{k}" for x in names]) for k, t in enumerate([*texts, texts[7], None])]
+    columns = ["doc_id long", "text string", "lang string", "source string", "n_chars long"]
+    docs = spark.createDataFrame(rows, ", ".join([*columns, *[f"`{x}` string" for x in names]]))
+
+    def others(frame):
+        return {r.doc_id: tuple(r[x] for x in names) for r in frame.select("doc_id", *names).collect()}
+
+    cut = corpus_pipeline.lines(spark, docs, "")
+    assert cut.columns == docs.columns and others(cut) == {r[0]: r[5:] for r in rows}
+    found = {r.doc_id: (r.text, r.n_chars) for r in cut.collect()}
+    for k in range(12):
+        text = texts[k] if k not in (1, 2) else texts[k].split("\n")[0]
+        assert found[k] == (text, len(text))
+    kept = corpus_pipeline.near_copies(spark, cut, "")
+    assert kept.columns == docs.columns and others(kept) == {r[0]: r[5:] for r in rows if r[0] != 12}
+    placed = corpus_pipeline.mix(spark, kept.withColumn("mix_position", F.lit("old")), "")
+    assert placed.columns == [*docs.columns, "mix_position"] and others(placed) == others(kept)
+    assert len({r.mix_position for r in placed.collect()}) == 13
+    clean = classified(spark, docs)
+    assert clean.columns == docs.columns and others(clean) == {r[0]: r[5:] for r in rows}
+
+
+def classified(spark, docs):
+    """The first stage with a classifier that has learnt nothing."""
+    import clientele.llm.toxicity as classifier
+
+    before, classifier.train = classifier.train, lambda *_: ({}, -5.0)
+    try:
+        return corpus_pipeline.toxicity(spark, docs, "/root/testdata/sf0.001")
+    finally:
+        classifier.train = before
+
+
 def test_pipeline_keeps_the_mix(spark, tmp_path):
     """Shares of every prefix of the final output, by mix_position, follow the weights; rows of one id have own places."""
     rng = np.random.default_rng(2)
