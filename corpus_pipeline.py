@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm import bpe, line_dedup, mixing, near_dup
@@ -13,29 +13,51 @@ from clientele.llm import toxicity as classifier
 from clientele.llm.common import Scratch, table
 
 
+def packed(docs: DataFrame, *used: str) -> DataFrame:
+    """The columns that a stage works on, and the others in one, so that no name clashes with the stage's own."""
+    others = [F.col(c) for c in docs.columns if c not in used]
+    longest = max(docs.columns, key=len)  # a struct needs a field, also without other columns
+    return docs.select(*used, F.struct(F.lit(None).cast("int").alias(f"_{longest}"), *others).alias("given"))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, *used: str) -> list[Column]:
+    """The columns of ``docs``, of which those that the stage works on are taken as it leaves them."""
+    return [F.col(c) if c in used else rows["given"][c].alias(c) for c in docs.columns]
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls toxic go. It learns from the labels of these documents."""
     model = classifier.train(docs, table(spark, sf_dir, "labels"))
-    return classifier.scored(docs, model, "toxicity_score").where("toxicity_score < 0.5").select(*docs.columns)
+    clean = classifier.scored(packed(docs, "text"), model).where("score < 0.5")
+    return clean.select(unpacked(clean, docs, "text"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated runs of lines go; a document of which no line is left goes with them."""
-    found = line_dedup.without_repeats(docs)
-    found = found.where("n_deleted = 0 or n_deleted < n_lines").withColumns(
-        {"text": F.col("kept_text"), "n_chars": F.when(F.col("n_deleted") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))}
-    )
-    return found.select(*docs.columns)
+    used = "doc_id", "text", "n_chars"
+    found = line_dedup.without_repeats(packed(docs, *used)).where("n_deleted = 0 or n_deleted < n_lines")
+    size = F.when(F.col("n_deleted") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
+    found = found.withColumns({"text": F.col("kept_text"), "n_chars": size})
+    return found.select(unpacked(found, docs, *used))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are alike (shingles of five words, similarity of 0.8 or more) the one of smallest id stays."""
+    """Of documents that are alike (shingles of five words, similarity of 0.8 or more) the one of smallest id stays.
+
+    A text that differs from all others stays, also where its id is not its own.
+    """
     return near_dup.one_of_each(docs, width=5, percent=80)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with their places in the order that mixes their sources by the roots of their sizes."""
-    return mixing.with_positions(docs, mixing.root_weights(docs))
+    """All documents, with their places in the order that mixes their sources by the roots of their sizes.
+
+    A column ``mix_position`` of the documents gives way to the new one.
+    """
+    used = "doc_id", "text", "source"
+    placed = mixing.with_positions(packed(docs, *used), mixing.root_weights(docs))
+    others = [x for x, c in zip(unpacked(placed, docs, *used), docs.columns, strict=True) if c != "mix_position"]
+    return placed.select(*others, "mix_position")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
