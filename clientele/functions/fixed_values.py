@@ -33,8 +33,7 @@ EVENT_DAYS = 90
 INTERACTION_DAYS = 30
 REGIONAL_DAYS = 30
 
-# Default batch size and model version.
-BATCH_SIZE = 5000
+# Default model version.
 MODEL_VERSION = "v2.1"
 
 # Churn risk: no purchase ever, then more than this many days since the last one, else the last value.
