@@ -1,6 +1,6 @@
 """Merkle fixity audit of archive records. DataFrame operations only.
 
-Pages become WARC records, dealt to files and placed at their offsets. A record's leaf is the hash of its bytes with its
+Pages become WARC records, dealt to files and placed at their offsets; only their hashes and lengths are shuffled. A record's leaf is the hash of its bytes with its
 place; a node is the hash of its children's hashes in the order of their offsets, and stands for the range of offsets
 that they cover; the root of a file covers all of it. An audit of two replicas compares roots, and descends, level by
 level, only below nodes that differ or that one replica lacks, to the records that are damaged.
@@ -8,7 +8,7 @@ level, only below nodes that differ or that one replica lacks, to the records th
 Nulls and edge cases: a record without bytes (null) is hashed as a missing one, unlike an empty one; files and records
 that one replica lacks are reported; an empty table has no files, and equal replicas give no rows. Rows with a null id
 are archived like others; rows that share an id are told apart by a hash of their content, and equal rows keep one
-record each. Other columns are not touched.
+record each. The places depend on the rows alone, not on how they are partitioned. Other columns are not touched.
 """
 
 from __future__ import annotations
@@ -38,38 +38,77 @@ def warc_bytes(uri: Column, payload: Column) -> Column:
     return F.concat(header.cast("binary"), body, F.lit("\r\n\r\n").cast("binary"))
 
 
-def warc_records(
-    pages: DataFrame, records: int = FILE_RECORDS, id_column: str = "page_id", uri_column: str = "url", body_column: str = "html"
+def archived(
+    pages: DataFrame, scratch: Scratch, id_column: str = "page_id", uri_column: str = "url", body_column: str = "html"
 ) -> DataFrame:
-    """``(file, record, offset, length, record_id, bytes)``: the records of every file in the order of their ids.
+    """``(row, record_id, length, digest, bytes)``: the pages as records, written where they are read; ``row`` tells the
+    written rows apart, ``digest`` stands for id and bytes."""
+    content = warc_bytes(F.col(uri_column), F.col(body_column))
+    rows = pages.select(F.col(id_column).alias("record_id"), content.alias("bytes"))
+    named = F.coalesce(F.concat(F.lit("="), F.col("record_id").cast("string")), F.lit(""))
+    return scratch.save(
+        rows.select(
+            F.monotonically_increasing_id().alias("row"),
+            "record_id",
+            F.coalesce(F.octet_length("bytes"), F.lit(0)).cast("long").alias("length"),
+            F.md5(F.concat_ws(" ", named, F.coalesce(F.sha2("bytes", 256), F.lit("missing")))).alias("digest"),
+            "bytes",
+        )
+    )
 
-    A page belongs to a file by a hash of its id, so files are of even size whatever the hosts.
+
+def placed(archive: DataFrame, scratch: Scratch, records: int = FILE_RECORDS) -> DataFrame:
+    """``(row, file, record, offset, length, record_id)``: where every row of ``archived`` stands. The bytes do not move.
+
+    A record belongs to a file by a hash of its digest and of its number among equal records, so files are of even size
+    also where a third of the rows share an id, or are the same. Equal records are numbered within the tasks that wrote
+    them, after the counts of the tasks before.
     """
-    files = F.lit(max(1, -(-pages.count() // records)))
-    key = F.md5(F.coalesce(F.col(id_column).cast("string"), F.lit("")))
-    rows = pages.select(
-        F.col(id_column).alias("record_id"),
-        hex_share(key, files).alias("file"),
-        warc_bytes(F.col(uri_column), F.col(body_column)).alias("bytes"),
-    )
-    rows = rows.withColumn("length", F.coalesce(F.octet_length("bytes"), F.lit(0)).cast("long"))
-    order = Window.partitionBy("file").orderBy("record_id", F.sha2(F.col("bytes"), 256))
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    return rows.select(
-        "file",
-        (F.row_number().over(order) - 1).cast("long").alias("record"),
-        F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"),
-        "length",
-        "record_id",
-        "bytes",
+    files = F.lit(max(1, -(-archive.count() // records)))
+    rows = archive.select("row", "record_id", "length", "digest", F.shiftright("row", 33).alias("task"))
+    before = Window.partitionBy("digest").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = rows.groupBy("digest", "task").agg(F.count("*").alias("n"))
+    tasks = tasks.select("digest", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    within = F.row_number().over(Window.partitionBy("digest", "task").orderBy("row")) - 1
+    rows = rows.withColumn("within", within).join(tasks, ["digest", "task"])
+    rows = rows.withColumn("copy", F.col("earlier") + F.col("within"))
+    rows = rows.withColumn("file", hex_share(F.md5(F.concat_ws(":", "digest", F.col("copy").cast("string"))), files))
+    order = Window.partitionBy("file").orderBy("record_id", "digest", "copy")
+    offset = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return scratch.save(
+        rows.select(
+            "row",
+            "file",
+            (F.row_number().over(order) - 1).cast("long").alias("record"),
+            F.coalesce(offset, F.lit(0)).alias("offset"),
+            "length",
+            "record_id",
+        )
     )
 
 
+def digests(archive: DataFrame, places: DataFrame) -> DataFrame:
+    """``(file, record, offset, length, record_id, content)``: the records by the hash of their bytes as they are now."""
+    return archive.select("row", F.sha2("bytes", 256).alias("content")).join(places, "row").drop("row")
+
+
+def warc_records(
+    pages: DataFrame, records: int = FILE_RECORDS, id_column: str = "page_id", uri_column: str = "url", body_column: str = "html"
+) -> DataFrame:
+    """``(file, record, offset, length, record_id, bytes)``: the records themselves with their places."""
+    scratch = Scratch(pages.sparkSession)
+    archive = archived(pages, scratch, id_column, uri_column, body_column)
+    found = archive.select("row", "bytes").join(placed(archive, scratch, records), "row")
+    return found.select("file", "record", "offset", "length", "record_id", "bytes")
+
+
 def merkle_tree(records: DataFrame, scratch: Scratch, fan_out: int = FAN_OUT) -> DataFrame:
     """``(file, level, node, begin, end, hash)``: the leaves are level 0 and carry the number of their record; the
-    highest level of a file is its root. Every level is hashed from the one below."""
+    highest level of a file is its root. Every level is hashed from the one below. Records hold ``bytes``, or their hash
+    as ``content``."""
     place = F.concat_ws(":", F.col("record").cast("string"), F.col("offset").cast("string"), F.col("length").cast("string"))
-    content = F.coalesce(F.sha2("bytes", 256), F.lit("missing"))
+    hashed = F.col("content") if "content" in records.columns else F.sha2("bytes", 256)
+    content = F.coalesce(hashed, F.lit("missing"))
     level = records.select(
         "file",
         F.lit(0).alias("level"),

@@ -77,6 +77,33 @@ LINE_RUNS = """
            md5(r.kept) AS kept_md5
     FROM documents d LEFT JOIN rest r ON r.doc_id = d.doc_id"""
 
+#: The archive laid out by windows over whole tables; a drill's faults follow from the ids.
+FIXITY = """
+    WITH payloads AS (
+        SELECT page_id, coalesce('=' || page_id, '') AS name, html IS NULL AS missing,
+            'WARC/1.1' || e || 'WARC-Type: resource' || e || 'WARC-Record-ID: <urn:sha256:' || sha256(html)
+            || '>' || e || 'WARC-Target-URI: ' || coalesce(url, '') || e || 'Content-Type: text/html'
+            || e || 'Content-Length: ' || strlen(html) || e || e || html || e || e AS body
+        FROM pages, (SELECT chr(13) || chr(10) AS e)),
+    named AS (
+        SELECT page_id, missing, coalesce(strlen(body), 0) AS length, coalesce(sha256(body), 'missing') AS content,
+            md5(name || ' ' || coalesce(sha256(body), 'missing')) AS digest
+        FROM payloads),
+    copies AS (SELECT *, row_number() OVER (PARTITION BY digest) - 1 AS copy FROM named),
+    files AS (SELECT greatest(1, (count(*) + 255) // 256) AS n FROM pages),
+    dealt AS (
+        SELECT c.*, CAST('0x' || substr(md5(digest || ':' || copy), 1, 8) AS BIGINT) * n // 4294967296 AS file
+        FROM copies c, files),
+    places AS (
+        SELECT *, row_number() OVER own - 1 AS record,
+            CAST(coalesce(sum(length) OVER (own ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begin_offset
+        FROM dealt WINDOW own AS (PARTITION BY file ORDER BY page_id NULLS FIRST, digest, copy))
+    SELECT page_id, file, record, begin_offset, CAST(length AS BIGINT) AS length,
+        sha256(record || ':' || begin_offset || ':' || length || ':' || content) AS leaf_sha256,
+        CASE WHEN page_id % 101 <> 0 OR page_id IS NULL THEN 'intact' WHEN page_id % 2 = 0 THEN 'lost'
+            WHEN missing THEN 'intact' ELSE 'changed' END AS status
+    FROM places"""
+
 
 def all_sql() -> dict[str, str]:
-    return {"op3_minhash": NEAR_COPIES, "op4_pivot_permutations": NEAR_VECTORS, "op8_line_runs": LINE_RUNS}
+    return {"op3_minhash": NEAR_COPIES, "op4_pivot_permutations": NEAR_VECTORS, "op5_merkle_audit": FIXITY, "op8_line_runs": LINE_RUNS}

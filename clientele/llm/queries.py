@@ -57,13 +57,14 @@ def op4_pivot_permutations(spark: SparkSession, folder: str) -> DataFrame:
 def op5_merkle_audit(spark: SparkSession, folder: str) -> DataFrame:
     """A fixity drill over all pages: per archive record whether the audit of a damaged replica names it."""
     scratch = Scratch(spark)
-    records = scratch.save(fixity.warc_records(table(spark, folder, "pages")))
-    ours = fixity.merkle_tree(records, scratch)
-    theirs = fixity.merkle_tree(fixity.damaged(records), scratch)
+    archive = fixity.archived(table(spark, folder, "pages"), scratch)
+    places = fixity.placed(archive, scratch)
+    ours = fixity.merkle_tree(fixity.digests(archive, places), scratch)
+    theirs = fixity.merkle_tree(fixity.digests(fixity.damaged(archive), places), scratch)
     found = fixity.audit(ours, theirs, scratch).withColumnRenamed("record", "node")
     leaves = ours.where("level = 0").select("file", "node", "hash")
     marks = found.select("file", "node", F.when(F.col("their_hash").isNull(), "lost").otherwise("changed").alias("status"))
-    rows = records.select("file", F.col("record").alias("node"), "record_id", "offset", "length")
+    rows = places.select("file", F.col("record").alias("node"), "record_id", "offset", "length")
     return (
         rows.join(leaves, ["file", "node"])
         .join(marks, ["file", "node"], "left")

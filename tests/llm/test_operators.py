@@ -374,6 +374,46 @@ def test_pipeline_keeps_the_mix(spark, tmp_path):
             assert abs(seen[k] - n * math.sqrt(size) / total) <= 3 * mixing.BLOCK_ROWS  # open block, window, rounding
 
 
+def test_places_of_hot_records(spark):
+    """A third of the pages share an id, a third are equal: files stay even, and places do not follow the partitions."""
+    rows = [(i, "u", f"a{i}") for i in range(200)] + [(None, "u", f"b{i}") for i in range(200)] + [(7, "v", "same")] * 200
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    laid = []
+    for parts in (1, 5):
+        records = fixity.warc_records(frame.repartition(parts), records=50).collect()
+        assert max(Counter(r.file for r in records).values()) <= 100
+        by_file = defaultdict(list)
+        for r in sorted(records, key=lambda r: r.record):
+            by_file[r.file].append(r)
+        for own in by_file.values():
+            assert [r.record for r in own] == list(range(len(own)))
+            assert [r.offset for r in own] == [sum(len(x.bytes) for x in own[:i]) for i in range(len(own))]
+        laid.append(Counter((r.file, r.record, r.offset, r.length, r.record_id, bytes(r.bytes)) for r in records))
+    assert laid[0] == laid[1] and sum(laid[0].values()) == 600
+
+
+def test_merkle_tree_against_plain_hashes(spark):
+    """Every node of every level, hashed again in Python."""
+    frame = spark.createDataFrame([(i, "u", "x" * (i % 17)) for i in range(300)], "page_id long, url string, html string")
+    scratch = Scratch(spark)
+    records = scratch.save(fixity.warc_records(frame, records=100))
+    found = {(r.file, r.level, r.node): (r.begin, r.end, r.hash) for r in fixity.merkle_tree(records, scratch, 3).collect()}
+    sha, expected, levels = lambda x: hashlib.sha256(x).hexdigest(), {}, defaultdict(dict)
+    for r in records.collect():
+        leaf = sha(f"{r.record}:{r.offset}:{r.length}:{sha(bytes(r.bytes))}".encode())
+        levels[r.file][r.record] = (r.offset, r.offset + r.length, leaf)
+    most = max(len(x) for x in levels.values()) - 1
+    for level in range(20):
+        expected |= {(file, level, node): x for file, own in levels.items() for node, x in own.items()}
+        if not most:
+            break
+        most //= 3
+        for file, own in levels.items():
+            groups = [[own[k] for k in sorted(own) if k // 3 == node] for node in sorted({k // 3 for k in own})]
+            levels[file] = {i: (g[0][0], g[-1][1], sha("\n".join(x[2] for x in g).encode())) for i, g in enumerate(groups)}
+    assert found == expected
+
+
 def test_merkle_audit(spark):
     rows = [(i, f"http://x/{i % 7}", None if i % 50 == 3 else "p" * (i % 90)) for i in range(600)] + [(None, None, "q"), (5, "u", "r")]
     pages_ = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("file", F.lit("x"))
