@@ -89,6 +89,18 @@ def test_token_counts(spark, odd, none):
     assert token_counts.token_counts(none, path).count() == 0
 
 
+def test_frequent_chunks_of_hot_texts(spark, none):
+    """A text that fills half of the table counts like any other; chunks come most frequent first."""
+    rows = [(i, f"w{i % 5} common", "s") for i in range(300)] + [(1, "hot " * 50, "s")] * 300 + [(None, None, None)]
+    found = token_counts.frequent_chunks(documents(spark, rows).repartition(3), public_tokenizers.path(token_counts.VOCABULARY))
+    texts = {t for _, t, _ in rows if t}
+    counts = Counter(x for t in texts for x in token_counts.CHUNKS.findall(t))
+    assert list(found) == sorted(counts, key=lambda x: (-counts[x], x))
+    own = Tokenizer.from_file(public_tokenizers.path(token_counts.VOCABULARY))
+    assert found == {x: len(own.encode(x, add_special_tokens=False).ids) for x in counts}
+    assert token_counts.frequent_chunks(none, public_tokenizers.path(token_counts.VOCABULARY)) == {}
+
+
 def test_white_space_chunks_agree_with_the_library():
     own = Tokenizer.from_file(public_tokenizers.path(token_counts.VOCABULARY))
     lengths = token_counts.Lengths(public_tokenizers.path(token_counts.VOCABULARY), {})
