@@ -49,6 +49,16 @@ NAMED = re.compile(
     r"|subscribe|sign-?up|login|shar(?:e|ing)|social|related|recommended|pagination|pager|copyright|legal|toolbar|search"
     r"|hidden|contentinfo|complementary)(?![a-z])"
 )
+#: Words that name a part outside the main text only where no article is open.
+OUTSIDE = re.compile(r"(?<![a-z])(?:discussions?|feedback|reactions?|talkback|guestbook)(?![a-z])")
+#: Elements of running text: inside an article a name sets them apart only if it is such a word, or of an advert.
+RUNNING = set("p li dd td h1 h2 h3 h4 h5 h6".split())
+QUOTED = set("blockquote pre".split())
+SELLING = re.compile(r"(?<![a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|newsletter|subscribe|cookies?|comments?)(?![a-z])")
+HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
+#: The text of a copyright line, of at most so many words.
+RIGHTS = re.compile(r"(?:©|\(c\)|copyright)[\s©(c),]*(?:19|20)\d\d|.*\ball rights reserved\b", re.IGNORECASE)
+RIGHTS_WORDS = 25
 MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
 HIDDEN = re.compile(r"\bdisplay\s*:\s*none|(?<![\w-])hidden(?![\w-])", re.IGNORECASE)
 
@@ -154,8 +164,16 @@ def apart(name: str, attributes: str, in_article: bool) -> int:
         return 0
     if HIDDEN.search(attributes):
         return 2
-    names = (y for x in MARKS.findall(attributes) for y in x.lower().strip("\"'").split())
-    return int(any(NAMED.search(x.replace("_", " ")) for x in names if not STATE.match(x)))
+    if in_article and name in QUOTED:
+        return 0
+    marks = (y for x in MARKS.findall(attributes) for y in HUMP.sub("-", x.strip("\"'")).lower().replace("_", "-").split())
+    return int(any(names_apart(x, in_article, name in RUNNING) for x in marks if not STATE.match(x)))
+
+
+def names_apart(mark: str, in_article: bool, running: bool) -> bool:
+    if in_article and running:
+        return bool(NAMED.fullmatch(mark) or SELLING.search(mark))
+    return bool(NAMED.search(mark) or not in_article and OUTSIDE.search(mark))
 
 
 def blocks(page: str) -> list[list]:
@@ -186,7 +204,9 @@ def blocks(page: str) -> list[list]:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             inside = len(html.unescape(" ".join(linked)).split())
-            found.append([text, text.count(" ") + 1, inside, tuple(articles), aside > 0, tuple(named)])
+            words = text.count(" ") + 1
+            rights = not articles and words <= RIGHTS_WORDS and bool(RIGHTS.match(text))
+            found.append([text, words, inside, tuple(articles), aside > 0 or rights, tuple(named)])
         parts.clear()
         linked.clear()
 
@@ -256,7 +276,10 @@ def main_wrappers(found: list[list], around: list[tuple[int, ...]]) -> set[int]:
 
 
 def main_text(page: str) -> str:
-    """The blocks that the tree takes for main text, joined by one space."""
+    """The blocks that the tree takes for main text, joined by one space.
+
+    Where it takes none, as on a page of a few words, the blocks that neither stand apart nor consist of links are taken.
+    """
     found = blocks(page)
     shares = [linked / words for _, words, linked, _, _ in found]
     # Articles count if they have most of the words that do not stand apart.
@@ -268,6 +291,8 @@ def main_text(page: str) -> str:
         after = (found[i + 1][1], shares[i + 1]) if i + 1 < len(found) else (0, 0.0)
         if is_main((words, shares[i], *before, *after, article and has_article, has_article, outside)):
             kept.append(text)
+    if not kept:
+        kept = [block[0] for block, share in zip(found, shares, strict=True) if not block[4] and share < 0.5]
     return " ".join(kept)
 
 

@@ -603,6 +603,39 @@ def test_short_parts_without_an_article(part):
     assert pages.main_text(page) == f"Head {LONG_PART.strip()} {text} {LONG_PART.strip()}"
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<nav><a href=/>Home</a></nav><div><h1>Hello</h1><p>A short note.</p></div><footer>f</footer>", "Hello A short note."),
+        ("<p>Hello there my friend</p>", "Hello there my friend"),
+        ("<ul><li><a href=/a>One</a><li><a href=/b>Two</a></ul>", ""),
+        ("<nav>Home</nav><div class=cookieBanner>We use them</div><div>&copy; 2021 Foo</div>", ""),
+    ],
+)
+def test_pages_of_a_few_words(page, text):
+    assert pages.main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "part, kept",
+    [
+        (f"<div id='commentList'><p>{LONG_PART}</p></div>", False),
+        (f"<div id=discussion><p>{LONG_PART}</p></div>", False),
+        ("<div>Copyright 2020 Foo Inc all rights reserved</div>", False),
+        ("<p>Copyright is a right of authors; courts have long held it to last for a good many years after them, and so say all.</p>", True),
+    ],
+)
+def test_parts_beside_the_text(part, kept):
+    text = pages.main_text(f"<div><p>{LONG_PART}</p><p>{LONG_PART}</p>{part}<p>{LONG_PART}</p></div>")
+    assert text == " ".join([*[LONG_PART.strip()] * 2, *[pages.re.sub("<[^>]*>", "", part)] * kept, LONG_PART.strip()])
+
+
+@pytest.mark.parametrize("part", ["<blockquote class='social quote'>So they said.</blockquote>", "<p class='notice-text'>Take note of it.</p>", "<section id=discussion><p>We discuss it.</p></section>"])
+def test_text_of_an_article_under_names_of_other_parts(part):
+    page = f"<article><p>{LONG_PART}</p>{part}<p class='ad-text'>Buy it.</p><p class=notice>Mind it.</p></article>"
+    assert pages.main_text(page) == f"{LONG_PART.strip()} {pages.re.sub('<[^>]*>', '', part)}"
+
+
 def test_tree_knows_its_table():
     for row in pages.LABELLED:
         assert pages.is_main(row[:-1]) == row[-1]
