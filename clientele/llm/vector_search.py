@@ -7,7 +7,7 @@ largest lower bound of its block. Queries meet all rows in blocks of fixed size;
 
 Nulls and edge cases: a null id, a null, empty or zero vector, or one with a null or non-finite component takes no part.
 Vectors of different lengths are never compared. A query never finds rows that carry its own id; of repeated rows with
-one id, one answers. With fewer candidates than k, all are returned; equal scores go to the smaller id.
+one id, the one whose vector has the smallest digest answers. With fewer candidates than k, all are returned; equal scores go to the smaller id.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from clientele.llm.vectors import matrix, packed_vectors
 
 #: Width of the error bound, in deviations of the estimate.
 WIDTH = 3.0
-QUERY_ROWS, BLOCK_ROWS = 1024, 4096
+#: Queries and rows that meet in one block, and queries of it that are estimated at a time.
+QUERY_ROWS, BLOCK_ROWS, SLICE = 8192, 4096, 512
 SEED = 20
 
 
@@ -67,17 +68,20 @@ def block_neighbours(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
     bits = np.unpackbits(np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint8).reshape(len(x), -1), axis=1)
     signs = (bits[:, :dim].astype(np.float64) * 2 - 1) / np.sqrt(dim)
     scalars = rows.column("scalar").to_numpy()
-    turned = (q / np.sqrt((q * q).sum(axis=1, keepdims=True))) @ rotation(dim).T
-    estimates = (turned @ signs.T) / scalars
     errors = WIDTH * np.sqrt(np.maximum(0, 1 - scalars**2)) / scalars / np.sqrt(max(1, dim - 1))
     found: list[tuple[int, int, float]] = []
     lengths = np.sqrt(ordered_sum(x * x))
     for i, query in enumerate(q):
+        if i % SLICE == 0:
+            part = q[i : i + SLICE]
+            turned = (part / np.sqrt((part * part).sum(axis=1, keepdims=True))) @ rotation(dim).T
+            estimates = (turned @ signs.T) / scalars
+        estimate = estimates[i % SLICE]
         other = ids != asked[i]
-        lower = np.where(other, estimates[i] - errors, -np.inf)
+        lower = np.where(other, estimate - errors, -np.inf)
         if other.sum() > k:
             least = np.partition(lower, -k)[-k]
-            at = np.flatnonzero(other & (estimates[i] + errors >= least))
+            at = np.flatnonzero(other & (estimate + errors >= least))
         else:
             at = np.flatnonzero(other)
         near = x[at] @ query / lengths[at]
@@ -101,7 +105,8 @@ def nearest_neighbours(
     spark = frame.sparkSession
     scratch = Scratch(spark)
     packed = packed_vectors(frame, id_column, vector_column).where("v is not null and vec is not null")
-    rows = scratch.save(encoded(packed.dropDuplicates(["vec"])))
+    single = packed.groupBy("vec").agg(F.min_by(F.struct("dim", "v"), F.struct("d1", "d2")).alias("x")).select("vec", "x.*")
+    rows = scratch.save(encoded(single))
     asked = scratch.save(rows.withColumn(id_column, F.col("vec")).where(is_query).select("vec", "dim", "v"))
     sizes = rows.groupBy("dim").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("row_blocks"))
     shares = asked.groupBy("dim").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("query_blocks"))

@@ -277,6 +277,38 @@ def test_nearest_neighbours(spark):
     assert vector_search.nearest_neighbours(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("queries", [1, 3, 700])
+def test_neighbours_by_any_blocks(spark, monkeypatch, queries):
+    """Ids that several vectors share: one partitioning gives what another does, however queries are cut into blocks."""
+    rng = np.random.default_rng(3)
+    rows = [(i % 150, [float(x) for x in rng.standard_normal(16)]) for i in range(600)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    monkeypatch.setattr(vector_search, "QUERY_ROWS", queries)
+    monkeypatch.setattr(vector_search, "BLOCK_ROWS", 50)
+    asked = F.col("vec_id") % 7 == 0
+    found = [sorted(map(tuple, vector_search.nearest_neighbours(frame.repartition(n), asked).collect())) for n in (1, 6)]
+    assert found[0] == found[1] and len(found[0]) == 5 * 22
+    known = {}
+    for i, x in rows:
+        raw = np.array(x, np.float32).astype("<f8").tobytes()
+        mark = hashlib.blake2b(raw, digest_size=16).digest()
+        order = tuple(int.from_bytes(mark[j : j + 8], "little", signed=True) for j in (0, 8))
+        known[i] = min(known.get(i, (order, raw)), (order, raw))
+    units = {i: (x := np.frombuffer(raw)) / np.sqrt(x @ x) for i, (_, raw) in known.items()}
+    for i in range(0, 150, 7):
+        best = sorted((-float(units[i] @ x), j) for j, x in units.items() if j != i)[:5]
+        assert [r[2] for r in found[0] if r[0] == i] == [j for _, j in best]
+
+
+def test_a_block_estimates_its_queries_in_slices(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    frame = spark.createDataFrame([(i, [float(x) for x in rng.standard_normal(16)]) for i in range(90)], "vec_id long, embedding array<float>")
+    rows = vector_search.encoded(vector_search.packed_vectors(frame, "vec_id", "embedding")).toArrow()
+    whole = vector_search.block_neighbours(rows.slice(0, 23), rows, 5)
+    monkeypatch.setattr(vector_search, "SLICE", 4)
+    assert vector_search.block_neighbours(rows.slice(0, 23), rows, 5).equals(whole) and whole.num_rows == 5 * 23
+
+
 def test_mix(spark, odd, none):
     rng = np.random.default_rng(1)
     sizes = {"a": 700, "b": 90, "c": 300, None: 40, "d": 1}
