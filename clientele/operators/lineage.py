@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from clientele.functions import fixed_values as fv
 from clientele.functions.joins import lookup_join
 
+#: Tables on a page of an object's list, about.
+PAGE_SIZE = 1000
+
 
 def dependency_map(edges: DataFrame) -> DataFrame:
     """Each object with each table it refers to, and how many catalog rows say so."""
@@ -25,13 +28,37 @@ def dependency_map(edges: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("edge_count"))
 
 
-def dependency_lists(mapped: DataFrame) -> DataFrame:
-    """Each table that an object refers to, as a row of its own, with the number of tables that the object has.
+def page_of(ref: Column, pages: Column) -> Column:
+    """A page number that depends only on the reference and the number of pages."""
+    number = F.conv(F.substring(F.md5(ref), 1, 8), 16, 10).cast("bigint")
+    return F.pmod(number, pages).cast("int")
+
+
+def dependency_lists(mapped: DataFrame, page_size: int | None = None) -> DataFrame:
+    """The tables that each object refers to, with the number of tables that the object has.
 
-    The lists stay flat at every size: neither a row nor a task grows with the busiest object.
+    Without a page size each table is a row of its own. With one the tables of an object are sorted lists: one list up to
+    that size, and as many pages as it needs above, so that no list and no task grows with the busiest object. Beside
+    ``table_refs`` stand the ``edge_counts`` of its tables, in the same order, and their sum.
     """
     sizes = mapped.groupBy("object_name").agg(F.count(F.lit(1)).alias("table_count"))
-    return lookup_join(mapped, sizes, "object_name", "inner", spread_by="table_ref")
+    flat = lookup_join(mapped, sizes, "object_name", "inner", spread_by="table_ref")
+    if page_size is None:
+        return flat
+    pages = F.ceil(F.col("table_count") / F.lit(page_size)).cast("bigint")
+    listed = flat.groupBy("object_name", page_of(F.col("table_ref"), pages).alias("page")).agg(
+        F.sort_array(F.collect_list(F.struct("table_ref", "edge_count"))).alias("listed"),
+        F.sum("edge_count").alias("edge_count"),
+        F.max("table_count").alias("table_count"),
+    )
+    return listed.select(
+        "object_name",
+        "page",
+        F.col("listed.table_ref").alias("table_refs"),
+        F.col("listed.edge_count").cast("array<string>").alias("edge_counts"),
+        "edge_count",
+        "table_count",
+    )
 
 
 def repository_of(schema: Column, repositories: Mapping[str, str]) -> Column:
