@@ -82,17 +82,29 @@ def grant_links(grants: DataFrame, repositories: Mapping[str, str]) -> DataFrame
     )
 
 
-def chain_refs(chains: DataFrame, mapped: DataFrame) -> DataFrame:
-    """Chains with the tables their package refers to, a row for each.
+def chain_refs(chains: DataFrame, known: DataFrame) -> DataFrame:
+    """Chains with the tables their package refers to: a row for each page of ``known`` lists, or for each ``known`` table.
 
-    The package is known by the first two parts of its name. ``has_table_refs`` says whether it has references: a chain
-    without any has one row and no table, and one without a package a null there as well.
+    The package is known by the first two parts of its name. ``has_table_refs`` says whether it has references. A chain
+    whose package has none has one row with an empty list, or no table; one without a package has nulls.
     """
     package = F.substring_index("plsql_package", ".", 2)
-    known = mapped.select(F.col("object_name").alias("package"), F.col("table_ref").alias("plsql_table_ref"))
     with_package = F.col("plsql_package").isNotNull() & (F.col("plsql_package") != "")
-    found = chains.withColumn("package", package).join(known, "package", "left").drop("package")
-    return found.withColumn("has_table_refs", F.when(with_package, F.col("plsql_table_ref").isNotNull()))
+    listed = "table_refs" in known.columns
+    refs = ["page", F.col("table_refs").alias("plsql_table_refs")] if listed else [F.col("table_ref").alias("plsql_table_ref")]
+    own = known.select(F.col("object_name").alias("package"), *refs)
+    found = chains.withColumn("package", package).join(own, "package", "left").drop("package")
+    held = F.col("plsql_table_refs" if listed else "plsql_table_ref").isNotNull()
+    found = found.withColumn("has_table_refs", F.when(with_package, held))
+    if not listed:
+        return found
+    none = F.array().cast("array<string>")
+    return found.withColumns(
+        {
+            "page": F.coalesce("page", F.lit(0)),
+            "plsql_table_refs": F.when(with_package, F.coalesce("plsql_table_refs", none)),
+        }
+    )
 
 
 def as_lines(section: str, rows: DataFrame) -> DataFrame:
@@ -110,8 +122,10 @@ def lineage_snapshot(
     log: DataFrame,
     schemas: Sequence[str] = fv.TRACED_SCHEMAS,
     repositories: Mapping[str, str] | None = None,
+    page_size: int = PAGE_SIZE,
 ) -> DataFrame:
     """The snapshot as JSON lines by section: header, chains, links, dependency lists, log, summary."""
+    lists = dependency_lists(mapped, page_size)
     spark = chains.sparkSession
     header = spark.range(1).select(
         F.lit(str(run_date)).alias("run_date"),
@@ -127,7 +141,7 @@ def lineage_snapshot(
         F.array(*[F.lit(r) for r in (repositories or {}).values()]).cast("array<string>").alias("repos_involved"),
     )
     sections = (
-        ("lineage_chains", chain_refs(chains, mapped)),
+        ("lineage_chains", chain_refs(chains, lists)),
         ("cross_repo_links", links),
         ("dependency_map", mapped.drop("edge_count")),
         ("etl_execution_log", log),

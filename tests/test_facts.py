@@ -273,6 +273,39 @@ def test_lineage(spark):
     ]
 
 
+def test_lineage_lists(spark):
+    """The lists of an object hold all its tables, sorted; a long one has pages, of which a chain has a row each."""
+    tables_of = {"S.P": [f"T{i}" for i in range(9)], "S.Q": ["B", "A"]}
+    mapped = spark.createDataFrame(
+        [(name, ref, i + 1) for name, refs in tables_of.items() for i, ref in enumerate(refs)],
+        "object_name string, table_ref string, edge_count bigint",
+    )
+    lists = lineage.dependency_lists(mapped, page_size=4)
+    found = {}
+    for r in lists.collect():
+        counts = dict(zip(r.table_refs, map(int, r.edge_counts), strict=True))
+        assert r.table_refs == sorted(r.table_refs) and sum(counts.values()) == r.edge_count
+        assert r.table_count == len(tables_of[r.object_name])
+        found.setdefault(r.object_name, {})[r.page] = counts
+    assert found["S.Q"] == {0: {"A": 2, "B": 1}}
+    assert 1 < len(found["S.P"]) <= 3
+    assert {k: v for page in found["S.P"].values() for k, v in page.items()} == {f"T{i}": i + 1 for i in range(9)}
+    chains = frame(
+        spark,
+        schemas.LINEAGE_CHAINS,
+        {"chain_id": "1", "plsql_package": "S.Q.LOAD"},
+        {"chain_id": "2", "plsql_package": "S.P.LOAD"},
+        {"chain_id": "3", "plsql_package": "S.NONE.LOAD"},
+        {"chain_id": "4"},
+    )
+    refs = rows(lineage.chain_refs(chains, lists), "chain_id", "page", "plsql_table_refs", "has_table_refs")
+    assert refs == sorted(
+        [("1", 0, ["A", "B"], True), ("3", 0, [], False), ("4", 0, None, None)]
+        + [("2", page, sorted(counts), True) for page, counts in found["S.P"].items()],
+        key=repr,
+    )
+
+
 def test_empty_catalog_gives_a_snapshot(spark):
     def none(schema):
         return spark.createDataFrame([], schema)

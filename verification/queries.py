@@ -173,6 +173,7 @@ def snapshot(t: Inputs) -> DataFrame:
         t.mapped(),
         catalog.execution_log(t.audit(), RUN),
         repositories=REPOSITORIES,
+        page_size=200,
     )
 
 
@@ -257,7 +258,9 @@ DEFINITIONS: dict[str, Callable[[Inputs], DataFrame]] = {
     "dependency_map": lambda t: t.mapped(),
     "dependency_lists": lambda t: lineage.dependency_lists(t.mapped(), page_size=200),
     "grant_links": lambda t: t.links(),
-    "chain_refs": lambda t: lineage.chain_refs(t.lineage_chains, t.mapped()),
+    "chain_refs": lambda t: lineage.chain_refs(
+        t.lineage_chains, lineage.dependency_lists(t.mapped(), page_size=200)
+    ),
     "lineage_snapshot": snapshot,
 }
 
