@@ -1,7 +1,7 @@
 """Lineage tables: object dependencies, grant links, chains, and the snapshot document.
 
 A snapshot of a large catalog does not fit one document, so every part stays a table, and the document is written as
-lines: one header, one line per chain and table, link, dependency and log entry, and one summary.
+lines: one header, one line per chain, link, dependency list and log entry, and one summary. Long lists have pages.
 """
 
 from __future__ import annotations
@@ -143,7 +143,7 @@ def lineage_snapshot(
     sections = (
         ("lineage_chains", chain_refs(chains, lists)),
         ("cross_repo_links", links),
-        ("dependency_map", mapped.drop("edge_count")),
+        ("dependency_map", lists.drop("edge_counts", "edge_count", "table_count")),
         ("etl_execution_log", log),
         ("summary", summary),
     )

@@ -306,6 +306,18 @@ def test_lineage_lists(spark):
     )
 
 
+def test_snapshot_holds_the_lists(spark):
+    mapped = spark.createDataFrame(
+        [("S.P", "B", 1), ("S.P", "A", 2)], "object_name string, table_ref string, edge_count bigint"
+    )
+    chains = frame(spark, schemas.LINEAGE_CHAINS, {"chain_id": "1", "plsql_package": "S.P.LOAD"})
+    links = lineage.grant_links(spark.createDataFrame([], schemas.GRANTS), {})
+    log = spark.createDataFrame([], schemas.ETL_JOB_AUDIT)
+    got = by_key(lineage.lineage_snapshot(RUN, "W", "now", chains, links, mapped, log), "section", "document")
+    assert got["dependency_map"] == '{"object_name":"S.P","page":0,"table_refs":["A","B"]}'
+    assert '"page":0,"plsql_table_refs":["A","B"]' in got["lineage_chains"].replace('"has_table_refs":true,', "")
+
+
 def test_empty_catalog_gives_a_snapshot(spark):
     def none(schema):
         return spark.createDataFrame([], schema)
