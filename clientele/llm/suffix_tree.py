@@ -9,6 +9,7 @@ is the distribution of single words, ``(c + 1) / (N + V + 1)``. Symbols are the
 a text, and one class of all other words, within which the root's distribution decides.
 
 How it runs. Texts are cut once into blocks of about ``BLOCK_TOKENS`` tokens, written to the shared folder, bucketed by block.
+After the first round their words are dropped: a block then knows its words by their parts and the numbers given there.
 What a block needs from the whole corpus it asks in rounds: it sends its distinct keys (words; then contexts with next
 symbol, one length a round; then contexts with their divergence) with its own counts, packed, to parts by a hash of the key;
 a part adds up and sends back to the blocks what other blocks add. A key is sent once per block, so no key is hot, and
@@ -46,6 +47,8 @@ BLOCK_TOKENS, SHARE_BYTES = 1 << 20, 16 << 20
 MOST_BUCKETS = 100_000
 #: Numbers of symbols that are not frequent words: any other word, the end, the start (in contexts only).
 OTHER, END, START, WORDS = 0, 1, 2, 3
+#: Numbers below the first are packed as one byte, the classes of others end with the second; so many are packed apart.
+SMALL, HIGHEST, APART = 128, 127, 2048
 #: Divergence is added up in whole units of this share of a nat.
 UNIT = 1 << 10
 
@@ -55,22 +58,47 @@ RETURNED = "block long, step int, kind int, part int, a binary, b binary, c bina
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Whole numbers of 0 and more, by byte planes, compressed."""
+    """Whole numbers of 0 and more, compressed.
+
+    A small one is a byte; another one is a byte for the class of its high bits and a low byte, and in the highest class the
+    rest of the high bits is packed in the same way. Streams of such bytes are compressed apart, those of few numbers together.
+    """
     if not len(values):
         return b""
-    planes = np.ascontiguousarray(values, "<i8").view(np.uint8).reshape(-1, 8).T
-    used = 8 - int(np.argmax(planes[::-1].any(axis=1))) if planes.any() else 1
-    return bytes([used]) + zstandard.compress(planes[:used].tobytes(), 1)
+    size, streams = len(values), []
+    while len(values):
+        large = values >= SMALL
+        high = (values[large] - SMALL) >> 8
+        first = values.astype(np.uint8)
+        first[large] = np.minimum(high, HIGHEST) + SMALL
+        streams += [first.tobytes(), (values[large] - SMALL).astype(np.uint8).tobytes()]
+        values = high[high >= HIGHEST] - HIGHEST
+    packed = [zstandard.compress(x, 1) for x in (streams if size >= APART else [b"".join(streams)]) if x]
+    return b"".join([size.to_bytes(4, "little"), *[len(x).to_bytes(4, "little") + x for x in packed]])
 
 
 def unpack(packed: bytes | None) -> np.ndarray:
     if not packed:
         return np.zeros(0, np.int64)
-    used = packed[0]
-    planes = np.frombuffer(zstandard.decompress(packed[1:]), np.uint8).reshape(used, -1)
-    wide = np.zeros((planes.shape[1], 8), np.uint8)
-    wide[:, :used] = planes.T
-    return wide.view("<i8").ravel()
+    size, at, streams = int.from_bytes(packed[:4], "little"), 4, []
+    while at < len(packed):
+        end = at + 4 + int.from_bytes(packed[at : at + 4], "little")
+        streams.append(zstandard.decompress(packed[at + 4 : end]))
+        at = end
+    read, levels = np.frombuffer(b"".join(streams), np.uint8), []
+    while size:
+        first, read = read[:size], read[size:]
+        larger = np.count_nonzero(first >= SMALL)
+        levels.append((first, read[:larger]))
+        read, size = read[larger:], np.count_nonzero(first == SMALL + HIGHEST)
+    values = np.zeros(0, np.int64)
+    for first, low in reversed(levels):
+        rest, values = values, first.astype(np.int64)
+        large = first >= SMALL
+        high = values[large] - SMALL
+        high[high == HIGHEST] += rest
+        values[large] = (high << 8) + low + SMALL
+    return values
 
 
 def signed(values: np.ndarray) -> np.ndarray:
@@ -132,6 +160,17 @@ def gaps(packed: bytes | None) -> np.ndarray:
     return np.cumsum(unpack(packed))
 
 
+def paired(keys: np.ndarray) -> bytes:
+    """Ascending keys as contexts, by their gaps, and symbols: small numbers both, as frequent ones have the small numbers."""
+    contexts = ascending(keys >> 32)
+    return len(contexts).to_bytes(4, "little") + contexts + pack(keys & 0xFFFFFFFF)
+
+
+def pairs(packed: bytes) -> np.ndarray:
+    end = 4 + int.from_bytes(packed[:4], "little")
+    return (gaps(packed[4:end]) << 32) | unpack(packed[end:])
+
+
 def distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A place of each distinct code, and the number of its code for each place. Sorts codes and places as one number."""
     bits = len(codes).bit_length()
@@ -196,16 +235,12 @@ class Block:
                 self.returned[step, kind, name][part] = value
         self.levels: list[Level] = []
 
-    def words(self) -> list[bytes]:
-        return zstandard.decompress(self.rows.column("words")[0].as_py()).split(b" ")
-
     def know_words(self) -> None:
         """Symbols of all tokens, and how often they occur."""
-        words = self.words()
-        dealt = Dealt(word_parts(words, self.parts), self.parts)
+        dealt = Dealt(unpack(self.rows.column("word_parts")[0].as_py()), self.parts)
         totals = dealt.back(self.returned[0, WORD_KEYS, "a"])
-        totals += np.bincount(self.tokens, self.weight, len(words)).astype(np.int64)
-        end = words.index(b"")
+        totals += np.bincount(self.tokens, self.weight, len(totals)).astype(np.int64)
+        end = self.tokens[-1]
         frequent = totals >= self.figures["least_count"]
         frequent[end] = False
         symbols = np.maximum(dealt.numbers(self.returned[0, WORD_KEYS, "b"], frequent, WORDS, unpack), OTHER)
@@ -248,7 +283,7 @@ class Block:
     def grams(self) -> list[tuple]:
         level = self.levels[-1]
         packets = level.dealt.packets(level.keys, level.counts)
-        return [(part, GRAM_KEYS, ascending(keys), pack(counts), None) for part, (keys, counts) in packets]
+        return [(part, GRAM_KEYS, paired(keys), pack(counts), None) for part, (keys, counts) in packets]
 
     def divergences(self, length: int, least: float) -> list[tuple]:
         """Per context of a length: how far it diverges above the least, and its followers, as far as this block's own
@@ -294,8 +329,8 @@ class Block:
         return pa.table([ids, held, pa.array(self.sizes.astype(np.int64)), sums[0], tokens, *sums[1:]], names=names)
 
 
-def blocks(batches: Iterator[pa.RecordBatch], schema: pa.Schema, block_tokens: int) -> Iterator[pa.RecordBatch]:
-    """Texts to blocks: ids, sizes, whether they train, token numbers by falling frequency, the words."""
+def blocks(batches: Iterator[pa.RecordBatch], schema: pa.Schema, block_tokens: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Texts to blocks: ids, sizes, whether they train, token numbers by falling frequency, the words and their parts."""
     task, made = TaskContext.get().partitionId(), 0
     ids, trains, pieces, number = [], [], [], defaultdict()
     number.default_factory = number.__len__
@@ -306,10 +341,11 @@ def blocks(batches: Iterator[pa.RecordBatch], schema: pa.Schema, block_tokens: i
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         known = list(number)
-        words = zstandard.compress(b" ".join([known[i] for i in order.tolist()]), 3)
+        words = [known[i] for i in order.tolist()]
+        dealt, words = pack(word_parts(words, parts)), zstandard.compress(b" ".join(words), 3)
         sizes = [len(x) for x in pieces]
         own = sum(n for n, trained in zip(sizes, trains, strict=True) if trained)
-        row = [(task << 32) + made, pa.concat_arrays(ids), sizes, trains, pack(rank[tokens]), words, own, sum(trains)]
+        row = [(task << 32) + made, pa.concat_arrays(ids), sizes, trains, pack(rank[tokens]), words, dealt, own, sum(trains)]
         columns = [pa.array([x], field.type) if i != 1 else pa.ListArray.from_arrays([0, len(x)], x).cast(field.type)
                    for i, (x, field) in enumerate(zip(row, schema, strict=True))]
         return pa.record_batch(columns, schema=schema)
@@ -346,9 +382,9 @@ def word_packets(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.R
         for i in range(batch.num_rows):
             rows = pa.Table.from_batches([batch.slice(i, 1)])
             own = Block(rows, EMPTY, parts, {})
-            words = own.words()
+            words = zstandard.decompress(rows.column("words")[0].as_py()).split(b" ")
             counts = np.bincount(own.tokens, own.weight, len(words)).astype(np.int64)
-            dealt = Dealt(word_parts(words, parts), parts)
+            dealt = Dealt(unpack(rows.column("word_parts")[0].as_py()), parts)
             packets = [
                 (part, WORD_KEYS, zstandard.compress(b" ".join([words[x] for x in places.tolist()]), 3), pack(n), None)
                 for part, (places, n) in dealt.packets(np.arange(len(words)), counts)
@@ -398,7 +434,7 @@ def part_round(step: int, depth: int, parts: int, least_count: int) -> Callable[
             number.default_factory = number.__len__
             keys = [np.fromiter(map(number.__getitem__, zstandard.decompress(x).split(b" ")), np.int64) for x in a]
         else:
-            keys = [gaps(x) for x in a]
+            keys = [(pairs if kind == GRAM_KEYS else gaps)(x) for x in a]
         own = [unpack(x) for x in b]
         every, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         ends = np.cumsum([len(x) for x in keys])[:-1]
@@ -418,7 +454,12 @@ def part_round(step: int, depth: int, parts: int, least_count: int) -> Callable[
             frequent &= (every & 0xFFFFFFFF) >= WORDS
         if frequent.sum() * parts + WORDS >= 1 << 31:
             raise OverflowError("more contexts than 31 bits can number")
-        number_of = np.where(frequent, np.cumsum(frequent) - 1, -1)[inverse]
+        numbered = np.flatnonzero(frequent)
+        if kind == WORD_KEYS:  # frequent words get small numbers, which pack better in every later round
+            numbered = numbered[np.argsort(-totals[numbered], kind="stable")]
+        number_of = np.full(len(every), -1)
+        number_of[numbered] = np.arange(len(numbered))
+        number_of = number_of[inverse]
         owner = np.zeros(len(inverse), np.int64)
         owner[first] = totals > 0
         added = [pack(x) for x in np.split(totals[inverse] - np.concatenate(own), ends)]
@@ -474,7 +515,7 @@ def scored(
         [
             StructField("block", LongType()),
             StructField("ids", ArrayType(id_type)),
-            *StructType.fromDDL("sizes array<int>, trains array<boolean>, tokens binary, words binary, own long, docs long"),
+            *StructType.fromDDL("sizes array<int>, trains array<boolean>, tokens binary, words binary, word_parts binary, own long, docs long"),
         ]
     )
     arrow = spark.createDataFrame([], shape).toArrow().schema
@@ -486,7 +527,15 @@ def scored(
         writer.saveAsTable(f"{run}_{name}")
         return spark.table(f"{run}_{name}")
 
-    texts = bucketed(rows.mapInArrow(lambda batches: blocks(batches, arrow, block_tokens), shape), "blocks")
+    def forget_shuffles() -> None:
+        """Spark deletes the files of a shuffle when the driver collects what referred to it: not left to chance here."""
+        spark.sparkContext._jvm.System.gc()
+
+    def drop(name: str) -> None:
+        spark.sql(f"DROP TABLE {run}_{name}")
+        scratch.remove(f"{scratch.folder}/{name}")
+
+    texts = bucketed(rows.mapInArrow(lambda batches: blocks(batches, arrow, block_tokens, parts), shape), "blocks")
 
     def answered(sent: DataFrame, step: int) -> DataFrame:
         """All answers so far."""
@@ -495,6 +544,9 @@ def scored(
 
     first = texts.mapInArrow(lambda batches: word_packets(batches, parts), SENT)
     known = answered(first, 0)
+    texts = bucketed(texts.drop("words"), "texts")
+    drop("blocks")
+    forget_shuffles()
     own = texts.agg(F.sum("own").alias("tokens"), F.sum("docs").alias("docs")).first()
     told = known.agg(*[F.sum(x).alias(x) for x in ("seen", "rare", "rare_tokens")]).first()
     figures = {k: v or 0 for k, v in {**own.asDict(), **told.asDict()}.items()} | {"least_count": least_count}
@@ -511,9 +563,9 @@ def scored(
         work = block_round(step, depth, parts, divergence, figures)
         if step <= depth + 1:
             known = answered(pairs.applyInArrow(work, SENT), step)
+            forget_shuffles()
         else:
             found = scratch.save(pairs.applyInArrow(work, result))
-    for name in ("blocks", "answers"):
-        spark.sql(f"DROP TABLE {run}_{name}")
-        scratch.remove(f"{scratch.folder}/{name}")
+    for name in ("texts", "answers"):
+        drop(name)
     return found.withColumnRenamed("id", id_column)

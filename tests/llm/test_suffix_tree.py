@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clientele.llm import queries, suffix_tree
-from clientele.llm.suffix_tree import Dealt, pack, signed, unpack, unsigned
+from clientele.llm.suffix_tree import Dealt, ascending, pack, paired, pairs, signed, unpack, unsigned
 
 DOCS = "doc_id long, text string, id string, block int, score string, part long, step int"
 HELD_OUT = "crc32(CAST(doc_id AS string)) % 7 = 2"
@@ -155,3 +155,34 @@ def test_packing():
     dealt = Dealt(keys * 7 % 5, 5)
     sent = {part: pack(own[0]) for part, own in dealt.packets(keys)}
     assert dealt.back(sent).tolist() == keys.tolist()
+
+
+def test_packing_of_many():
+    rng = np.random.default_rng(2)
+    for top in (1, 127, 128, 128 + 127 * 256, 10**6, 2**40):
+        for size in (1, 2047, 2048, 5000):
+            values = rng.integers(0, top, size, endpoint=True) // rng.integers(1, 5000, size)
+            assert unpack(pack(values)).tolist() == values.tolist()
+
+
+def test_contexts_and_symbols_pack_apart():
+    """Frequent symbols have small numbers: their keys take less room than gaps between whole keys."""
+    rng = np.random.default_rng(3)
+    keys = np.unique((rng.integers(0, 20_000, 30_000) << 32) | rng.zipf(1.3, 30_000) % 300_000)
+    assert pairs(paired(keys)).tolist() == keys.tolist()
+    assert len(paired(keys)) < 0.8 * len(ascending(keys))
+
+
+def test_words_are_dropped_after_the_first_round(spark, monkeypatch):
+    removed, remove = [], suffix_tree.Scratch.remove
+    columns = []
+
+    def watched(scratch, folder):
+        removed.append(folder.rsplit("/", 1)[1])
+        columns.append(spark.read.parquet(f"{folder}").columns)
+        remove(scratch, folder)
+
+    monkeypatch.setattr(suffix_tree.Scratch, "remove", watched)
+    suffix_tree.scored(documents(spark, some_rows()), F.expr(HELD_OUT)).collect()
+    assert removed == ["blocks", "texts", "answers"]
+    assert "words" in columns[0] and "words" not in columns[1]
