@@ -51,6 +51,8 @@ OTHER, END, START, WORDS = 0, 1, 2, 3
 SMALL, HIGHEST, APART = 128, 127, 2048
 #: Divergence is added up in whole units of this share of a nat.
 UNIT = 1 << 10
+#: The bits of a key that hold the symbol; those of the context are above.
+SYMBOL = 0xFFFFFFFF
 
 WORD_KEYS, GRAM_KEYS, CONTEXT_KEYS = 0, 1, 2
 SENT = "part int, block long, kind int, a binary, b binary, c binary"
@@ -117,6 +119,11 @@ def spread(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
 
 
+def gram_parts(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Contexts with next symbol are dealt by the context's hash, moved on by the symbol: a part knows its remainder."""
+    return (spread(keys >> 32, parts) + (keys & SYMBOL)) % parts
+
+
 def word_parts(words: list[bytes], parts: int) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % parts
 
@@ -160,15 +167,17 @@ def gaps(packed: bytes | None) -> np.ndarray:
     return np.cumsum(unpack(packed))
 
 
-def paired(keys: np.ndarray) -> bytes:
-    """Ascending keys as contexts, by their gaps, and symbols: small numbers both, as frequent ones have the small numbers."""
+def paired(keys: np.ndarray, parts: int = 1) -> bytes:
+    """Ascending keys of one part as contexts, by their gaps, and symbols without the remainder that the part knows: small
+    numbers both, as frequent ones have the small numbers."""
     contexts = ascending(keys >> 32)
-    return len(contexts).to_bytes(4, "little") + contexts + pack(keys & 0xFFFFFFFF)
+    return len(contexts).to_bytes(4, "little") + contexts + pack((keys & SYMBOL) // parts)
 
 
-def pairs(packed: bytes) -> np.ndarray:
+def pairs(packed: bytes, part: int = 0, parts: int = 1) -> np.ndarray:
     end = 4 + int.from_bytes(packed[:4], "little")
-    return (gaps(packed[4:end]) << 32) | unpack(packed[end:])
+    contexts = gaps(packed[4:end])
+    return (contexts << 32) | (unpack(packed[end:]) * parts + (part - spread(contexts, parts)) % parts)
 
 
 def distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -207,7 +216,7 @@ class Level:
         rank[order] = np.arange(len(order))
         self.keys, self.example, self.inverse = keys[order], example[order], rank[inverse]
         self.counts = np.bincount(self.inverse, weight[self.at], len(self.keys)).astype(np.int64)
-        self.dealt = Dealt(spread(self.keys, parts), parts)
+        self.dealt = Dealt(gram_parts(self.keys, parts), parts)
         self.contexts, self.context_of = np.unique(self.keys >> 32, return_inverse=True)
         self.dealt_contexts = Dealt(spread(self.contexts, parts), parts)
 
@@ -276,14 +285,14 @@ class Block:
         level.totals = level.dealt.back(self.returned[step, GRAM_KEYS, "a"]) + level.counts
         level.owned = level.dealt.back(self.returned[step, GRAM_KEYS, "c"])
         if lengthened:
-            frequent = (level.totals >= self.figures["least_count"]) & ((level.keys & 0xFFFFFFFF) >= WORDS)
+            frequent = (level.totals >= self.figures["least_count"]) & ((level.keys & SYMBOL) >= WORDS)
             level.fresh = level.dealt.numbers(self.returned[step, GRAM_KEYS, "b"], frequent, 0, gaps)
         self.counted.append(level.placed(level.totals, len(self.tokens), 0))
 
     def grams(self) -> list[tuple]:
         level = self.levels[-1]
         packets = level.dealt.packets(level.keys, level.counts)
-        return [(part, GRAM_KEYS, paired(keys), pack(counts), None) for part, (keys, counts) in packets]
+        return [(part, GRAM_KEYS, paired(keys, self.parts), pack(counts), None) for part, (keys, counts) in packets]
 
     def divergences(self, length: int, least: float) -> list[tuple]:
         """Per context of a length: how far it diverges above the least, and its followers, as far as this block's own
@@ -434,7 +443,7 @@ def part_round(step: int, depth: int, parts: int, least_count: int) -> Callable[
             number.default_factory = number.__len__
             keys = [np.fromiter(map(number.__getitem__, zstandard.decompress(x).split(b" ")), np.int64) for x in a]
         else:
-            keys = [(pairs if kind == GRAM_KEYS else gaps)(x) for x in a]
+            keys = [pairs(x, part, parts) if kind == GRAM_KEYS else gaps(x) for x in a]
         own = [unpack(x) for x in b]
         every, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         ends = np.cumsum([len(x) for x in keys])[:-1]
@@ -451,7 +460,7 @@ def part_round(step: int, depth: int, parts: int, least_count: int) -> Callable[
             rare_tokens = int(totals[word & ~frequent].sum())
             frequent &= word
         else:
-            frequent &= (every & 0xFFFFFFFF) >= WORDS
+            frequent &= (every & SYMBOL) >= WORDS
         if frequent.sum() * parts + WORDS >= 1 << 31:
             raise OverflowError("more contexts than 31 bits can number")
         numbered = np.flatnonzero(frequent)
@@ -544,11 +553,11 @@ def scored(
 
     first = texts.mapInArrow(lambda batches: word_packets(batches, parts), SENT)
     known = answered(first, 0)
-    texts = bucketed(texts.drop("words"), "texts")
-    drop("blocks")
-    forget_shuffles()
+    forget_shuffles()  # before the texts are copied, and the sums leave it time
     own = texts.agg(F.sum("own").alias("tokens"), F.sum("docs").alias("docs")).first()
     told = known.agg(*[F.sum(x).alias(x) for x in ("seen", "rare", "rare_tokens")]).first()
+    texts = bucketed(texts.drop("words"), "texts")
+    drop("blocks")
     figures = {k: v or 0 for k, v in {**own.asDict(), **told.asDict()}.items()} | {"least_count": least_count}
     result = StructType(
         [

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clientele.llm import queries, suffix_tree
-from clientele.llm.suffix_tree import Dealt, ascending, pack, paired, pairs, signed, unpack, unsigned
+from clientele.llm.suffix_tree import Dealt, ascending, gram_parts, pack, paired, pairs, signed, unpack, unsigned
 
 DOCS = "doc_id long, text string, id string, block int, score string, part long, step int"
 HELD_OUT = "crc32(CAST(doc_id AS string)) % 7 = 2"
@@ -186,3 +186,37 @@ def test_words_are_dropped_after_the_first_round(spark, monkeypatch):
     suffix_tree.scored(documents(spark, some_rows()), F.expr(HELD_OUT)).collect()
     assert removed == ["blocks", "texts", "answers"]
     assert "words" in columns[0] and "words" not in columns[1]
+
+
+def test_parts_know_the_remainders_of_symbols():
+    """All keys of a part come back, the keys are dealt evenly, and symbols take less room than whole ones."""
+    rng, parts = np.random.default_rng(5), 50
+    keys = np.unique((rng.integers(0, 20_000, 200_000) << 32) | rng.integers(0, 300_000, 200_000))
+    part = gram_parts(keys, parts)
+    sent = {p: paired(keys[part == p], parts) for p in range(parts)}
+    assert all(pairs(packed, p, parts).tolist() == keys[part == p].tolist() for p, packed in sent.items())
+    assert np.bincount(part, minlength=parts).max() < 1.1 * len(keys) / parts
+    whole = sum(len(paired(keys[part == p])) for p in range(parts))
+    assert sum(map(len, sent.values())) < 0.8 * whole
+
+
+def test_first_shuffles_are_forgotten_before_texts_are_copied(spark, monkeypatch):
+    """Else the disk holds the files of the first round, the blocks with their words and the copied texts at once."""
+    done, save = [], type(spark.range(0).write).saveAsTable
+
+    def watched(writer, name):
+        done.append(name.rsplit("_", 1)[1])
+        save(writer, name)
+
+    class Machine:
+        class System:
+            gc = staticmethod(lambda: done.append("forgotten"))
+
+        def __getattr__(self, name):
+            return getattr(machine, name)
+
+    machine = spark.sparkContext._jvm
+    monkeypatch.setattr(type(spark.range(0).write), "saveAsTable", watched)
+    monkeypatch.setattr(spark.sparkContext, "_jvm", Machine(), raising=False)
+    suffix_tree.scored(documents(spark, some_rows()), F.expr(HELD_OUT)).collect()
+    assert done[:4] == ["blocks", "answers", "forgotten", "texts"]
