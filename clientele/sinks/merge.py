@@ -43,6 +43,10 @@ def insert_if_absent(table: DataFrame, rows: DataFrame, keys: Sequence[str]) ->
 
 
 def replace_slice(table: DataFrame, rows: DataFrame, slice_condition: Column) -> DataFrame:
-    """The table with one slice exchanged; no new rows means an empty slice."""
+    """The table with one slice exchanged; no new rows means an empty slice.
+
+    The new rows pass a shuffle of their own: where both sides are dealt alike, Spark would join their partitions and hold the
+    sorts and hash tables of both in one task.
+    """
     outside = table.filter(~F.coalesce(slice_condition, F.lit(False)))
-    return outside.unionByName(rows.select(*table.columns))
+    return outside.unionByName(rows.select(*table.columns).hint("rebalance"))

@@ -44,6 +44,15 @@ def test_replace_slice_keeps_rows_the_condition_cannot_judge(spark):
     ]
 
 
+def test_replace_slice_keeps_both_sides_in_tasks_of_their_own(spark):
+    """Sides dealt alike would have their partitions joined, and the memory of both in one task."""
+    table = kv(spark, (1, "a"), (2, "b"), (3, None)).repartition(3, "k")
+    fresh = kv(spark, (9, "a")).repartition(3, "k")
+    replaced = merge.replace_slice(table, fresh, F.col("v") == "a")
+    assert rows(replaced) == [(2, "b"), (3, None), (9, "a")]
+    assert replaced.rdd.getNumPartitions() > 3
+
+
 def test_append_and_overwrite(spark, tmp_path):
     path = str(tmp_path / "t")
     for _ in range(2):
