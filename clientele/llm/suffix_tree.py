@@ -29,6 +29,7 @@ import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StructField, StructType
 
-from clientele.llm.common import Scratch, ship, utf8
+from clientele.llm.common import SLICE_ROWS, Scratch, ship
 
 #: Tokens of a block (a longer text is a block of its own), and bytes of text for each part and bucket.
 BLOCK_TOKENS, SHARE_BYTES = 1 << 20, 16 << 20
@@ -55,6 +56,7 @@ UNIT = 1 << 10
 SYMBOL = 0xFFFFFFFF
 
 WORD_KEYS, GRAM_KEYS, CONTEXT_KEYS = 0, 1, 2
+COMPRESSOR, DECOMPRESSOR = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 SENT = "part int, block long, kind int, a binary, b binary, c binary"
 RETURNED = "block long, step int, kind int, part int, a binary, b binary, c binary, seen long, rare long, rare_tokens long"
 
@@ -69,13 +71,14 @@ def pack(values: np.ndarray) -> bytes:
         return b""
     size, streams = len(values), []
     while len(values):
-        large = values >= SMALL
-        high = (values[large] - SMALL) >> 8
+        large = np.flatnonzero(values >= SMALL)
+        low = values[large] - SMALL
+        high = low >> 8
         first = values.astype(np.uint8)
         first[large] = np.minimum(high, HIGHEST) + SMALL
-        streams += [first.tobytes(), (values[large] - SMALL).astype(np.uint8).tobytes()]
+        streams += [first.tobytes(), low.astype(np.uint8).tobytes()]
         values = high[high >= HIGHEST] - HIGHEST
-    packed = [zstandard.compress(x, 1) for x in (streams if size >= APART else [b"".join(streams)]) if x]
+    packed = [COMPRESSOR.compress(x) for x in (streams if size >= APART else [b"".join(streams)]) if x]
     return b"".join([size.to_bytes(4, "little"), *[len(x).to_bytes(4, "little") + x for x in packed]])
 
 
@@ -85,7 +88,7 @@ def unpack(packed: bytes | None) -> np.ndarray:
     size, at, streams = int.from_bytes(packed[:4], "little"), 4, []
     while at < len(packed):
         end = at + 4 + int.from_bytes(packed[at : at + 4], "little")
-        streams.append(zstandard.decompress(packed[at + 4 : end]))
+        streams.append(DECOMPRESSOR.decompress(packed[at + 4 : end]))
         at = end
     read, levels = np.frombuffer(b"".join(streams), np.uint8), []
     while size:
@@ -96,9 +99,10 @@ def unpack(packed: bytes | None) -> np.ndarray:
     values = np.zeros(0, np.int64)
     for first, low in reversed(levels):
         rest, values = values, first.astype(np.int64)
-        large = first >= SMALL
+        large = np.flatnonzero(first >= SMALL)
         high = values[large] - SMALL
-        high[high == HIGHEST] += rest
+        if len(rest):
+            high[high == HIGHEST] += rest
         values[large] = (high << 8) + low + SMALL
     return values
 
@@ -124,6 +128,11 @@ def gram_parts(keys: np.ndarray, parts: int) -> np.ndarray:
     return (spread(keys >> 32, parts) + (keys & SYMBOL)) % parts
 
 
+def by_part(part: np.ndarray, parts: int) -> np.ndarray:
+    """The stable order by part; numpy counts numbers of 16 bits instead of comparing them."""
+    return np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+
+
 def word_parts(words: list[bytes], parts: int) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % parts
 
@@ -132,23 +141,23 @@ class Dealt:
     """Keys in the order in which they are sent: by part, ascending within it."""
 
     def __init__(self, part: np.ndarray, parts: int) -> None:
-        self.order = np.argsort(part, kind="stable")
-        self.bounds = np.searchsorted(part[self.order], np.arange(parts + 1))
+        self.order = by_part(part, parts)
+        self.bounds = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
 
     def packets(self, *columns: np.ndarray) -> Iterator[tuple]:
         """Part by part, the values of each column."""
+        columns = [x[self.order] for x in columns]
         for part in np.flatnonzero(np.diff(self.bounds)).tolist():
-            own = self.order[self.bounds[part] : self.bounds[part + 1]]
+            own = slice(self.bounds[part], self.bounds[part + 1])
             yield part, [x[own] for x in columns]
 
     def numbers(
         self, returned: dict[int, bytes], frequent: np.ndarray, first: int, read: Callable[[bytes], np.ndarray]
     ) -> np.ndarray:
         """The numbers that the parts gave to frequent keys; -1 for the others."""
-        values = np.full(len(self.order), -1)
-        for part, packed in returned.items():
-            own = self.order[self.bounds[part] : self.bounds[part + 1]]
-            values[own[frequent[own]]] = read(packed) * (len(self.bounds) - 1) + part + first
+        values, parts = np.full(len(self.order), -1), len(self.bounds) - 1
+        read_all = [read(returned[x]) * parts + (x + first) for x in sorted(returned)]
+        values[self.order[frequent[self.order]]] = np.concatenate([np.zeros(0, np.int64), *read_all])
         return values
 
     def back(self, returned: dict[int, bytes]) -> np.ndarray:
@@ -174,14 +183,31 @@ def paired(keys: np.ndarray, parts: int = 1) -> bytes:
     return len(contexts).to_bytes(4, "little") + contexts + pack((keys & SYMBOL) // parts)
 
 
-def pairs(packed: bytes, part: int = 0, parts: int = 1) -> np.ndarray:
+def halves(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """What ``paired`` packed: contexts, and symbols without their remainders."""
     end = 4 + int.from_bytes(packed[:4], "little")
-    contexts = gaps(packed[4:end])
-    return (contexts << 32) | (unpack(packed[end:]) * parts + (part - spread(contexts, parts)) % parts)
+    return gaps(packed[4:end]), unpack(packed[end:])
+
+
+def joined(contexts: np.ndarray, symbols: np.ndarray, part: int, parts: int) -> np.ndarray:
+    """The keys of a part from their halves."""
+    return (contexts << 32) | (symbols * parts + (part - spread(contexts, parts)) % parts)
+
+
+def pairs(packed: bytes, part: int = 0, parts: int = 1) -> np.ndarray:
+    return joined(*halves(packed), part, parts)
+
+
+def runs(ascending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a new value begins, and the number of its value for each place."""
+    fresh = np.ones(len(ascending), bool)
+    np.not_equal(ascending[1:], ascending[:-1], out=fresh[1:])
+    return np.flatnonzero(fresh), np.cumsum(fresh) - 1
 
 
 def distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A place of each distinct code, and the number of its code for each place. Sorts codes and places as one number."""
+    """The first place of each distinct code, codes ascending, and the number of its code for each place. Sorts codes and
+    places as one number."""
     bits = len(codes).bit_length()
     if int(codes.max(initial=0)).bit_length() + bits < 63:
         both = np.sort((codes << bits) | np.arange(len(codes)))
@@ -189,40 +215,42 @@ def distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     else:
         places = np.argsort(codes, kind="stable")
         codes = codes[places]
-    fresh = np.ones(len(codes), bool)
-    fresh[1:] = codes[1:] != codes[:-1]
+    begins, numbers = runs(codes)
     number = np.empty(len(codes), np.int64)
-    number[places] = np.cumsum(fresh) - 1
-    return places[fresh], number
+    number[places] = numbers
+    return places[begins], number
 
 
 class Level:
     """Contexts of one length at the places of a block, with next symbols.
 
-    ``context`` and ``symbol`` are the numbers that hold for all blocks, the codes shorter ones that hold in this block.
+    ``contexts`` and ``symbols`` are the numbers that hold for all blocks, ascending; the codes point into them. A place
+    without a context has a negative code.
     """
 
     def __init__(
-        self, context: np.ndarray, context_code: np.ndarray, symbol: np.ndarray, symbol_code: np.ndarray,
+        self, contexts: np.ndarray, context_code: np.ndarray, symbols: np.ndarray, symbol_code: np.ndarray,
         weight: np.ndarray, parts: int
     ) -> None:
-        self.at = np.flatnonzero(context >= 0)
-        codes = context_code[self.at] * (int(symbol_code.max()) + 1) + symbol_code[self.at]
-        example, inverse = distinct(codes)
-        example = self.at[example]
-        keys = (context[example] << 32) | symbol[example]
-        order = np.argsort(keys)
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        self.keys, self.example, self.inverse = keys[order], example[order], rank[inverse]
+        self.at, self.parts = np.flatnonzero(context_code >= 0), parts
+        codes = context_code[self.at] * len(symbols) + symbol_code[self.at]
+        example, self.inverse = distinct(codes)
+        self.example = self.at[example]
+        context, symbol = context_code[self.example], symbols[symbol_code[self.example]]
+        self.keys = (contexts[context] << 32) | symbol
         self.counts = np.bincount(self.inverse, weight[self.at], len(self.keys)).astype(np.int64)
-        self.dealt = Dealt(gram_parts(self.keys, parts), parts)
-        self.contexts, self.context_of = np.unique(self.keys >> 32, return_inverse=True)
-        self.dealt_contexts = Dealt(spread(self.contexts, parts), parts)
+        begins, self.context_of = runs(context)
+        self.contexts = contexts[context[begins]]
+        self.context_parts = spread(self.contexts, parts)
+        self.dealt = Dealt((self.context_parts[self.context_of] + symbol) % parts, parts)
+
+    @cached_property
+    def dealt_contexts(self) -> Dealt:
+        return Dealt(self.context_parts, self.parts)
 
     def placed(self, values: np.ndarray, size: int, default: int) -> np.ndarray:
         """Values of the keys at the places that hold them."""
-        every = np.full(size, default, np.int64)
+        every = np.full(size, default, values.dtype)
         every[self.at] = values[self.inverse]
         return every
 
@@ -236,7 +264,7 @@ class Block:
         self.sizes = np.asarray(rows.column("sizes")[0].values)
         self.trains = np.asarray(rows.column("trains")[0].values.to_numpy(zero_copy_only=False)).astype(bool)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.weight = np.repeat(self.trains, self.sizes).astype(np.int64)
+        self.weight = np.repeat(self.trains.astype(float), self.sizes)
         self.returned: dict[tuple[int, int, str], dict[int, bytes]] = defaultdict(dict)
         names = ("step", "kind", "part", "a", "b", "c")
         for step, kind, part, *values in zip(*[returned.column(x).to_pylist() for x in names], strict=True):
@@ -254,36 +282,38 @@ class Block:
         frequent[end] = False
         symbols = np.maximum(dealt.numbers(self.returned[0, WORD_KEYS, "b"], frequent, WORDS, unpack), OTHER)
         symbols[end] = END
-        self.total, self.symbol = totals[self.tokens], symbols[self.tokens]
-        self.code = np.unique(symbols, return_inverse=True)[1][self.tokens]
-        self.counted = [np.where(self.symbol == OTHER, self.figures["rare_tokens"], self.total)]
+        self.symbols, self.word_code = np.unique(symbols, return_inverse=True)
+        self.word_symbol, self.word_total, self.code = symbols, totals, self.word_code[self.tokens]
+        counted = np.where(symbols == OTHER, self.figures["rare_tokens"], totals)
+        self.counted = [counted[self.tokens]]
         self.occurs = [np.full(len(self.tokens), self.figures["tokens"])]
 
     def lengthen(self) -> Level:
         """The contexts that are longer by one word than the last."""
         size = len(self.tokens)
-        before, code, occurs = np.full(size, -1), np.zeros(size, np.int64), np.zeros(size, np.int64)
+        code, occurs = np.full(size, -1), np.zeros(size, np.int64)
         if not self.levels:
-            before[1:] = np.where(self.symbol[:-1] >= WORDS, self.symbol[:-1], -1)
-            before[self.starts] = START if self.figures["docs"] >= self.figures["least_count"] else -1
-            code[1:] = self.code[:-1] + 1
-            code[self.starts] = 0
-            occurs[1:] = self.total[:-1]
+            contexts = np.concatenate([[START], self.symbols])  # ascending but for others and the end, which are no contexts
+            code[1:] = np.where(self.word_symbol >= WORDS, self.word_code + 1, -1)[self.tokens[:-1]]
+            code[self.starts] = 0 if self.figures["docs"] >= self.figures["least_count"] else -1
+            occurs[1:] = self.word_total[self.tokens[:-1]]
             occurs[self.starts] = self.figures["docs"]
         else:
             last = self.levels[-1]
-            before[1:] = last.placed(last.fresh, size, -1)[:-1]
-            before[self.starts] = -1
-            code[1:] = last.placed(np.arange(len(last.keys)), size, 0)[:-1]
+            known = np.flatnonzero(last.fresh >= 0)
+            known = known[np.argsort(last.fresh[known])]
+            contexts, rank = last.fresh[known], np.full(len(last.keys), -1)
+            rank[known] = np.arange(len(known))
+            code[1:] = last.placed(rank, size, -1)[:-1]
+            code[self.starts] = -1
             occurs[1:] = self.counted[-1][:-1]
         self.occurs.append(occurs)
-        self.levels.append(Level(before, code, self.symbol, self.code, self.weight, self.parts))
+        self.levels.append(Level(contexts, code, self.symbols, self.code, self.weight, self.parts))
         return self.levels[-1]
 
     def know_grams(self, step: int, lengthened: bool) -> None:
         level = self.levels[-1]
         level.totals = level.dealt.back(self.returned[step, GRAM_KEYS, "a"]) + level.counts
-        level.owned = level.dealt.back(self.returned[step, GRAM_KEYS, "c"])
         if lengthened:
             frequent = (level.totals >= self.figures["least_count"]) & ((level.keys & SYMBOL) >= WORDS)
             level.fresh = level.dealt.numbers(self.returned[step, GRAM_KEYS, "b"], frequent, 0, gaps)
@@ -298,16 +328,17 @@ class Block:
         """Per context of a length: how far it diverges above the least, and its followers, as far as this block's own
         occurrences go. A follower counts in one block only."""
         level = self.levels[length - 1]
-        held = level.counts > 0
+        owned = level.dealt.back(self.returned[length, GRAM_KEYS, "c"])
+        held = np.flatnonzero(level.counts)
         x = level.example[held]
         ratio = np.zeros(len(level.keys))
         ratio[held] = np.log(
             level.totals[held] / self.occurs[length][x] * (self.occurs[length - 1][x] / self.counted[length - 1][x])
         )
-        units = (np.rint(ratio * UNIT) - round(least * UNIT)) * level.counts - UNIT // 2 * level.owned
+        units = (np.rint(ratio * UNIT) - round(least * UNIT)) * level.counts - UNIT // 2 * owned
         size = len(level.contexts)
         excess = np.rint(np.bincount(level.context_of, units, size)).astype(np.int64)
-        followers = np.bincount(level.context_of, level.owned, size).astype(np.int64)
+        followers = np.bincount(level.context_of, owned, size).astype(np.int64)
         packets = level.dealt_contexts.packets(level.contexts, excess, followers)
         return [
             (part, CONTEXT_KEYS, ascending(keys), pack(signed(own)), pack(count)) for part, (keys, own, count) in packets
@@ -316,20 +347,24 @@ class Block:
     def scores(self, depth: int) -> pa.Table:
         """The root's probability of each token, smoothed into that of ever longer contexts that are states."""
         slots = self.figures["tokens"] + self.figures["seen"] + 1
-        own, other = (self.total + 1) / slots, self.symbol == OTHER
+        own, other = (self.word_total + 1) / slots, self.word_symbol == OTHER
         all_other = (self.figures["rare_tokens"] + self.figures["rare"] + 1) / slots
-        p = np.where(other, all_other, own)
         base = np.log10(own)
+        p = np.where(other, all_other, own)[self.tokens]
         for length in range(1, depth + 1):
             level = self.levels[length - 1]
             followers = level.dealt_contexts.back(self.returned[length + 1, CONTEXT_KEYS, "a"])
-            k = level.placed(followers[level.context_of], len(p), 0)
-            smoothed = (self.counted[length] + k * p) / np.maximum(self.occurs[length] + k, 1)
-            p = np.where(k > 0, smoothed, p)
+            k, shorter = followers[level.context_of], p[level.example]
+            smoothed = (level.totals + k * shorter) / np.maximum(self.occurs[length][level.example] + k, 1)
+            p[level.at] = np.where(k > 0, smoothed, shorter)[level.inverse]
         within = np.where(other, base - math.log10(all_other), 0.0)
         sums = [
             pa.array(np.add.reduceat(x, self.starts))
-            for x in ((self.total > 0).astype(np.int64), base, np.log10(p) + within)
+            for x in (
+                (self.word_total > 0).astype(np.int64)[self.tokens],
+                base[self.tokens],
+                np.log10(p) + within[self.tokens],
+            )
         ]
         ids, held = self.rows.column("ids")[0].values, pa.array(~self.trains)
         n = len(self.sizes)
@@ -338,41 +373,60 @@ class Block:
         return pa.table([ids, held, pa.array(self.sizes.astype(np.int64)), sums[0], tokens, *sums[1:]], names=names)
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts with A-Z in lower case, and how many each has; none are left of a null."""
+    words = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, ""))))
+    sizes, words = np.diff(words.offsets.to_numpy()), words.flatten()
+    filled = pc.greater(pc.binary_length(words), 0)  # a text without words is split into one empty word
+    empty = np.flatnonzero(~filled.to_numpy(zero_copy_only=False))
+    if len(empty):
+        sizes[np.searchsorted(np.cumsum(sizes), empty, "right")] -= 1
+        words = words.filter(filled)
+    return words, sizes
+
+
 def blocks(batches: Iterator[pa.RecordBatch], schema: pa.Schema, block_tokens: int, parts: int) -> Iterator[pa.RecordBatch]:
     """Texts to blocks: ids, sizes, whether they train, token numbers by falling frequency, the words and their parts."""
     task, made = TaskContext.get().partitionId(), 0
-    ids, trains, pieces, number = [], [], [], defaultdict()
-    number.default_factory = number.__len__
+    ids, sizes, trains, pieces, total = [], [], [], [], 0
 
     def block() -> pa.RecordBatch:
-        tokens = np.concatenate(pieces)
-        order = np.argsort(-np.bincount(tokens, minlength=len(number)), kind="stable")
+        size, train = np.concatenate(sizes), pa.concat_arrays(trains)
+        words = pa.chunked_array(pieces).cast(pa.large_binary()).combine_chunks().dictionary_encode()
+        last = len(words.dictionary)  # the number of the end of a text, an empty word
+        tokens = np.insert(words.indices.to_numpy(), np.cumsum(size - 1), last)
+        order = np.argsort(-np.bincount(tokens, minlength=last + 1), kind="stable")
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        known = list(number)
-        words = [known[i] for i in order.tolist()]
-        dealt, words = pack(word_parts(words, parts)), zstandard.compress(b" ".join(words), 3)
-        sizes = [len(x) for x in pieces]
-        own = sum(n for n, trained in zip(sizes, trains, strict=True) if trained)
-        row = [(task << 32) + made, pa.concat_arrays(ids), sizes, trains, pack(rank[tokens]), words, dealt, own, sum(trains)]
-        columns = [pa.array([x], field.type) if i != 1 else pa.ListArray.from_arrays([0, len(x)], x).cast(field.type)
-                   for i, (x, field) in enumerate(zip(row, schema, strict=True))]
+        words = pa.concat_arrays([words.dictionary, pa.array([b""], pa.large_binary())]).take(pa.array(order))
+        words = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), pa.scalar(b" ", words.type))[0].as_py()
+        dealt, words = pack(word_parts(words.split(b" "), parts)), zstandard.compress(words, 3)
+        trained = train.to_numpy(zero_copy_only=False).astype(bool)
+        own, docs = int(size[trained].sum()), int(trained.sum())
+        row = [(task << 32) + made, pa.concat_arrays(ids), pa.array(size), train, pack(rank[tokens]), words, dealt, own, docs]
+        columns = [pa.ListArray.from_arrays([0, len(x)], x).cast(field.type) if isinstance(x, pa.Array) else pa.array([x], field.type)
+                   for x, field in zip(row, schema, strict=True)]
         return pa.record_batch(columns, schema=schema)
 
-    total = 0
     for batch in batches:
-        train = batch.column(2).to_pylist()
-        for i, text in enumerate(utf8(batch.column(1))):
-            words = [*text.lower().split(), b""]
-            pieces.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
-            ids.append(batch.column(0).slice(i, 1))
-            trains.append(train[i])
-            total += len(words)
-            if total >= block_tokens:
-                yield block()
-                made, total = made + 1, 0
-                ids, trains, pieces = [], [], []
-                number.clear()
+        texts = batch.column(1).cast(pa.binary()).view(pa.string())
+        for begin in range(0, batch.num_rows, SLICE_ROWS):
+            some = batch.slice(begin, SLICE_ROWS)
+            words, size = split_words(texts.slice(begin, SLICE_ROWS))
+            ends, at = np.cumsum(size), 0
+            while at < len(size):
+                before = ends[at] - size[at]
+                reach = total + np.cumsum(size[at:] + 1)
+                stop = at + min(int(np.searchsorted(reach, block_tokens)) + 1, len(reach))
+                pieces.append(words.slice(before, ends[stop - 1] - before))
+                sizes.append(size[at:stop] + 1)
+                ids.append(some.column(0).slice(at, stop - at))
+                trains.append(some.column(2).slice(at, stop - at))
+                total, at = int(reach[stop - at - 1]), stop
+                if total >= block_tokens:
+                    yield block()
+                    made, total = made + 1, 0
+                    ids, sizes, trains, pieces = [], [], [], []
     if pieces:
         yield block()
 
@@ -391,12 +445,12 @@ def word_packets(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.R
         for i in range(batch.num_rows):
             rows = pa.Table.from_batches([batch.slice(i, 1)])
             own = Block(rows, EMPTY, parts, {})
-            words = zstandard.decompress(rows.column("words")[0].as_py()).split(b" ")
+            words = np.array(zstandard.decompress(rows.column("words")[0].as_py()).split(b" "), object)
             counts = np.bincount(own.tokens, own.weight, len(words)).astype(np.int64)
             dealt = Dealt(unpack(rows.column("word_parts")[0].as_py()), parts)
             packets = [
-                (part, WORD_KEYS, zstandard.compress(b" ".join([words[x] for x in places.tolist()]), 3), pack(n), None)
-                for part, (places, n) in dealt.packets(np.arange(len(words)), counts)
+                (part, WORD_KEYS, zstandard.compress(b" ".join(some.tolist()), 3), pack(n), None)
+                for part, (some, n) in dealt.packets(words, counts)
             ]
             yield from sent_table(batch.column("block")[i].as_py(), packets).to_batches()
 
@@ -439,13 +493,20 @@ def part_round(step: int, depth: int, parts: int, least_count: int) -> Callable[
     def of_kind(kind: int, part: int, a: list[bytes], b: list[bytes], c: list[bytes]) -> tuple:
         seen = rare = rare_tokens = 0
         if kind == WORD_KEYS:
-            number: dict[bytes, int] = defaultdict()
-            number.default_factory = number.__len__
-            keys = [np.fromiter(map(number.__getitem__, zstandard.decompress(x).split(b" ")), np.int64) for x in a]
+            keys = [pa.array(zstandard.decompress(x).split(b" "), pa.large_binary()) for x in a]
+            words = pa.concat_arrays(keys).dictionary_encode()
+            every, first, inverse = words.dictionary, None, words.indices.to_numpy()
+        elif kind == GRAM_KEYS:
+            keys, symbols = zip(*[halves(x) for x in a], strict=True)
+            contexts, symbols = np.concatenate(keys), np.concatenate(symbols)
+            first, inverse = distinct((contexts << int(symbols.max()).bit_length()) | symbols)
+            every = joined(contexts[first], symbols[first], part, parts)
         else:
-            keys = [pairs(x, part, parts) if kind == GRAM_KEYS else gaps(x) for x in a]
+            keys = [gaps(x) for x in a]
+            every = np.concatenate(keys)
+            first, inverse = distinct(every)
+            every = every[first]
         own = [unpack(x) for x in b]
-        every, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         ends = np.cumsum([len(x) for x in keys])[:-1]
         if kind == CONTEXT_KEYS:
             excess = summed([unsigned(x) for x in own], inverse, len(every))
@@ -455,7 +516,7 @@ def part_round(step: int, depth: int, parts: int, least_count: int) -> Callable[
         totals = summed(own, inverse, len(every))
         frequent = totals >= least_count
         if kind == WORD_KEYS:
-            word = np.array([bool(x) for x in number])
+            word = pc.greater(pc.binary_length(every), 0).to_numpy(zero_copy_only=False)
             seen, rare = int((totals > 0).sum()), int((word & ~frequent & (totals > 0)).sum())
             rare_tokens = int(totals[word & ~frequent].sum())
             frequent &= word
@@ -469,15 +530,17 @@ def part_round(step: int, depth: int, parts: int, least_count: int) -> Callable[
         number_of = np.full(len(every), -1)
         number_of[numbered] = np.arange(len(numbered))
         number_of = number_of[inverse]
-        owner = np.zeros(len(inverse), np.int64)
-        owner[first] = totals > 0
         added = [pack(x) for x in np.split(totals[inverse] - np.concatenate(own), ends)]
         numbers = None
         if kind == WORD_KEYS or step < depth:
             numbers = [pack(x[x >= 0]) for x in np.split(number_of, ends)]
             if kind == GRAM_KEYS:
                 numbers = [ascending(x[x >= 0]) for x in np.split(number_of, ends)]
-        owners = [pack(x) for x in np.split(owner, ends)] if kind == GRAM_KEYS else None
+        owners = None
+        if kind == GRAM_KEYS:
+            owner = np.zeros(len(inverse), np.int64)
+            owner[first] = totals > 0
+            owners = [pack(x) for x in np.split(owner, ends)]
         return added, numbers, owners, (seen, rare, rare_tokens)
 
     def work(sent: pa.Table) -> pa.Table:

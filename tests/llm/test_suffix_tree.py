@@ -6,11 +6,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from clientele.llm import queries, suffix_tree
-from clientele.llm.suffix_tree import Dealt, ascending, gram_parts, pack, paired, pairs, signed, unpack, unsigned
+from clientele.llm.suffix_tree import Dealt, Level, ascending, gram_parts, pack, paired, pairs, signed, unpack, unsigned
 
 DOCS = "doc_id long, text string, id string, block int, score string, part long, step int"
 HELD_OUT = "crc32(CAST(doc_id AS string)) % 7 = 2"
@@ -220,3 +222,83 @@ def test_first_shuffles_are_forgotten_before_texts_are_copied(spark, monkeypatch
     monkeypatch.setattr(spark.sparkContext, "_jvm", Machine(), raising=False)
     suffix_tree.scored(documents(spark, some_rows()), F.expr(HELD_OUT)).collect()
     assert done[:4] == ["blocks", "answers", "forgotten", "texts"]
+
+
+@pytest.mark.parametrize("type_", [pa.string(), pa.binary(), pa.large_string()])
+def test_blocks_number_words_without_a_call_for_each(monkeypatch, type_):
+    """Blocks hold every text whole, in order; Python handles distinct words only, Arrow the tokens."""
+    texts = ["A\x0bb\x0cC\x1cD\x85e\xa0F\u3000g\x00 g\r\n", None, "", " \t ", "  É é\n", *["The the fox THE"] * 600, "w " * 900, "é"]
+    rows = [(i, x, i % 3 > 0) for i, x in enumerate(texts)]
+    batches = [rows[:310], rows[310:311], [], rows[311:]]
+    batches = [pa.record_batch([pa.array([r[i] for r in x], t) for i, t in enumerate((pa.int64(), type_, pa.bool_()))],
+                               names=["id", "text", "train"]) for x in batches]
+    schema = [("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("trains", pa.list_(pa.bool_()))]
+    schema = pa.schema([*schema, *[(x, pa.binary()) for x in ("tokens", "words", "word_parts")], ("own", pa.int64()), ("docs", pa.int64())])
+    handled, fromiter = [], np.fromiter
+
+    def watched(values, dtype, count=-1):
+        handled.append(count)
+        return fromiter(values, dtype, count)
+
+    class Task:
+        get = staticmethod(lambda: type("", (), {"partitionId": lambda self: 3})())
+
+    monkeypatch.setattr(suffix_tree, "TaskContext", Task)
+    monkeypatch.setattr(suffix_tree.np, "fromiter", watched)
+    made = pa.Table.from_batches(suffix_tree.blocks(iter(batches), schema, 500, 7)).to_pylist()
+    monkeypatch.undo()
+    found, distinct = [], 0
+    for number, block in enumerate(made):
+        assert block["block"] == (3 << 32) + number
+        words = zstandard.decompress(block["words"]).split(b" ")
+        distinct += len(words)
+        tokens = [words[i] for i in unpack(block["tokens"])]
+        assert unpack(block["word_parts"]).tolist() == [zlib.crc32(x) % 7 for x in words]
+        assert np.diff(np.bincount(unpack(block["tokens"]))).max(initial=0) <= 0
+        own = [size for size, train in zip(block["sizes"], block["trains"], strict=True) if train]
+        assert (block["own"], block["docs"]) == (sum(own), len(own))
+        assert len(tokens) >= 500 or number == len(made) - 1
+        assert sum(block["sizes"][:-1]) < 500
+        for key, size, train in zip(block["ids"], block["sizes"], block["trains"], strict=True):
+            found.append((key, tokens[:size], train))
+            tokens = tokens[size:]
+    assert found == [(i, [*lower(x).encode().split(), b""], train) for i, x, train in rows]
+    assert sum(handled) <= distinct
+
+
+def test_keys_are_sorted_once():
+    """Codes ascend as the keys do, so that the sort of the places sorts the keys; parts are counted in 16 bits."""
+    rng, size, parts = np.random.default_rng(6), 20_000, 50
+    contexts, symbols = np.unique(rng.integers(2, 10**6, 900)), np.unique(rng.integers(0, 10**6, 700))
+    code, symbol = rng.integers(-1, len(contexts), size), rng.integers(0, len(symbols), size)
+    weight, compared, argsort = rng.integers(0, 2, size).astype(float), [], np.argsort
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(suffix_tree.np, "argsort", lambda x, **more: compared.append(x.dtype) or argsort(x, **more))
+        patch.setattr(suffix_tree.np, "unique", None)
+        level = Level(contexts, code, symbols, symbol, weight, parts)
+        assert level.dealt_contexts.order.tolist() == sorted(range(len(level.contexts)), key=lambda i: level.context_parts[i])
+    assert set(compared) == {np.dtype(np.uint16)}
+    at = np.flatnonzero(code >= 0)
+    keys = (contexts[code[at]] << 32) | symbols[symbol[at]]
+    expected, first, counts = np.unique(keys, return_index=True, return_inverse=True)
+    assert level.keys.tolist() == expected.tolist()
+    assert level.example.tolist() == at[first].tolist()
+    assert level.counts.tolist() == np.bincount(counts, weight[at]).astype(int).tolist()
+    assert level.contexts.tolist() == np.unique(expected >> 32).tolist()
+    assert level.contexts[level.context_of].tolist() == (expected >> 32).tolist()
+    part = gram_parts(expected, parts)
+    assert level.dealt.order.tolist() == np.argsort(part, kind="stable").tolist()
+    assert {p: own.tolist() for p, (own,) in level.dealt.packets(level.keys)} == {
+        p: expected[part == p].tolist() for p in np.unique(part).tolist()
+    }
+
+
+@pytest.mark.parametrize("parts", [3, 1 << 16, (1 << 16) + 1, 200_000])
+def test_parts_of_any_number(parts):
+    part = np.random.default_rng(7).integers(0, parts, 3000)
+    part[0] = parts - 1
+    dealt = Dealt(part, parts)
+    assert dealt.order.tolist() == np.argsort(part, kind="stable").tolist()
+    assert {p: own.tolist() for p, (own,) in dealt.packets(np.arange(3000))} == {
+        p: np.flatnonzero(part == p).tolist() for p in set(part.tolist())
+    }
